@@ -18,6 +18,7 @@ UI_PHRASES = [
 ]
 
 RESOLUTION = r"(?i)^\d{3,4}[ip]$"
+REFRESH_RATE = r"(?i)^\d+Hz$"
 
 
 def _mixed(x: Column) -> Column:
@@ -32,7 +33,7 @@ def is_invalid_model(c: Column | str) -> Column:
         (text == "")
         | text.isin(GENERIC_MODELS)
         | text.contains(";")
-        | text.rlike(r"(?i)^\d+Hz$")
+        | text.rlike(REFRESH_RATE)
         | text.rlike(r"(?i)\d{1,3}(,\d{3})?\s*x\s*\d{1,3}(,\d{3})?")
         | text.rlike(RESOLUTION)
         | text.rlike(r"\(\d+[ip]\)")
@@ -61,7 +62,8 @@ def model_from_url(url: Column | str, strict: bool = False) -> Column:
             return F.when(wanted, F.when(joins, F.concat(token, F.lit("-"), following)).otherwise(token))
         joins = joins & ~following.rlike(r"^(19|20)\d{2}$") & (F.lower(after) != "inch")
         joins = joins | (following.rlike(r"^[A-Z]$") & (i + F.lit(2) == F.size(tokens)))
-        wanted = wanted & ~token.rlike(RESOLUTION) & (F.lower(following) != "remote")
+        wanted = wanted & ~token.rlike(RESOLUTION) & ~token.rlike(REFRESH_RATE)
+        wanted = wanted & (F.lower(following) != "remote")
         return F.when(wanted, F.when(joins, F.concat(token, F.lit("-"), following)).otherwise(token))
 
     longest = F.aggregate(

@@ -152,7 +152,7 @@ URL_MODELS = [
      "E550AE43C", "E550AE43C-G"),
     ("VIZIO-50-Class-Quantum-4K-QLED-HDR-Smart-TV-NEW-VQD50M-0809/7766121878", "VQD50M-0809", "VQD50M-0809"),
     ("Hisense-85-Class-QD6-Series-QLED-4K-UHD-Smart-Google-TV/13110405902", None, None),
-    ("65-UHD-2160p-120Hz-4K/5387137037", "2160p", "120Hz"),
+    ("65-UHD-2160p-120Hz-4K/5387137037", "2160p", None),
     ("Samsung-55-in-2160p-UHD-Smart-TV-With-TM2360E-Remote-Control/5387137036", "TM2360E", None),
     ("55UA7500ZUA-AUS", "55UA7500ZUA", "55UA7500ZUA"),
 ]
@@ -184,8 +184,7 @@ def test_models_from_urls(spark):
     coded = _evaluate(spark, [(models.model_from_url, IP + p) for p, _, _ in URL_MODELS])
     assert [(p, g, e) for (p, e, _), g in zip(URL_MODELS, coded) if g != e] == []
     strict = _evaluate(spark, [(lambda c: models.model_from_url(c, strict=True), IP + p) for p, _, _ in URL_MODELS])
-    expected = [None if e == "120Hz" else e for _, _, e in URL_MODELS]
-    assert [(g, e) for e, g in zip(expected, strict) if g != e] == []
+    assert [(p, g, e) for (p, _, e), g in zip(URL_MODELS, strict) if g != e] == []
 
 
 def test_two_argument_functions(spark):

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from shelfwise.functions.money import PRICE
 from shelfwise.functions.text import blank_to_null, col, pick
 
-# Texts that are not a price.
-NOT_A_PRICE = [r"^[a-zA-Z\s]+$", r"^\d+\s*[a-zA-Z]", r"was\s*€", r"list\s*price", r"buy\s*used"]
+# Texts that are not a price, as one pattern per country.
+NOT_A_PRICE = r"^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*€|list\s*price|buy\s*used"
 REJECT = {
-    "it": NOT_A_PRICE,
-    "de": NOT_A_PRICE,
-    "fr": NOT_A_PRICE + [r"achetez\s*d'occasion"],
-    "es": [r"^[a-zA-Z\s]+$", r"^\d+\s*[a-zA-Z]", r"^[^€$£¥₹]\d+$"],
+    "it": "(?iU)" + NOT_A_PRICE,
+    "de": "(?iU)" + NOT_A_PRICE,
+    "fr": "(?iU)" + NOT_A_PRICE + r"|achetez\s*d'occasion",
+    "es": r"(?U)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|^\s*[^€$£¥₹\s]\d+\s*$",
 }
-CASE_SENSITIVE_REJECT = {"es"}
 
 # Accepted price range per country; other countries have none.
 PRICE_RANGE = {"it": (1, 50000), "de": (1, 50000), "fr": (1, 50000), "es": (10, 10000)}
@@ -61,52 +60,40 @@ STOCK = {
 PAGE_SOLD_OUT = ["Out of Stock", "Sold Out", "Currently unavailable", "Temporarily out of stock"]
 
 
-def _digits_with_cents(c: Column) -> Column:
-    return c.rlike(r"^\d+(\.\d{1,2})?$")
+# Shapes of a number once currency signs and white space are gone.
+DECIMAL_COMMA = r"^[\d.]*\d[\d.]*,\d{1,2}$"
+PLAIN = r"^\d+(\.\d{1,2})?$"
 
 
-def _accepted(text: Column, cc: str) -> Column:
-    flag = "(?U)" if cc in CASE_SENSITIVE_REJECT else "(?iU)"
-    ok = F.lit(True)
-    for pattern in REJECT[cc]:
-        ok = ok & ~text.rlike(flag + pattern)
-    return F.when(ok, F.regexp_replace(text, r"(?U)[€\s]", ""))
+def _stripped(text: Column, cc: str) -> Column:
+    """Text without signs and white space; NULL where the country's reject pattern matches."""
+    return F.when(~text.rlike(REJECT[cc]), F.regexp_replace(text, r"(?U)[€\s]", ""))
 
 
-def _gate(text: Column, cc: str) -> Column:
-    value = F.when(_digits_with_cents(text), text).try_cast(PRICE)
+def _gate(price: Column, cc: str) -> Column:
     lo, hi = PRICE_RANGE[cc]
-    return F.when(value.between(lo, hi), value)
+    return F.when(price.between(lo, hi), price)
 
 
-def _decimal_comma(c: Column) -> Column:
-    """',' alone is the decimal mark; with both marks '.' groups and the last ',' splits."""
-    tail = F.substring_index(c, ",", -1)
-    head = F.substr(c, F.lit(1), F.length(c) - F.length(tail) - F.lit(1))
-    both = F.concat(F.replace(head, F.lit("."), F.lit("")), F.lit("."), tail)
+def _comma_or_plain(c: Column) -> Column:
+    """'1.299,99' and '61,84' lose the grouping dots and get a decimal point; '61.84' stays."""
     return (
-        F.when(c.contains(",") & ~c.contains("."), F.replace(c, F.lit(","), F.lit(".")))
-        .when(c.contains(",") & (F.length(tail) <= 2), both)
-        .otherwise(c)
+        F.when(c.rlike(DECIMAL_COMMA), F.translate(c, ",.", ".")).when(c.rlike(PLAIN), c).try_cast(PRICE)
     )
 
 
 def _italian(text: Column) -> Column:
-    c = _accepted(text, "it")
-    tail = F.substring_index(c, ",", -1)
-    head = F.substr(c, F.lit(1), F.length(c) - F.length(tail) - F.lit(1))
-    with_cents = F.concat(F.replace(head, F.lit("."), F.lit("")), F.lit("."), tail)
-    cents = c.contains(",") & tail.rlike(r"^\d{1,2}$")
+    c = _stripped(text, "it")
     # A readable decimal comma is taken as it is; only the other form is range checked here.
-    exact = F.when(cents & with_cents.rlike(r"^\d+\.\d{1,2}$"), with_cents.try_cast(PRICE))
-    grouped = F.when(c.contains(",") & ~cents, F.replace(c, F.lit(","), F.lit(""))).otherwise(c)
-    return F.coalesce(exact, _gate(F.regexp_replace(grouped, r"^(\d+)\.$", "$1"), "it"))
+    ungrouped = F.replace(c, F.lit(","), F.lit(""))
+    other = F.when(~c.rlike(r",\d{1,2}$") & ungrouped.rlike(r"^\d+(\.\d{0,2})?$"), ungrouped).try_cast(PRICE)
+    return F.coalesce(F.when(c.rlike(DECIMAL_COMMA), F.translate(c, ",.", ".")).try_cast(PRICE), _gate(other, "it"))
 
 
 def _german(text: Column) -> Column:
-    c = _accepted(text, "de")
-    cents = F.when(c.rlike(r"^\d{4}$"), (c.try_cast("int") / 100).cast(PRICE))
-    return F.coalesce(F.when(cents.between(10, 10000), cents), _gate(_decimal_comma(c), "de"))
+    c = _stripped(text, "de")
+    cents = F.when(c.rlike(r"^[1-9]\d{3}$"), (c.try_cast("int") / 100).cast(PRICE))
+    return F.coalesce(cents, _gate(_comma_or_plain(c), "de"))
 
 
 def _polish(text: Column) -> Column:
@@ -135,8 +122,8 @@ def _dutch(text: Column) -> Column:
 PARSERS = {
     "it": _italian,
     "de": _german,
-    "fr": lambda t: _gate(_decimal_comma(_accepted(t, "fr")), "fr"),
-    "es": lambda t: _gate(_decimal_comma(_accepted(t, "es")), "es"),
+    "fr": lambda t: _gate(_comma_or_plain(_stripped(t, "fr")), "fr"),
+    "es": lambda t: _gate(_comma_or_plain(_stripped(t, "es")), "es"),
     "in": lambda t: _number_after(F.regexp_replace(t, r"(?U)[₹\s]", ""), r"([\d,]+\.?\d*)"),
     "nl": _dutch,
     "gb": lambda t: _number_after(t, r"£?([\d,]+\.?\d*)"),
@@ -157,13 +144,13 @@ def parse_price(text: Column | str, country: Column | str, countries: list[str]
     ``country`` is a column or a literal code. All rules are built-in expressions in one ``when``
     chain, so the parse stays in generated code and only a row's own branch is evaluated.
     """
-    clean = F.trim(F.regexp_replace(col(text), r"(?U)^\s+|\s+$", ""))
+    text = col(text)
     if isinstance(country, str) and country in PARSERS:
-        return PARSERS[country](clean)
+        return PARSERS[country](text)
     chain = None
     for code in countries or ["it", "de", "fr", "es", "in", "nl", "gb", "usa", "pl"]:
         test = col(country) == code
-        chain = F.when(test, PARSERS[code](clean)) if chain is None else chain.when(test, PARSERS[code](clean))
+        chain = F.when(test, PARSERS[code](text)) if chain is None else chain.when(test, PARSERS[code](text))
     return chain
 
 

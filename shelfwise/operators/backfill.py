@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.clock import batch_seconds, crawl_seconds
 from shelfwise.functions.money import price_number
 from shelfwise.functions.text import blank_to_null
-from shelfwise.operators.nearest import HOUR, band_nearest, nearest
+from shelfwise.operators.nearest import band_nearest, nearest_batch
+from shelfwise.session import cut_lineage
 
 PRICES = ["final_sku_price", "original_sku_price"]
 
@@ -124,62 +125,103 @@ def enrich(left: DataFrame, right: DataFrame, on: list[str], cols: list[str], pr
     return out.withColumns(filled).drop("_row").select(left.columns)
 
 
-def _with_batches(rows: DataFrame, feeds: DataFrame, rule: AccountRule) -> DataFrame:
-    """Add the nearest batch of every feed of the chain, one column per feed.
+def _steps(rules: list[AccountRule]) -> Column:
+    """Per account: the feeds to look into, in order, and which prices each may give."""
+    chain = None
+    for rule in rules:
+        steps = F.array(
+            *[
+                F.struct(
+                    F.lit(source).alias("source"),
+                    F.lit(i).alias("_pos"),
+                    *[F.lit(p in fields).alias(f"_chain_{p}") for p in PRICES],
+                    *[F.lit(p in rule.band.get(source, [])).alias(f"_band_{p}") for p in PRICES],
+                )
+                for i, (source, fields) in enumerate(rule.chain.items())
+            ]
+        )
+        test = F.col("account_name") == rule.account
+        chain = F.when(test, steps) if chain is None else chain.when(test, steps)
+    return chain
+
+
+def _accounts(rules: list[AccountRule], keep) -> Column:
+    return F.col("account_name").isin([r.account for r in rules if keep(r)] or [""])
+
+
+def find_prices(
+    missing: DataFrame, detail: DataFrame, listing: DataFrame, prefer: list[str], rules: list[AccountRule] = RULES
+) -> DataFrame:
+    """Prices found for rows that lack one: (id, found_final_sku_price, found_original_sku_price).
 
-    All feeds are searched in one pass, keyed by feed name; probes and feed times are distinct
-    values only, so this part does not grow with the rows of a batch.
+    All accounts and feeds go through the same joins: a row is repeated once per feed of its
+    account, looked up there, and folded back by id. The number of shuffles therefore does not grow
+    with accounts or feeds.
     """
-    names = F.explode(F.array(*[F.lit(f) for f in rule.chain])).alias("source")
-    times = feeds.where(F.col("source").isin(list(rule.chain)))
-    hit = nearest(rows.select("_probe", names), times, ["source"], "_probe", "_at", rule.hours * HOUR)
-    ids = times.where("_at is not null").groupBy("source", "_at").agg(F.max("batch_id").alias("batch_id"))
-    wide = hit.join(ids, ["source", "_at"]).groupBy("_probe").agg(
-        *[F.max(F.when(F.col("source") == f, F.col("batch_id"))).alias(f"_batch_{f}") for f in rule.chain]
+    by_detail = _accounts(rules, lambda r: r.probe == "detail")
+    by_name = _accounts(rules, lambda r: r.by_name)
+    band_key = F.when(_accounts(rules, lambda r: r.band_on == "retailer_sku_name"), F.col("retailer_sku_name")).otherwise(
+        F.col("product_url")
+    )
+    sources = sorted({source for rule in rules for source in rule.chain})
+    hours = max(rule.hours for rule in rules)
+
+    rows = missing.select("id", "account_name", "product_url", "retailer_sku_name", "crawl_strdatetime")
+    rows = rows.where(_accounts(rules, lambda r: True)).withColumn("_crawled", crawl_seconds("crawl_strdatetime"))
+    batches = detail.where(by_detail & F.col("crawl_strdatetime").isNotNull())
+    batches = batches.groupBy("account_name", "crawl_strdatetime").agg(
+        F.max("batch_id").alias("_detail_batch"), F.lit(True).alias("_has_detail")
+    )
+    rows = rows.join(batches, ["account_name", "crawl_strdatetime"], "left")
+    rows = rows.where(~_accounts(rules, lambda r: r.need_detail) | F.col("_has_detail"))
+    rows = rows.withColumn("_probe", F.when(by_detail, batch_seconds("_detail_batch")).otherwise(F.col("_crawled")))
+    rows = rows.select(
+        "id", "account_name", "product_url", "retailer_sku_name", "_crawled", "_probe",
+        band_key.alias("_band_key"), F.explode(_steps(rules)).alias("_step"),
+    ).select("*", "_step.*").drop("_step")
+
+    feeds = listing.where(_accounts(rules, lambda r: True) & F.col("source").isin(sources)).select(
+        "account_name", "source", "batch_id", "product_url", "retailer_sku_name", *PRICES,
+        *[c for c in prefer if c not in PRICES],
+        crawl_seconds("crawl_strdatetime").alias("_seen"), band_key.alias("_band_key"),
+    )
+    feeds = feeds.withColumn("_at", F.when(by_detail, batch_seconds("batch_id")).otherwise(F.col("_seen")))
+
+    on = ["account_name", "source"]
+    near = nearest_batch(rows, feeds, on, "_probe", "_at", "batch_id", hours)
+    rows = rows.join(near, [*on, "_probe"], "left")
+    lookup = lambda key, kept: one_per_key(kept.where(F.col(key).isNotNull()), [*on, "batch_id", key], PRICES, prefer)
+    url_rows = lookup("product_url", feeds).withColumnRenamed("_row", "_by_url")
+    name_rows = lookup("retailer_sku_name", feeds.where(by_name)).withColumnRenamed("_row", "_by_name")
+    rows = rows.join(url_rows, [*on, "batch_id", "product_url"], "left")
+    rows = rows.join(name_rows, [*on, "batch_id", "retailer_sku_name"], "left")
+    # A URL row counts as found even where its prices are NULL.
+    rows = rows.withColumn("_hit", F.coalesce("_by_url", "_by_name"))
+
+    in_band = reduce(lambda a, b: a | b, [F.col(f"_band_{p}") for p in PRICES])
+    searched = rows.where(in_band & F.col("_band_key").isNotNull()).select(*on, "_band_key", "_crawled")
+    bands = band_nearest(
+        searched, feeds.where(F.col("_band_key").isNotNull()), [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer
+    )
+    bands = bands.select(*on, "_band_key", "_crawled", F.struct(*PRICES).alias("_near"))
+    rows = rows.join(bands, [*on, "_band_key", "_crawled"], "left")
+
+    def first(step: str, source: str, price: str) -> Column:
+        value = F.col(f"{source}.{price}")
+        return F.min_by(value, F.when(F.col(f"_{step}_{price}") & value.isNotNull(), F.col("_pos")))
+
+    return rows.groupBy("id").agg(
+        *[F.coalesce(first("chain", "_hit", p), first("band", "_near", p)).alias(f"found_{p}") for p in PRICES]
     )
-    return rows.join(wide, "_probe", "left")
-
-
-def find_prices(missing: DataFrame, detail: DataFrame, listing: DataFrame, rule: AccountRule, prefer: list[str]) -> DataFrame:
-    """Prices found for one account's rows: (id, found_final, found_original)."""
-    keep = ["id", "product_url", "retailer_sku_name", "crawl_strdatetime"]
-    rows = missing.where(F.col("account_name") == rule.account).select(*keep)
-    rows = base = rows.withColumn("_crawled", crawl_seconds("crawl_strdatetime"))
-    used = sorted(set(rule.chain) | set(rule.band), key=list(rule.chain).index)
-    feeds = listing.where((F.col("account_name") == rule.account) & F.col("source").isin(used))
-    feeds = feeds.withColumn("_crawled", crawl_seconds("crawl_strdatetime"))
-    if rule.probe == "detail":
-        batches = detail.where(F.col("account_name") == rule.account).groupBy("crawl_strdatetime").agg(
-            F.max("batch_id").alias("_detail_batch"), F.count(F.lit(1)).alias("_detail_rows")
-        )
-        rows = rows.join(batches, "crawl_strdatetime", "inner" if rule.need_detail else "left")
-        rows = rows.withColumn("_probe", batch_seconds("_detail_batch")).drop("_detail_batch", "_detail_rows")
-        feeds = feeds.withColumn("_at", batch_seconds("batch_id"))
-    else:
-        rows = rows.withColumn("_probe", F.col("_crawled"))
-        feeds = feeds.withColumn("_at", F.col("_crawled"))
-    rows = _with_batches(rows, feeds, rule)
-    for p in PRICES:
-        rows = rows.withColumn(f"_{p}", F.lit(None).cast("string"))
-
-    for source, fields in rule.chain.items():
-        feed = feeds.where(F.col("source") == source)
-        rows = match_url_then_name(rows, feed, f"_batch_{source}", fields, prefer, rule.by_name)
-        rows = fill_chain(rows, "_hit", fields).drop(f"_batch_{source}")
-
-    # The band search starts from the rows as they came, so the chain's joins are not run again.
-    for source, fields in rule.band.items():
-        hits = band_nearest(
-            base, feeds.where(F.col("source") == source), [rule.band_on], "_crawled", "_crawled", fields, prefer
-        ).select(rule.band_on, "_crawled", F.struct(*fields).alias("_band"))
-        rows = rows.join(hits, [rule.band_on, "_crawled"], "left")
-        rows = fill_chain(rows, "_band", fields)
-    return rows.select("id", *[F.col(f"_{p}").alias(f"found_{p}") for p in PRICES])
 
 
 def apply_backfill(unified: DataFrame, found: DataFrame, savings_accounts: list[str]) -> DataFrame:
-    """Keep existing prices, fill missing ones, recompute savings where both are then known."""
-    out = unified.join(found, "id", "left")
+    """Keep existing prices, fill missing ones, recompute savings where both are then known.
+
+    Complete rows pass by without a shuffle; only rows that lack a price are joined.
+    """
+    lacks = F.col("final_sku_price").isNull() | F.col("original_sku_price").isNull()
+    out = unified.where(lacks).join(found, "id", "left")
     touched = reduce(lambda a, b: a | b, [F.col(f"found_{p}").isNotNull() for p in PRICES])
     new = {p: F.coalesce(F.col(p), F.col(f"found_{p}")) for p in PRICES}
     difference = price_number(new["original_sku_price"]) - price_number(new["final_sku_price"])
@@ -191,7 +233,8 @@ def apply_backfill(unified: DataFrame, found: DataFrame, savings_accounts: list[
     if "savings" in unified.columns:
         columns["savings"] = F.when(recompute, text).otherwise(F.col("savings"))
     columns["backfilled"] = touched
-    return out.withColumns(columns).select(*unified.columns, "backfilled")
+    filled = out.withColumns(columns).select(*unified.columns, "backfilled")
+    return unified.where(~lacks).withColumn("backfilled", F.lit(False)).unionByName(filled)
 
 
 def backfill_prices(
@@ -210,17 +253,23 @@ def backfill_prices(
     """
     clean = lambda df: df.withColumns({p: blank_to_null(p) for p in PRICES})
     unified, listing = clean(unified), clean(listing)
-    missing = null_price_rows(unified, rng=rng)
-    found = [find_prices(missing, detail, listing, rule, prefer) for rule in rules]
-    return apply_backfill(unified, reduce(DataFrame.unionByName, found), [r.account for r in rules if r.savings])
+    found = find_prices(null_price_rows(unified, rng=rng), detail, listing, prefer, rules)
+    return apply_backfill(unified, found, [r.account for r in rules if r.savings])
+
 
+def backfill_phases(
+    unified: DataFrame, detail: DataFrame, listing: DataFrame, prefer: list[str],
+    phases: list[tuple[str, str] | None], rules: list[AccountRule] = RULES,
+) -> DataFrame:
+    """Run the backfill for each phase (a range, or None for everything) in turn.
 
-def backfill_phases(unified, detail, listing, prefer, phases, rules: list[AccountRule] = RULES) -> DataFrame:
-    """Run the backfill for each phase (a range, or None for everything) in turn."""
+    A phase ends with a written table, as the source system commits it; the next one starts there.
+    """
     out = unified
-    for rng in phases:
-        done = backfill_prices(out, detail, listing, prefer, rules, rng)
-        out = done.drop("backfilled")
+    for i, rng in enumerate(phases):
+        out = backfill_prices(out, detail, listing, prefer, rules, rng).drop("backfilled")
+        if i + 1 < len(phases):
+            out = cut_lineage(out, "backfill-phase")
     return out
 
 

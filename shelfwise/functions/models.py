@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import blank_to_null, col, pick
+from shelfwise.functions.text import blank_to_null, col, let, pick
 
 # Texts that are never a model number.
 GENERIC_MODELS = [
@@ -50,34 +50,38 @@ def model_from_url(url: Column | str, strict: bool = False) -> Column:
     one-letter suffix is kept.
     """
     path = F.split(F.trim(pick(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1), F.lit("/")), "/")
-    part = F.when(F.try_element_at(path, F.lit(1)) == "ip", F.try_element_at(path, F.lit(2)))
-    tokens = F.split(part, "-")
-    at = lambda i: F.coalesce(F.try_element_at(tokens, i), F.lit(""))
+    at = lambda arr, i: F.coalesce(F.get(arr, i), F.lit(""))
 
-    def candidate(token: Column, i: Column) -> Column:
-        following, after = at(i + F.lit(2)), at(i + F.lit(3))
+    def candidate(tokens: Column, token: Column, i: Column) -> Column:
+        following = at(tokens, i + F.lit(1))
         joins = following.rlike(r"^\d{2,4}$")
         wanted = _mixed(token) & (F.length(token) >= 5)
-        if not strict:
-            return F.when(wanted, F.when(joins, F.concat(token, F.lit("-"), following)).otherwise(token))
-        joins = joins & ~following.rlike(r"^(19|20)\d{2}$") & (F.lower(after) != "inch")
-        joins = joins | (following.rlike(r"^[A-Z]$") & (i + F.lit(2) == F.size(tokens)))
-        wanted = wanted & ~token.rlike(RESOLUTION) & ~token.rlike(REFRESH_RATE)
-        wanted = wanted & (F.lower(following) != "remote")
+        if strict:
+            joins = joins & ~following.rlike(r"^(19|20)\d{2}$") & (F.lower(at(tokens, i + F.lit(2))) != "inch")
+            joins = joins | (following.rlike(r"^[A-Z]$") & (i + F.lit(2) == F.size(tokens)))
+            wanted = wanted & ~token.rlike(RESOLUTION) & ~token.rlike(REFRESH_RATE)
+            wanted = wanted & (F.lower(following) != "remote")
         return F.when(wanted, F.when(joins, F.concat(token, F.lit("-"), following)).otherwise(token))
 
-    longest = F.aggregate(
-        F.filter(F.transform(tokens, candidate), lambda t: t.isNotNull()),
-        F.lit(""),
-        lambda best, t: F.when(F.length(t) > F.length(best), t).otherwise(best),
-    )
-    whole = F.replace(part, F.lit("-AUS"), F.lit(""))
-    last = F.try_element_at(tokens, F.lit(-1))
-    return blank_to_null(
-        F.when((F.size(path) == 2) & (F.length(whole) > 3), whole)
-        .when(last.rlike(r"^\d{8,}$"), last)
-        .otherwise(longest)
-    )
+    def choose(parts: Column) -> Column:
+        tokens, last = F.split(F.get(parts, F.lit(1)), "-"), F.substring_index(F.get(parts, F.lit(1)), "-", -1)
+        whole = F.replace(F.get(parts, F.lit(1)), F.lit("-AUS"), F.lit(""))
+        longest = let(
+            tokens,
+            lambda t: F.aggregate(
+                F.transform(t, lambda token, i: candidate(t, token, i)),
+                F.lit(""),
+                lambda best, c: F.when(F.length(c) > F.length(best), c).otherwise(best),
+            ),
+        )
+        chosen = (
+            F.when((F.size(parts) == 2) & (F.length(whole) > 3), whole)
+            .when(last.rlike(r"^\d{8,}$"), last)
+            .otherwise(longest)
+        )
+        return F.when(F.get(parts, F.lit(0)) == "ip", chosen)
+
+    return blank_to_null(let(path, choose))
 
 
 def model_from_name(name: Column | str) -> Column:
@@ -104,4 +108,4 @@ def model(spec_name: Column | str, spec_model: Column | str, url: Column | str,
 
     spec = F.coalesce(usable(spec_name), usable(spec_model))
     fallback = F.coalesce(model_from_url(url), model_from_name(name))
-    return F.when(~is_invalid_model(spec), spec).otherwise(fallback)
+    return F.coalesce(let(spec, lambda s: F.when(~is_invalid_model(s), s)), fallback)

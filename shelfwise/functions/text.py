@@ -21,6 +21,11 @@ def pick(c: Column | str, pattern: str, group: int = 0) -> Column:
     return F.nullif(F.regexp_extract(col(c), pattern, group), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(c: Column | str) -> Column:
     """Collapse runs of white space, no-break space included, and trim."""
     return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))

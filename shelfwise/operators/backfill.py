@@ -166,19 +166,19 @@ def find_prices(
     sources = sorted({source for rule in rules for source in rule.chain})
     hours = max(rule.hours for rule in rules)
 
-    rows = missing.select("id", "account_name", "product_url", "retailer_sku_name", "crawl_strdatetime")
-    rows = rows.where(_accounts(rules, lambda r: True)).withColumn("_crawled", crawl_seconds("crawl_strdatetime"))
+    base = missing.where(_accounts(rules, lambda r: True)).select(
+        "id", "account_name", "product_url", "retailer_sku_name", "crawl_strdatetime",
+        crawl_seconds("crawl_strdatetime").alias("_crawled"), band_key.alias("_band_key"),
+        F.explode(_steps(rules)).alias("_step"),
+    ).select("*", "_step.*").drop("_step")
+
     batches = detail.where(by_detail & F.col("crawl_strdatetime").isNotNull())
     batches = batches.groupBy("account_name", "crawl_strdatetime").agg(
         F.max("batch_id").alias("_detail_batch"), F.lit(True).alias("_has_detail")
     )
-    rows = rows.join(batches, ["account_name", "crawl_strdatetime"], "left")
+    rows = base.join(batches, ["account_name", "crawl_strdatetime"], "left")
     rows = rows.where(~_accounts(rules, lambda r: r.need_detail) | F.col("_has_detail"))
     rows = rows.withColumn("_probe", F.when(by_detail, batch_seconds("_detail_batch")).otherwise(F.col("_crawled")))
-    rows = rows.select(
-        "id", "account_name", "product_url", "retailer_sku_name", "_crawled", "_probe",
-        band_key.alias("_band_key"), F.explode(_steps(rules)).alias("_step"),
-    ).select("*", "_step.*").drop("_step")
 
     feeds = listing.where(_accounts(rules, lambda r: True) & F.col("source").isin(sources)).select(
         "account_name", "source", "batch_id", "product_url", "retailer_sku_name", *PRICES,
@@ -199,7 +199,8 @@ def find_prices(
     rows = rows.withColumn("_hit", F.coalesce("_by_url", "_by_name"))
 
     in_band = reduce(lambda a, b: a | b, [F.col(f"_band_{p}") for p in PRICES])
-    searched = rows.where(in_band & F.col("_band_key").isNotNull()).select(*on, "_band_key", "_crawled")
+    # The search starts from the rows as they came, so that the lookups above are not run twice.
+    searched = base.where(in_band & F.col("_band_key").isNotNull()).select(*on, "_band_key", "_crawled")
     bands = band_nearest(
         searched, feeds.where(F.col("_band_key").isNotNull()), [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer
     )

@@ -9,53 +9,64 @@ however many rows the key has, and no pair of rows is ever built.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR = 3600
 
 
 def nearest(
-    left: DataFrame, right: DataFrame, on: list[str], left_at: str, right_at: str, hi: int, lo: int = 0
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    left_at: str,
+    right_at: str,
+    hi: int,
+    lo: int = 0,
+    payload: Column | None = None,
 ) -> DataFrame:
     """For each distinct (on, left_at): the right_at with lo <= |difference| <= hi, closest first.
 
-    Times are whole seconds (bigint). Equal distances go to the later time. The result has the
-    columns ``on``, ``left_at``, ``right_at``; probes without a match are left out.
+    Times are whole seconds (bigint). Equal distances go to the later time. ``payload`` is an
+    aggregate over the right rows of one key and second; it travels with the point, so nothing is
+    joined back. Returns (on, left_at, right_at, payload); probes without a match are left out.
     """
     width = F.lit(hi + 1).cast("bigint")
     bucket = lambda c: F.floor(c / width)
-    usable = lambda df, at: df.select(*on, at).where(F.col(at).isNotNull()).distinct()
     # Direction -1 mirrors time, so that "nearest later" is "nearest earlier" of the mirror image.
     directions = F.explode(F.array(F.lit(1), F.lit(-1))).alias("_dir")
 
-    points = usable(right, right_at).select(*on, right_at, directions)
-    points = points.withColumn("_at", F.col("_dir") * F.col(right_at).cast("bigint"))
-    points = points.select(*on, "_dir", bucket(F.col("_at")).alias("_bucket"), "_at")
-    carried = points.groupBy(*on, "_dir", (F.col("_bucket") + 1).alias("_bucket")).agg(F.max("_at").alias("_at"))
-    known = points.unionByName(carried).withColumn("_probe", F.lit(None).cast("bigint"))
+    points = right.where(F.col(right_at).isNotNull()).groupBy(*on, F.col(right_at).cast("bigint").alias("_at"))
+    points = points.agg((F.lit(True) if payload is None else payload).alias("_load"))
+    points = points.select(*on, "_at", "_load", directions).withColumn("_at", F.col("_dir") * F.col("_at"))
+    points = points.withColumn("_bucket", bucket(F.col("_at")))
+    carried = points.groupBy(*on, "_dir", (F.col("_bucket") + 1).alias("_bucket")).agg(
+        F.max_by("_load", "_at").alias("_load"), F.max("_at").alias("_at")
+    )
+    known = points.unionByName(carried).withColumn("_point", F.struct("_at", "_load")).drop("_load")
+    known = known.withColumn("_probe", F.lit(None).cast("bigint"))
 
-    probes = usable(left, left_at).select(*on, F.col(left_at).cast("bigint").alias("_probe"), directions)
-    probes = probes.withColumn("_at", F.col("_dir") * F.col("_probe") - F.lit(lo))
-    probes = probes.withColumn("_bucket", bucket(F.col("_at"))).select(known.columns)
+    probes = left.where(F.col(left_at).isNotNull()).select(*on, F.col(left_at).cast("bigint").alias("_probe")).distinct()
+    probes = probes.select("*", directions).withColumn("_at", F.col("_dir") * F.col("_probe") - F.lit(lo))
+    probes = probes.withColumn("_bucket", bucket(F.col("_at")))
 
-    is_point = F.when(F.col("_probe").isNull(), F.col("_at"))
     # At equal times points come before probes: NULL sorts first.
     order = Window.partitionBy(*on, "_dir", "_bucket").orderBy("_at", F.col("_probe").asc_nulls_first())
-    seen = known.unionByName(probes).withColumn(
-        "_found", F.last(is_point, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    seen = known.unionByName(probes, allowMissingColumns=True).withColumn(
+        "_found", F.last("_point", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    found = seen.where(F.col("_probe").isNotNull()).select(
-        *on,
-        F.col("_probe").alias(left_at),
-        (F.col("_dir") * F.col("_found")).alias(right_at),
-    )
-    gap = F.abs(F.col(left_at) - F.col(right_at))
-    return (
-        found.where(gap.between(lo, hi))
-        .groupBy(*on, left_at)
-        .agg(F.min_by(right_at, F.struct(gap, -F.col(right_at))).alias(right_at))
+    gap = F.abs(F.col("_probe") - F.col("_right"))
+    found = (
+        seen.where(F.col("_probe").isNotNull() & F.col("_found").isNotNull())
+        .select(*on, "_probe", (F.col("_dir") * F.col("_found._at")).alias("_right"), "_found._load")
+        .where(gap.between(lo, hi))
     )
+    best = F.min_by(F.struct("_right", "_load"), F.struct(gap, -F.col("_right"))).alias("_best")
+    out = found.groupBy(*on, F.col("_probe").alias(left_at)).agg(best)
+    columns = [F.col("_best._right").alias(right_at)]
+    if payload is not None:
+        columns.append(F.col("_best._load").alias("payload"))
+    return out.select(*on, left_at, *columns)
 
 
 def nearest_batch(
@@ -72,9 +83,8 @@ def nearest_batch(
     ``right`` carries (on, right_at, batch); several batches at one second resolve to the largest
     id. Returns (on, left_at, batch).
     """
-    hit = nearest(left, right, on, left_at, right_at, hours * HOUR)
-    names = right.where(F.col(right_at).isNotNull()).groupBy(*on, right_at).agg(F.max(batch).alias(batch))
-    return hit.join(names, [*on, right_at]).drop(right_at)
+    hit = nearest(left, right, on, left_at, right_at, hours * HOUR, payload=F.max(batch))
+    return hit.select(*on, left_at, F.col("payload").alias(batch))
 
 
 def band_nearest(
@@ -93,8 +103,6 @@ def band_nearest(
     The nearest row is taken even where its values are NULL. Rows of one key and second are
     settled by ``prefer``, smallest first. Returns (on, left_at, values).
     """
-    hit = nearest(left, right, on, left_at, right_at, hi_hours * HOUR, lo_hours * HOUR)
-    row = right.where(F.col(right_at).isNotNull()).groupBy(*on, right_at).agg(
-        F.min_by(F.struct(*values), F.struct(*prefer)).alias("_row")
-    )
-    return hit.join(row, [*on, right_at]).select(*on, left_at, *[F.col(f"_row.{v}").alias(v) for v in values])
+    row = F.min_by(F.struct(*values), F.struct(*prefer))
+    hit = nearest(left, right, on, left_at, right_at, hi_hours * HOUR, lo_hours * HOUR, payload=row)
+    return hit.select(*on, left_at, *[F.col(f"payload.{v}").alias(v) for v in values])

@@ -40,17 +40,25 @@ def extract(
 ) -> DataFrame:
     """One column per field: the first rule, by priority, that matches something non-empty.
 
-    The cascade is a ``coalesce`` of literal patterns: no join with a rule table, no shuffle, and a
-    page stops at the first match. ``post`` maps a field to a function applied to its value.
+    There is no join with a rule table and no shuffle: the rules become literal patterns, one
+    projection per priority level. A level is evaluated only for fields that are still empty, and
+    each pattern at most once per page. ``post`` maps a field to a function of its value.
     """
     fields: dict[str, list[Rule]] = {}
     for rule in sorted((r for r in rules if r.active), key=lambda r: r.priority, reverse=descending):
         fields.setdefault(rule.field, []).append(rule)
-    out = []
-    for name in sorted(fields):
-        value = F.coalesce(*[blank_to_null(F.trim(pick(html, r.pattern, 1))) for r in fields[name]])
-        out.append((post or {}).get(name, lambda c: c)(value).alias(name))
-    return pages.select(*keep, *out)
+    match = lambda rule: F.trim(F.regexp_extract(col(html), rule.pattern, 1))
+    out = pages.withColumns({f"_f_{name}": match(cascade[0]) for name, cascade in fields.items()})
+    for level in range(1, max(len(cascade) for cascade in fields.values())):
+        out = out.withColumns(
+            {
+                f"_f_{name}": F.when(F.col(f"_f_{name}") != "", F.col(f"_f_{name}")).otherwise(match(cascade[level]))
+                for name, cascade in fields.items()
+                if level < len(cascade)
+            }
+        )
+    value = lambda name: (post or {}).get(name, lambda c: c)(blank_to_null(f"_f_{name}"))
+    return out.select(*keep, *[value(name).alias(name) for name in sorted(fields)])
 
 
 def containers(pages: DataFrame, pattern: str, keep: list[str], html: str = "html") -> DataFrame:
@@ -105,22 +113,20 @@ def _any(c: Column, words: list[str]) -> Column:
     return out
 
 
-def title_of(html: Column | str) -> Column:
-    return pick(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
-def page_status(html: Column | str, normal_marks: list[str] | None = None) -> Column:
-    """ok / throttled / challenge / robot / blocked / error.
+def with_status(pages: DataFrame, html: str = "html", normal_marks: list[str] | None = None) -> DataFrame:
+    """Add ``status``: ok / throttled / challenge / robot / blocked / error.
 
     A page that shows a normal product element is ok whatever its text says. Body texts of the
-    blocked class do not count where a link to continue is offered.
+    blocked class do not count where a link to continue is offered. The lower-case page and its
+    title are columns of their own, computed once per page.
     """
-    raw = col(html)
-    body = F.lower(raw)
-    title = F.coalesce(F.lower(title_of(html)), F.lit(""))
+    raw, body, title = col(html), F.col("_body"), F.col("_title")
     sorry = _any(title, SORRY_TEXTS) | _any(F.substring(body, 1, 2000), SORRY_TEXTS)
     blocked = _any(title, BLOCKED_TITLE) | (~_any(body, CONTINUE_LINKS) & _any(body, BLOCKED_BODY))
-    return (
+    status = (
         F.when(_any(raw, normal_marks or NORMAL_MARKS), F.lit("ok"))
         .when(_any(body, THROTTLE_TEXTS), F.lit("throttled"))
         .when(_any(body, CHALLENGE_TEXTS) | _any(title, CHALLENGE_TEXTS), F.lit("challenge"))
@@ -129,11 +135,15 @@ def page_status(html: Column | str, normal_marks: list[str] | None = None) -> Co
         .when(_any(title, ERROR_TEXTS) | _any(body, ERROR_TEXTS), F.lit("error"))
         .otherwise(F.lit("ok"))
     )
+    staged = pages.withColumns(
+        {"_body": F.lower(raw), "_title": F.lower(F.regexp_extract(raw, TITLE, 1))}
+    )
+    return staged.withColumn("status", status).drop("_body", "_title")
 
 
 def status_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages per status."""
-    return pages.groupBy(page_status(html).alias("status")).agg(F.count(F.lit(1)).alias("pages"))
+    return with_status(pages, html).groupBy("status").agg(F.count(F.lit(1)).alias("pages"))
 
 
 def attach_section(elements: DataFrame, page: str, position: str, section: str) -> DataFrame:

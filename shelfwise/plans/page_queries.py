@@ -14,8 +14,8 @@ RULES = [
     P.Rule("title", r"(?s)<title>(.*?)</title>", 3),
     P.Rule("language", r'<html lang="([^"]*)"', 1),
     P.Rule("language", r'<html xml:lang="([^"]*)"', 2, active=False),
-    P.Rule("last_word", r"(?s)([^\s<>]+)\s*</p>\s*</article>", 1),
-    P.Rule("last_word", r"(?s)<p>([^<]*)</p>", 2),
+    P.Rule("closing", r"(?s)<footer>([^<]*)<", 1),
+    P.Rule("closing", r"(?s)<p>([^<]*)</p>", 2),
 ]
 
 
@@ -33,7 +33,7 @@ def _cascade(field: str) -> str:
     return "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(html, '{r.pattern}', 1), ' '), '')" for r in rules) + ")"
 
 
-@query("extract_fields", _source() + f"select page_id, {', '.join(f'{_cascade(f)} as {f}' for f in ('title', 'language', 'last_word'))} from s")
+@query("extract_fields", _source() + f"select page_id, {', '.join(f'{_cascade(f)} as {f}' for f in ('title', 'language', 'closing'))} from s")
 def extract_fields(spark, folder):
     return P.extract(_pages(spark, folder), RULES, ["page_id"])
 
@@ -101,7 +101,7 @@ STATUS = (
 
 @query("page_status", STATUS)
 def page_status(spark, folder):
-    return _pages(spark, folder, NOTICE).select("page_id", P.page_status("html").alias("status"))
+    return P.with_status(_pages(spark, folder, NOTICE)).select("page_id", "status")
 
 
 @query("status_counts", f"select status, count(*) as pages from ({STATUS}) group by status")

@@ -41,8 +41,6 @@ def exact_median(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Mean, minimum, maximum, exact median and row count per group."""
-    if not by:
-        return price_stats(df.withColumn("_all", F.lit(1)), value, ["_all"]).drop("_all")
     price = F.col(value)
     plain = df.where(price.isNotNull()).groupBy(*by).agg(
         (F.sum(price).cast("double") / F.count(price)).alias("mean_price"),
@@ -50,7 +48,10 @@ def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
         F.max(price).alias("max_price"),
         F.count(price).alias("priced"),
     )
-    return plain.join(exact_median(df, value, by), by)
+    if by:
+        return plain.join(exact_median(df, value, by), by)
+    median = exact_median(df.withColumn("_all", F.lit(1)), value, ["_all"]).select("median_price")
+    return plain.withColumn("median_price", median.scalar())
 
 
 def daily_history(df: DataFrame, now, days: int, value: str = "retailprice", at: str = "crawl_datetime") -> DataFrame:

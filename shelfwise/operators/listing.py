@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import blank_to_null, col
+from shelfwise.session import cut_lineage
 
 FEEDS = ["main", "bsr", "promotion", "trend"]
 
@@ -15,20 +16,23 @@ def feed_position(source: Column | str, feeds: list[str] = FEEDS) -> Column:
     return F.nullif(F.array_position(F.array(*[F.lit(f) for f in feeds]), col(source)), F.lit(0)).cast("int")
 
 
-def latest_batch(listing: DataFrame, by: str = "source", domain: list[str] = FEEDS) -> DataFrame:
+def latest_batch(listing: DataFrame, domains: dict[str, list[str]] | None = None) -> DataFrame:
     """Rows of the newest batch of each feed.
 
-    Batch ids of one form sort as text. The list of newest batches has at most one row per value
-    of ``domain``, which is what makes the broadcast safe at any size of the listing.
+    ``domains`` names the columns that tell feeds apart and the values each may take; by default
+    the feed names. Batch ids of one form sort as text. The list of newest batches has at most one
+    row per combination of domain values, so its broadcast is safe at any size of the listing.
     """
-    listing = listing.where(F.col(by).isin(domain))
-    newest = listing.groupBy(by).agg(F.max("batch_id").alias("batch_id"))
-    return listing.join(F.broadcast(newest), [by, "batch_id"], "left_semi")
+    domains = domains or {"source": FEEDS}
+    for column, values in domains.items():
+        listing = listing.where(F.col(column).isin(values))
+    newest = listing.groupBy(*domains).agg(F.max("batch_id").alias("batch_id"))
+    return listing.join(F.broadcast(newest), [*domains, "batch_id"], "left_semi")
 
 
 def merge_feeds(
     listing: DataFrame,
-    key: str,
+    key: str | list[str],
     attrs: list[str],
     feeds: list[str] = FEEDS[:3],
     order: tuple[str, ...] = ("rank",),
@@ -42,7 +46,8 @@ def merge_feeds(
     the source system, or their best with ``strict_parity=False``. ``fill`` names attributes that,
     while blank, take the best-ranked value of the later feeds in turn.
     """
-    rows = listing.where(F.col("source").isin(feeds) & blank_to_null(key).isNotNull())
+    keys = [key] if isinstance(key, str) else key
+    rows = require(listing.where(F.col("source").isin(feeds)), keys)
     rows = rows.withColumn("_pos", feed_position("source", feeds))
     place = F.struct(*order)
     in_feed = lambda feed, value: F.when(F.col("source") == feed, value)
@@ -58,10 +63,10 @@ def merge_feeds(
         for feed in feeds[1:]:
             has_value = (F.col("source") == feed) & blank_to_null(attr).isNotNull()
             aggs.append(F.min_by(attr, F.when(has_value, place)).alias(f"_{attr}_{feed}"))
-    merged = rows.groupBy(key).agg(*aggs)
+    merged = rows.groupBy(*keys).agg(*aggs)
 
     names = F.array(*[F.lit(f) for f in feeds])
-    out = [F.col(key), F.element_at(names, F.col("_first")).alias("page_type")]
+    out = [*keys, F.element_at(names, F.col("_first")).alias("page_type")]
     for attr in attrs:
         value = F.col(f"_row.{attr}")
         if attr in fill:
@@ -121,26 +126,37 @@ def next_rank(df: DataFrame, rank: str = "rank", by: list[str] | None = None) ->
     return grouped.agg((F.coalesce(F.max(rank), F.lit(0)) + 1).cast("bigint").alias("next_rank"))
 
 
+def number_rows(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Row numbers 1.. per group in a total order, with no group in one task.
+
+    Rows are range-partitioned by group and order, which splits a large group over many
+    partitions, and written once with their partition number. They are numbered inside (group,
+    partition); a partition starts where the counts of the group's earlier partitions end.
+    """
+    placed = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()), "numbering")
+    sizes = placed.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(*by, "_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
+    numbered = placed.withColumn("_rn", inside).join(starts, [*by, "_part"])
+    return numbered.withColumn(name, F.col("_rn") + F.col("_start")).drop("_part", "_rn", "_start")
+
+
 def continue_rank(
-    first: DataFrame, second: DataFrame, by: list[str], page: str, order: list[Column | str], all_batches: bool = False
+    first: DataFrame, second: DataFrame, by: list[str], order: list[str], all_batches: bool = False
 ) -> DataFrame:
     """Rank the second part after the end of the first.
 
-    Numbering is two-level: rows are numbered inside (group, page), and pages get their start from
-    a running sum over page counts. No task holds a whole batch. The offset is the first part's
-    largest rank in the same group, or over everything with ``all_batches``.
+    The offset is the first part's largest rank in the same group, or over everything with
+    ``all_batches``.
     """
-    in_page = F.row_number().over(Window.partitionBy(*by, page).orderBy(*order))
-    sizes = second.groupBy(*by, page).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select(*by, page, F.coalesce(before, F.lit(0)).alias("_start"))
-    ranked = second.withColumn("_rn", in_page).join(starts, [*by, page])
+    ranked = number_rows(second, by, order, "_number")
     if all_batches:
         ranked = ranked.withColumn("_offset", first.agg(F.max("rank")).scalar())
     else:
         ranked = ranked.join(first.groupBy(*by).agg(F.max("rank").alias("_offset")), by, "left")
-    rank = F.col("_rn") + F.col("_start") + F.coalesce(F.col("_offset"), F.lit(0))
-    return ranked.withColumn("continued_rank", rank.cast("bigint")).drop("_rn", "_start", "_offset")
+    rank = F.col("_number") + F.coalesce(F.col("_offset"), F.lit(0))
+    return ranked.withColumn("continued_rank", rank.cast("bigint")).drop("_number", "_offset")
 
 
 def feed_order(merged: DataFrame, feeds: list[str] = FEEDS[:3]) -> DataFrame:

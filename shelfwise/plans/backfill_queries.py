@@ -229,9 +229,12 @@ NEWEST = (
     "backfill_latest",
     check_sql(
         "select u.id, coalesce(u.f, one.f) as final_sku_price, coalesce(u.o, one.o) as original_sku_price from u left join one using (url) where u.a = 'Amazon' and "
-        "u.c = (select max(c) from u where a = 'Amazon')",
+        "substr(u.c, 1, 8) = (select max(substr(c, 1, 8)) from u where a = 'Amazon')",
         "unified", "detail", "listing", extra=NEWEST,
     ),
 )
 def backfill_latest(spark, folder):
-    return backfill.backfill_latest(*_sources(spark, folder), "Amazon", PREFER).select("id", *PRICES)
+    unified, detail, feeds = _sources(spark, folder)
+    # One crawl a day: the rows of a run share their crawl time.
+    unified = unified.withColumn("crawl_strdatetime", F.concat(F.substring("crawl_strdatetime", 1, 8), F.lit("0000000000")))
+    return backfill.backfill_latest(unified, detail, feeds, "Amazon", PREFER).select("id", *PRICES)

@@ -9,6 +9,7 @@ from shelfwise.functions.urls import product_code
 from shelfwise.operators import dml, listing
 from shelfwise.plans.registry import query
 from shelfwise.plans.views import check_sql, view
+from shelfwise.schema import ACCOUNTS
 
 ATTRS = ["listing_id", "retailer_sku_name", "offer", "pick_up_availability", "sku_status"]
 ORDER = ("rank", "listing_id")
@@ -43,7 +44,7 @@ def _merge_sql(key: str, feeds: list[str], strict: bool = True, promo: bool = Tr
 
 
 def _merged(spark, folder, feeds, **options):
-    rows = listing.latest_batch(view(spark, folder, "listing"), domain=feeds)
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
     return listing.merge_feeds(rows, "product_url", ATTRS, feeds, ORDER, **options)
 
 
@@ -62,6 +63,22 @@ def merge_feeds_trend(spark, folder):
     return _merged(spark, folder, listing.FEEDS)
 
 
+@query(
+    "merge_feeds_by_account",
+    check_sql(
+        "select account_name, product_url, arg_min(source, place) as page_type, arg_min(listing_id, place) as listing_id, min(rank) filter (source = 'main') as main_rank, "
+        "max(rank) filter (source = 'bsr') as bsr_rank, max(rank) filter (source = 'promotion') as promotion_rank from (select *, "
+        "(case source when 'main' then 1 when 'bsr' then 2 else 3 end) * cast(1000000000000 as bigint) + rank * 1000000 + listing_id as place from v_listing l where "
+        "source <> 'trend' and product_url <> '' and batch_id = (select max(batch_id) from v_listing m where m.source = l.source and m.account_name = l.account_name)) group by all",
+        "listing",
+    ),
+)
+def merge_feeds_by_account(spark, folder):
+    feeds = listing.FEEDS[:3]
+    rows = listing.latest_batch(view(spark, folder, "listing"), {"account_name": ACCOUNTS, "source": feeds})
+    return listing.merge_feeds(rows, ["account_name", "product_url"], ["listing_id"], feeds, ORDER).drop("promotion_type")
+
+
 CODE = (
     "coded as (select *, coalesce(nullif(regexp_extract(listing_url, '/dp/([A-Z0-9]{10})', 1), ''), listing_url) as product_code from latest), "
     "picked as (select *, row_number() over (partition by product_code order by case source when 'main' then 1 else 2 end, rank, listing_id) as rn "
@@ -80,7 +97,7 @@ CODE = (
 )
 def merge_by_code(spark, folder):
     feeds = ["main", "bsr"]
-    rows = listing.latest_batch(view(spark, folder, "listing"), domain=feeds)
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
     rows = rows.withColumn("product_code", product_code("listing_url"))
     merged = listing.merge_feeds(rows, "product_code", ["listing_id", "listing_url"], feeds, ORDER)
     return merged.drop("promotion_type")
@@ -101,7 +118,7 @@ def merge_by_code(spark, folder):
 )
 def merge_with_fill(spark, folder):
     feeds, prices = ["main", "bsr"], ("final_sku_price", "original_sku_price")
-    rows = listing.latest_batch(view(spark, folder, "listing"), domain=feeds)
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
     rows = rows.withColumn("product_code", product_code("listing_url"))
     merged = listing.merge_feeds(rows, "product_code", ["listing_id", *prices], feeds, ORDER, fill=prices)
     return merged.drop("promotion_type")
@@ -219,7 +236,7 @@ def _continued(offset: str) -> str:
 def _continue(spark, folder, all_batches):
     rows = view(spark, folder, "listing")
     ranked = listing.continue_rank(
-        rows.where("source = 'main'"), rows.where("source = 'bsr'"), ["batch_id"], "page_number", ["rank", "listing_id"], all_batches
+        rows.where("source = 'main'"), rows.where("source = 'bsr'"), ["batch_id"], ["page_number", "rank", "listing_id"], all_batches
     )
     return ranked.select("listing_id", "batch_id", "continued_rank")
 

@@ -8,6 +8,7 @@ from shelfwise.functions.clock import batch_id
 from shelfwise.operators.listing import union_feeds
 from shelfwise.plans.registry import query
 from shelfwise.plans.views import check_sql, view
+from shelfwise.schema import align
 from shelfwise.session import shared_dir
 from shelfwise.sources import sinks
 from shelfwise.sources.readers import read_page_urls, read_pages
@@ -80,15 +81,33 @@ def snapshot(spark, folder):
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count("final_sku_price").alias("priced"))
 
 
-@query("reload", "select page_id, url from pages where page_id % 2 = 1")
+@query("reload", "select page_id, upper(url) as url from pages")
 def reload(spark, folder):
     rows = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
     path = shared_dir(spark, "reload")
     sinks.overwrite(rows, path)
-    sinks.overwrite(spark.read.parquet(path).where("page_id % 2 = 1"), path)
+    # The new content is made from the table that it replaces.
+    sinks.overwrite(spark.read.parquet(path).select("page_id", F.upper("url").alias("url")), path)
     return spark.read.parquet(path)
 
 
+@query(
+    "dual_write",
+    check_sql(
+        "select id, account_name, product_url, final_sku_price, cast(null as varchar) as page_type from v_detail where account_name = 'Amazon'", "detail"
+    ),
+)
+def dual_write(spark, folder):
+    detail = view(spark, folder, "detail").where("account_name = 'Amazon'")
+    detail_path, unified_path = shared_dir(spark, "detail"), shared_dir(spark, "unified")
+    sinks.write_both(detail, align(detail, "Amazon"), detail_path, unified_path)
+    keys = ["account_name", "product_url", "final_sku_price", "crawl_strdatetime"]
+    unified = spark.read.parquet(unified_path).select(*keys, "page_type").distinct()
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
+    both = spark.read.parquet(detail_path).alias("d").join(unified.alias("u"), same)
+    return both.select("d.id", "d.account_name", "d.product_url", "d.final_sku_price", "u.page_type")
+
+
 @query("page_list_file", "select cast(page_id as int) as page_number, url from pages")
 def page_list_file(spark, folder):
     lines = spark.read.parquet(f"{folder}/pages.parquet").selectExpr("cast(page_id as string) || ',' || url as value")
@@ -157,7 +176,8 @@ def stream_failures(spark, folder):
 def stream_keyed_sink(spark, folder):
     rows = _attempts(spark, folder).select("url", batch_id(F.date_trunc("day", "crawl_datetime")).alias("batch_id"), "attempt_id")
     path = shared_dir(spark, "keyed")
+    keys = ["url", "batch_id"]
     # The interim save and the final save bring the same rows; each is stored once.
     for _ in range(2):
-        jobs.sink_batches(rows, path, shared_dir(spark, "keyed-state"), ["url", "batch_id"], ["attempt_id"]).awaitTermination()
+        jobs.sink_batches(rows, path, shared_dir(spark, "keyed-state"), keys, ["attempt_id"], ["batch_id"]).awaitTermination()
     return spark.read.parquet(path).select("url", "batch_id", "attempt_id")

@@ -35,11 +35,11 @@ def crawl_targets(spark, folder):
 
 @query(
     "active_pages",
-    "select page_id as page_number, url from pages where page_id % 3 <> 1 and url like 'http%' order by page_id",
+    "select page_id as page_number, url from pages where url like '%?page=%' order by page_id",
 )
 def active_pages(spark, folder):
     pages = view(spark, folder, "pages").selectExpr(
-        "page_id as page_number", "url", "'shop' as mall_name", "page_id % 3 <> 1 and url like 'http%' as is_active"
+        "page_id as page_number", "url", "'shop' as mall_name", "url like '%?page=%' as is_active"
     )
     return tracker.active_pages(pages, "shop")
 

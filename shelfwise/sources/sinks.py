@@ -17,11 +17,17 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], order: list, partition_by: list[str] | None = None) -> None:
-    """Keyed append: a row whose key is stored already is skipped, so a repeated save adds nothing."""
-    spark = df.sparkSession
+    """Keyed append: a row whose key is stored already is skipped, so a repeated save adds nothing.
+
+    Where the table is partitioned by columns of the key, only the partitions that occur in ``df``
+    are read back.
+    """
     fresh = dedupe_first(df, keys, order)
-    stored = _stored(spark, path)
+    stored = _stored(df.sparkSession, path)
     if stored is not None:
+        shared = [c for c in partition_by or [] if c in keys]
+        if shared:
+            stored = stored.join(df.select(*shared).distinct(), shared, "left_semi")
         fresh = fresh.join(stored.select(*keys), keys, "left_anti")
     append(fresh, path, partition_by)
 

@@ -101,10 +101,20 @@ def test_pack_pages_renders_repeats_in_order(spark):
 def test_continue_rank_of_empty_first_part(spark):
     first = spark.createDataFrame([], "b string, rank int")
     second = spark.createDataFrame([("x", 2, 1), ("x", 1, 7), ("x", 1, 3)], "b string, page int, o int")
-    got = listing.continue_rank(first, second, ["b"], "page", ["o"])
+    got = listing.continue_rank(first, second, ["b"], ["page", "o"])
     assert rows(got.select("page", "o", "continued_rank")) == [(1, 3, 1), (1, 7, 2), (2, 1, 3)]
 
 
+def test_numbering_of_a_hot_group(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("g"), ((F.col("id") * 7919) % 3001).alias("o")
+    )
+    numbered = listing.number_rows(df, ["g"], ["o"], "n").collect()
+    for group in ("hot", "cold"):
+        placed = sorted((r.o, r.n) for r in numbered if r.g == group)
+        assert [n for _, n in placed] == list(range(1, len(placed) + 1))
+
+
 def test_selector_lists_without_dedupe(spark):
     stored = spark.createDataFrame([("t", "a", 1), ("t", "b", 2)], "k string, v string, priority int")
     default = spark.createDataFrame([("t", "b", 1), ("t", "c", 2)], "k string, v string, priority int")

@@ -14,11 +14,12 @@ REJECT = {
     "it": "(?iU)" + NOT_A_PRICE,
     "de": "(?iU)" + NOT_A_PRICE,
     "fr": "(?iU)" + NOT_A_PRICE + r"|achetez\s*d'occasion",
+    "en": "(?iU)" + NOT_A_PRICE.replace("was\\s*€", "was\\s*[€$£¥₹]"),
     "es": r"(?U)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|^\s*[^€$£¥₹\s]\d+\s*$",
 }
 
 # Accepted price range per country; other countries have none.
-PRICE_RANGE = {"it": (1, 50000), "de": (1, 50000), "fr": (1, 50000), "es": (10, 10000)}
+PRICE_RANGE = {"it": (1, 50000), "de": (1, 50000), "fr": (1, 50000), "es": (10, 10000), "en": (5, 50000)}
 
 # Label phrases in front of a shipper or seller name.
 LABELS = {
@@ -110,6 +111,13 @@ def _grouped(text: Column, symbols: str, groups: str, cents: bool = True) -> Col
     return F.when(ok, F.replace(c, F.lit(","), F.lit(""))).try_cast(PRICE)
 
 
+def _english(text: Column) -> Column:
+    """Up to four digits before the first group, range checked; texts that are no price rejected."""
+    c = F.regexp_replace(text, r"(?U)[£$\s]", "")
+    ok = ~text.rlike(REJECT["en"]) & c.rlike(r"^\d{1,4}(,\d{3})*(\.\d{1,2})?$")
+    return _gate(F.when(ok, F.replace(c, F.lit(","), F.lit(""))).try_cast(PRICE), "en")
+
+
 def _number_after(text: Column, pattern: str) -> Column:
     return F.replace(pick(text, pattern, 1), F.lit(","), F.lit("")).try_cast(PRICE)
 
@@ -133,6 +141,7 @@ PARSERS = {
     "jp": lambda t: _grouped(t, "¥￥", "3", cents=False),
     "in_grouped": lambda t: _grouped(t, "₹", "2,3"),
     "en_grouped": lambda t: _grouped(t, "$£", "3"),
+    "en_ranged": _english,
     # An alternative reading of Spanish prices by the Italian rules.
     "es_alt": _italian,
 }

@@ -2,9 +2,10 @@
 
 Both sides are reduced to distinct (key, second) first, so a hot key shrinks before any shuffle.
 Time is then cut into buckets as wide as the tolerance: the nearest earlier point of a probe lies
-in its own bucket or is the last point of the bucket before, which is carried over as one row. A
-window over (key, bucket) therefore holds at most one row per second of the tolerance per side,
-however many rows the key has, and no pair of rows is ever built.
+in its own bucket or is the last point of the bucket before, the nearest later one in its own bucket
+or is the first of the bucket after. Those two points are handed over to the neighbour buckets as
+extra rows. A window over (key, bucket) therefore holds at most one row per second of the tolerance
+per side, however many rows the key has, and no pair of rows is ever built.
 """
 
 from __future__ import annotations
@@ -31,42 +32,51 @@ def nearest(
     aggregate over the right rows of one key and second; it travels with the point, so nothing is
     joined back. Returns (on, left_at, right_at, payload); probes without a match are left out.
     """
-    width = F.lit(hi + 1).cast("bigint")
-    bucket = lambda c: F.floor(c / width)
-    # Direction -1 mirrors time, so that "nearest later" is "nearest earlier" of the mirror image.
-    directions = F.explode(F.array(F.lit(1), F.lit(-1))).alias("_dir")
+    bucket = F.floor(F.col("_at") / F.lit(hi + 1)).alias("_bucket")
 
     points = right.where(F.col(right_at).isNotNull()).groupBy(*on, F.col(right_at).cast("bigint").alias("_at"))
     points = points.agg((F.lit(True) if payload is None else payload).alias("_load"))
-    points = points.select(*on, "_at", "_load", directions).withColumn("_at", F.col("_dir") * F.col("_at"))
-    points = points.withColumn("_bucket", bucket(F.col("_at")))
-    carried = points.groupBy(*on, "_dir", (F.col("_bucket") + 1).alias("_bucket")).agg(
-        F.max_by("_load", "_at").alias("_load"), F.max("_at").alias("_at")
-    )
-    known = points.unionByName(carried).withColumn("_point", F.struct("_at", "_load")).drop("_load")
-    known = known.withColumn("_probe", F.lit(None).cast("bigint"))
+    points = points.select(*on, bucket, F.struct("_at", "_load").alias("_point"))
+    edges = points.groupBy(*on, "_bucket").agg(F.min("_point").alias("_first"), F.max("_point").alias("_last"))
+    handed = edges.select(
+        *on, F.explode(
+            F.array(
+                F.struct((F.col("_bucket") - 1).alias("_bucket"), F.col("_first").alias("_point")),
+                F.struct((F.col("_bucket") + 1).alias("_bucket"), F.col("_last").alias("_point")),
+            )
+        ).alias("_e"),
+    ).select(*on, "_e._bucket", "_e._point")
+    known = points.unionByName(handed).withColumn("_at", F.col("_point._at"))
 
     probes = left.where(F.col(left_at).isNotNull()).select(*on, F.col(left_at).cast("bigint").alias("_probe")).distinct()
-    probes = probes.select("*", directions).withColumn("_at", F.col("_dir") * F.col("_probe") - F.lit(lo))
-    probes = probes.withColumn("_bucket", bucket(F.col("_at")))
+    if lo:
+        # The search starts lo seconds away, earlier and later: two rows per probe.
+        probes = probes.select("*", F.explode(F.array(F.lit(-lo), F.lit(lo))).alias("_side"))
+    else:
+        probes = probes.withColumn("_side", F.lit(0))
+    probes = probes.withColumn("_at", F.col("_probe") + F.col("_side")).select("*", bucket)
 
     # At equal times points come before probes: NULL sorts first.
-    order = Window.partitionBy(*on, "_dir", "_bucket").orderBy("_at", F.col("_probe").asc_nulls_first())
-    seen = known.unionByName(probes, allowMissingColumns=True).withColumn(
-        "_found", F.last("_point", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    gap = F.abs(F.col("_probe") - F.col("_right"))
-    found = (
-        seen.where(F.col("_probe").isNotNull() & F.col("_found").isNotNull())
-        .select(*on, "_probe", (F.col("_dir") * F.col("_found._at")).alias("_right"), "_found._load")
-        .where(gap.between(lo, hi))
+    group, first_points = Window.partitionBy(*on, "_bucket"), F.col("_probe").asc_nulls_first()
+    passed = lambda order: F.last("_point", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    seen = known.unionByName(probes, allowMissingColumns=True)
+    seen = seen.withColumn("_before", passed(group.orderBy("_at", first_points)))
+    seen = seen.withColumn("_after", passed(group.orderBy(F.desc("_at"), first_points)))
+
+    gap = lambda point: F.abs(F.col("_probe") - F.col(f"{point}._at"))
+    usable = lambda point: F.when(
+        gap(point).between(lo, hi), F.struct(gap(point).alias("_gap"), (-F.col(f"{point}._at")).alias("_late"), F.col(f"{point}._load"))
     )
-    best = F.min_by(F.struct("_right", "_load"), F.struct(gap, -F.col("_right"))).alias("_best")
-    out = found.groupBy(*on, F.col("_probe").alias(left_at)).agg(best)
-    columns = [F.col("_best._right").alias(right_at)]
+    before = F.when(F.col("_side") <= 0, usable("_before"))
+    after = F.when(F.col("_side") >= 0, usable("_after"))
+    found = seen.where(F.col("_probe").isNotNull()).select(*on, F.col("_probe").alias(left_at), F.least(before, after).alias("_best"))
+    found = found.where(F.col("_best").isNotNull())
+    if lo:
+        found = found.groupBy(*on, left_at).agg(F.min("_best").alias("_best"))
+    columns = [(-F.col("_best._late")).alias(right_at)]
     if payload is not None:
         columns.append(F.col("_best._load").alias("payload"))
-    return out.select(*on, left_at, *columns)
+    return found.select(*on, left_at, *columns)
 
 
 def nearest_batch(
@@ -83,7 +93,9 @@ def nearest_batch(
     ``right`` carries (on, right_at, batch); several batches at one second resolve to the largest
     id. Returns (on, left_at, batch).
     """
-    hit = nearest(left, right, on, left_at, right_at, hours * HOUR, payload=F.max(batch))
+    # Distinct first: many rows share a batch, and keys alone are combined by hashing.
+    batches = right.select(*on, right_at, batch).distinct()
+    hit = nearest(left, batches, on, left_at, right_at, hours * HOUR, payload=F.max(batch))
     return hit.select(*on, left_at, F.col("payload").alias(batch))
 
 

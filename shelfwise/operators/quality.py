@@ -92,12 +92,13 @@ CHECKS = {
     "item": check_item,
     "final_sku_price": check_price,
     "original_sku_price": check_price,
+    "savings": check_price,
     "screen_size": check_screen_size,
     "count_of_reviews": check_count,
     "star_rating": check_rating,
 }
 # Checked only where a value is present.
-OPTIONAL = {"original_sku_price", "screen_size"}
+OPTIONAL = {"original_sku_price", "savings"}
 
 
 def issues(df: DataFrame, source: str, keys: list[str], checks: dict | None = None, optional: set | None = None) -> DataFrame:

@@ -204,6 +204,7 @@ CHECKED = {
     "item": "case event_id % 7 when 0 then null when 1 then ' ' when 2 then 'None' when 3 then '24 inch' when 4 then '55 inch Smart TV' else 'M' || cast(user_id as string) end",
     "final_sku_price": "case event_id % 8 when 0 then '' when 1 then 'none' when 2 then '599' when 3 then '$abc' when 4 then '$0' when 5 then '$60,000' else '$' || cast(cast(value as decimal(12,2)) as string) end",
     "original_sku_price": "case event_id % 3 when 0 then null when 1 then '12' else '$12' end",
+    "savings": "case event_id % 9 when 0 then '5' when 1 then '$5' when 2 then '' end",
     "screen_size": "case event_id % 6 when 0 then '' when 1 then '55' when 2 then 'inch' when 3 then '19 Inch' when 4 then '101 inch' else '55 inch' end",
     "count_of_reviews": "case event_id % 5 when 0 then 'none' when 1 then '-4' when 2 then 'many' when 3 then '1,' || lpad(cast(user_id as string), 3, '0') end",
     "star_rating": "case event_id % 4 when 0 then '4.5' when 1 then '5.1' when 2 then 'good' end",
@@ -216,8 +217,9 @@ FOUND = [
     "case event_id % 8 when 0 then 'Should have price value' when 1 then 'Price should not be \"none\"' when 2 then 'Should start with $' when 3 then 'Cannot parse price value' "
     "when 5 then 'Price seems unusually high (> $50,000)' else 'Price should be greater than $0' end from q where event_id % 8 <= 5 or final_sku_price in ('$0.00')",
     "select event_id, 'original_sku_price', original_sku_price, 'FORMAT_ISSUE', 'Should start with $' from q where event_id % 3 = 1",
-    "select event_id, 'screen_size', screen_size, case when event_id % 6 <= 2 then 'FORMAT_ISSUE' else 'OUTLIER' end, case event_id % 6 when 1 then 'Should include \"inch\"' when 2 then "
-    "'Cannot extract size number' else 'Screen size seems unusual (expected 20-100 inch)' end from q where event_id % 6 in (1, 2, 3, 4)",
+    "select event_id, 'savings', savings, 'FORMAT_ISSUE', 'Should start with $' from q where event_id % 9 = 0",
+    "select event_id, 'screen_size', screen_size, case event_id % 6 when 0 then 'NULL_VALUE' when 1 then 'FORMAT_ISSUE' when 2 then 'FORMAT_ISSUE' else 'OUTLIER' end, case event_id % 6 when 0 then 'Should have screen size' when 1 then 'Should include \"inch\"' when 2 then "
+    "'Cannot extract size number' else 'Screen size seems unusual (expected 20-100 inch)' end from q where event_id % 6 <= 4",
     "select event_id, 'count_of_reviews', count_of_reviews, case event_id % 5 when 1 then 'OUTLIER' else 'FORMAT_ISSUE' end, case event_id % 5 when 1 then 'Count should not be negative' else 'Should be numeric' end from q where event_id % 5 in (1, 2)",
     "select event_id, 'star_rating', star_rating, case event_id % 4 when 1 then 'OUTLIER' else 'FORMAT_ISSUE' end, case event_id % 4 when 1 then 'Rating should be between 0 and 5' else 'Should be numeric (0-5)' end from q where event_id % 4 in (1, 2)",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
     def register(plan: Plan) -> Plan:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = plan
+
+        @functools.wraps(plan)
+        def in_utc(spark: SparkSession, folder: str) -> DataFrame:
+            # Times are stored and compared in UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return plan(spark, folder)
+
+        QUERIES[name] = in_utc
         if sql is not None:
             CHECKS[name] = sql
         return plan

@@ -126,8 +126,8 @@ def page_files(spark, folder):
 
 def _attempts(spark, folder):
     """The attempt log as a stream of new files; event time in the session's time zone."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    rows = jobs.ingest_stream(spark, folder, schema, "events.parquet")
+    path = f"{folder}/events.parquet"
+    rows = jobs.ingest_stream(spark, path, spark.read.parquet(path).schema)
     return rows.select(
         F.col("event_id").alias("attempt_id"),
         F.concat(F.lit("https://shop.example.com/"), F.col("user_id").cast("string")).alias("url"),

@@ -12,14 +12,15 @@ from shelfwise.sources.sinks import append_new
 SALTS = 32
 
 
-def ingest_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", max_files: int | None = None
-) -> DataFrame:
-    """New files of a folder as a stream; ``max_files`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+def ingest_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """New files of a table (a folder, or one file) as a stream; ``max_files`` bounds a micro-batch.
+
+    A plain path must be a folder; the same path as a pattern may also be a file.
+    """
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run(stream: DataFrame, path: str, checkpoint: str, every: str | None = None):

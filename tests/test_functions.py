@@ -131,6 +131,7 @@ PRICES = [
     ("usa", "1299", None), ("pl", "899,00 zł", "899.00"), ("pl", "1 299 PLN", "1299.00"), ("pl", "zł 899", "899.00"),
     ("jp", "¥12,800", "12800.00"), ("jp", "¥12,80", None), ("in_grouped", "₹1,23,456.00", "123456.00"),
     ("en_grouped", "$1,299.00", "1299.00"), ("en_grouped", "$12,99", None), ("es_alt", "12,50", "12.50"),
+    ("en_ranged", "£1,299.00", "1299.00"), ("en_ranged", "was £9", None), ("en_ranged", "$4.99", None), ("en_ranged", "12999", None),
 ]
 
 IP = "https://www.walmart.com/ip/"

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from shelfwise.functions.clock import batch_seconds, crawl_seconds
 from shelfwise.functions.money import price_number
 from shelfwise.functions.text import blank_to_null
-from shelfwise.operators.nearest import band_nearest, nearest_batch
+from shelfwise.operators.nearest import HOUR, band_nearest, nearest_batch
 from shelfwise.session import cut_lineage
 
 PRICES = ["final_sku_price", "original_sku_price"]
+BAND_REACH = 48 * HOUR
 
 
 @dataclass(frozen=True)
@@ -150,13 +151,15 @@ def _accounts(rules: list[AccountRule], keep) -> Column:
 
 
 def find_prices(
-    missing: DataFrame, detail: DataFrame, listing: DataFrame, prefer: list[str], rules: list[AccountRule] = RULES
+    missing: DataFrame, detail: DataFrame, listing: DataFrame, prefer: list[str], rules: list[AccountRule] = RULES,
+    few: bool = False,
 ) -> DataFrame:
     """Prices found for rows that lack one: (id, found_final_sku_price, found_original_sku_price).
 
     All accounts and feeds go through the same joins: a row is repeated once per feed of its
     account, looked up there, and folded back by id. The number of shuffles therefore does not grow
-    with accounts or feeds.
+    with accounts or feeds. ``few`` says that the rows cover a short period: listing rows are then
+    cut to the batches and times in question before they are sorted and shuffled.
     """
     by_detail = _accounts(rules, lambda r: r.probe == "detail")
     by_name = _accounts(rules, lambda r: r.by_name)
@@ -190,9 +193,12 @@ def find_prices(
     on = ["account_name", "source"]
     near = nearest_batch(rows, feeds, on, "_probe", "_at", "batch_id", hours)
     rows = rows.join(near, [*on, "_probe"], "left")
+    in_batches = feeds
+    if few:
+        in_batches = feeds.join(near.select(*on, "batch_id").distinct(), [*on, "batch_id"], "left_semi")
     lookup = lambda key, kept: one_per_key(kept.where(F.col(key).isNotNull()), [*on, "batch_id", key], PRICES, prefer)
-    url_rows = lookup("product_url", feeds).withColumnRenamed("_row", "_by_url")
-    name_rows = lookup("retailer_sku_name", feeds.where(by_name)).withColumnRenamed("_row", "_by_name")
+    url_rows = lookup("product_url", in_batches).withColumnRenamed("_row", "_by_url")
+    name_rows = lookup("retailer_sku_name", in_batches.where(by_name)).withColumnRenamed("_row", "_by_name")
     rows = rows.join(url_rows, [*on, "batch_id", "product_url"], "left")
     rows = rows.join(name_rows, [*on, "batch_id", "retailer_sku_name"], "left")
     # A URL row counts as found even where its prices are NULL.
@@ -201,9 +207,11 @@ def find_prices(
     in_band = reduce(lambda a, b: a | b, [F.col(f"_band_{p}") for p in PRICES])
     # The search starts from the rows as they came, so that the lookups above are not run twice.
     searched = base.where(in_band & F.col("_band_key").isNotNull()).select(*on, "_band_key", "_crawled")
-    bands = band_nearest(
-        searched, feeds.where(F.col("_band_key").isNotNull()), [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer
-    )
+    in_reach = feeds.where(F.col("_band_key").isNotNull())
+    if few:
+        edge = lambda pick, shift: base.agg((pick("_crawled") + F.lit(shift)).alias("edge")).scalar()
+        in_reach = in_reach.where(F.col("_seen").between(edge(F.min, -BAND_REACH), edge(F.max, BAND_REACH)))
+    bands = band_nearest(searched, in_reach, [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer)
     bands = bands.select(*on, "_band_key", "_crawled", F.struct(*PRICES).alias("_near"))
     rows = rows.join(bands, [*on, "_band_key", "_crawled"], "left")
 
@@ -254,7 +262,8 @@ def backfill_prices(
     """
     clean = lambda df: df.withColumns({p: blank_to_null(p) for p in PRICES})
     unified, listing = clean(unified), clean(listing)
-    found = find_prices(null_price_rows(unified, rng=rng), detail, listing, prefer, rules)
+    missing = null_price_rows(unified, rng=rng)
+    found = find_prices(missing, detail, listing, prefer, rules, few=rng is not None)
     return apply_backfill(unified, found, [r.account for r in rules if r.savings])
 
 

@@ -124,6 +124,7 @@ def with_status(pages: DataFrame, html: str = "html", normal_marks: list[str] |
     title are columns of their own, computed once per page.
     """
     raw, body, title = col(html), F.col("_body"), F.col("_title")
+    # 'sorry' is common in reviews, so the rule itself reads only the head of the page.
     sorry = _any(title, SORRY_TEXTS) | _any(F.substring(body, 1, 2000), SORRY_TEXTS)
     blocked = _any(title, BLOCKED_TITLE) | (~_any(body, CONTINUE_LINKS) & _any(body, BLOCKED_BODY))
     status = (

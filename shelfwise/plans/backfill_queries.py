@@ -186,6 +186,9 @@ WHOLE = (
 )
 
 
+PERIOD = ("20240105000000", "20240110235959")
+
+
 def _sources(spark, folder):
     return view(spark, folder, "unified"), view(spark, folder, "detail"), view(spark, folder, "listing")
 
@@ -197,7 +200,19 @@ def backfill_prices(spark, folder):
 
 @query("backfill_phases", check_sql("select * exclude (backfilled) from done", "unified", "detail", "listing", extra=WHOLE))
 def backfill_phases(spark, folder):
-    return backfill.backfill_phases(*_sources(spark, folder), PREFER, [("20240105000000", "20240110235959"), None])
+    return backfill.backfill_phases(*_sources(spark, folder), PREFER, [PERIOD, None])
+
+
+@query(
+    "backfill_period",
+    check_sql(
+        "select id, case when inside then final_sku_price else f end as final_sku_price, case when inside then original_sku_price else o end as original_sku_price, "
+        f"inside and backfilled as backfilled from (select done.*, u.f, u.o, u.c between '{PERIOD[0]}' and '{PERIOD[1]}' as inside from done join u using (id))",
+        "unified", "detail", "listing", extra=WHOLE,
+    ),
+)
+def backfill_period(spark, folder):
+    return backfill.backfill_prices(*_sources(spark, folder), PREFER, rng=PERIOD).select("id", *PRICES, "backfilled")
 
 
 @query(

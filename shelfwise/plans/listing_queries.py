@@ -14,7 +14,10 @@ from shelfwise.schema import ACCOUNTS
 ATTRS = ["listing_id", "retailer_sku_name", "offer", "pick_up_availability", "sku_status"]
 ORDER = ("rank", "listing_id")
 LATEST = "latest as (select * from v_listing l where batch_id = (select max(batch_id) from v_listing m where m.source = l.source))"
-POS = "case source when 'main' then 1 when 'bsr' then 2 when 'promotion' then 3 else 4 end"
+
+
+def _position(feeds: list[str]) -> str:
+    return "case source " + " ".join(f"when '{f}' then {i}" for i, f in enumerate(feeds)) + " end"
 
 
 @query("latest_batch", check_sql("select listing_id, source, batch_id, product_url, rank from latest", "listing", extra=LATEST))
@@ -29,7 +32,7 @@ def _merge_sql(key: str, feeds: list[str], strict: bool = True, promo: bool = Tr
         f"{'max' if strict and i else 'min'}(case when source = '{f}' then rank end) as {f}_rank" for i, f in enumerate(feeds)
     )
     extra = (
-        f"{LATEST}, picked as (select *, row_number() over (partition by {key} order by {POS}, rank, listing_id) as rn from latest "
+        f"{LATEST}, picked as (select *, row_number() over (partition by {key} order by {_position(feeds)}, rank, listing_id) as rn from latest "
         f"where source in ({names}) and {key} <> ''), ranks as (select {key}, {ranks} from picked group by {key}), "
         f"promo as (select {key}, promotion_type from (select *, row_number() over (partition by {key} order by rank "
         f"{'desc' if strict else 'asc'}, listing_id {'desc' if strict else 'asc'}) as pn from picked where source = 'promotion') where pn = 1)"
@@ -63,6 +66,14 @@ def merge_feeds_trend(spark, folder):
     return _merged(spark, folder, listing.FEEDS)
 
 
+TREND_FIRST = ["main", "trend", "promotion"]
+
+
+@query("merge_feeds_trend_first", _merge_sql("product_url", TREND_FIRST))
+def merge_feeds_trend_first(spark, folder):
+    return _merged(spark, folder, TREND_FIRST)
+
+
 @query(
     "merge_feeds_by_account",
     check_sql(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.clock import batch_seconds, crawl_seconds
 from shelfwise.functions.money import price_number
 from shelfwise.functions.text import blank_to_null
+from shelfwise.operators.skew import join_one
 from shelfwise.operators.nearest import HOUR, band_nearest, nearest_batch
 from shelfwise.session import cut_lineage
 
@@ -93,20 +94,20 @@ def match_url_then_name(
     A URL row counts as found even if its values are NULL. Adds ``_hit`` (struct of values).
     """
     url_rows = one_per_key(feed.where("product_url is not null"), ["batch_id", "product_url"], values, prefer)
-    out = left.join(
+    out = join_one(
+        left,
         url_rows.select(F.col("batch_id").alias(batch), "product_url", F.col("_row").alias("_hit")),
         [batch, "product_url"],
-        "left",
     )
     if not by_name:
         return out
     name_rows = one_per_key(
         feed.where("retailer_sku_name is not null"), ["batch_id", "retailer_sku_name"], values, prefer
     )
-    out = out.join(
+    out = join_one(
+        out,
         name_rows.select(F.col("batch_id").alias(batch), "retailer_sku_name", F.col("_row").alias("_by_name")),
         [batch, "retailer_sku_name"],
-        "left",
     )
     return out.withColumn("_hit", F.coalesce("_hit", "_by_name")).drop("_by_name")
 
@@ -121,7 +122,7 @@ def fill_chain(rows: DataFrame, found: str, fields: list[str]) -> DataFrame:
 def enrich(left: DataFrame, right: DataFrame, on: list[str], cols: list[str], prefer: list[str]) -> DataFrame:
     """UPDATE ... FROM: keep what is there, else take the right side (one row per key)."""
     row = one_per_key(right, on, cols, prefer)
-    out = left.join(row, on, "left")
+    out = join_one(left, row, on)
     filled = {c: F.coalesce(F.col(c), F.col(f"_row.{c}")) for c in cols}
     return out.withColumns(filled).drop("_row").select(left.columns)
 
@@ -179,7 +180,7 @@ def find_prices(
     batches = batches.groupBy("account_name", "crawl_strdatetime").agg(
         F.max("batch_id").alias("_detail_batch"), F.lit(True).alias("_has_detail")
     )
-    rows = base.join(batches, ["account_name", "crawl_strdatetime"], "left")
+    rows = join_one(base, batches, ["account_name", "crawl_strdatetime"])
     rows = rows.where(~_accounts(rules, lambda r: r.need_detail) | F.col("_has_detail"))
     rows = rows.withColumn("_probe", F.when(by_detail, batch_seconds("_detail_batch")).otherwise(F.col("_crawled")))
 
@@ -199,8 +200,8 @@ def find_prices(
     lookup = lambda key, kept: one_per_key(kept.where(F.col(key).isNotNull()), [*on, "batch_id", key], PRICES, prefer)
     url_rows = lookup("product_url", in_batches).withColumnRenamed("_row", "_by_url")
     name_rows = lookup("retailer_sku_name", in_batches.where(by_name)).withColumnRenamed("_row", "_by_name")
-    rows = rows.join(url_rows, [*on, "batch_id", "product_url"], "left")
-    rows = rows.join(name_rows, [*on, "batch_id", "retailer_sku_name"], "left")
+    rows = join_one(rows, url_rows, [*on, "batch_id", "product_url"])
+    rows = join_one(rows, name_rows, [*on, "batch_id", "retailer_sku_name"])
     # A URL row counts as found even where its prices are NULL.
     rows = rows.withColumn("_hit", F.coalesce("_by_url", "_by_name"))
 
@@ -213,7 +214,7 @@ def find_prices(
         in_reach = in_reach.where(F.col("_seen").between(edge(F.min, -BAND_REACH), edge(F.max, BAND_REACH)))
     bands = band_nearest(searched, in_reach, [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer)
     bands = bands.select(*on, "_band_key", "_crawled", F.struct(*PRICES).alias("_near"))
-    rows = rows.join(bands, [*on, "_band_key", "_crawled"], "left")
+    rows = join_one(rows, bands, [*on, "_band_key", "_crawled"])
 
     def first(step: str, source: str, price: str) -> Column:
         value = F.col(f"{source}.{price}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.listing import dedupe_first
+from shelfwise.operators.skew import join_one
 
 
 def new_only(incoming: DataFrame, stored: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -53,7 +54,7 @@ def latest_values(rows: DataFrame, key: str, value: str, order: list[str], name:
 
 def lookup_latest(left: DataFrame, right: DataFrame, key: str, value: str, order: list[str], name: str) -> DataFrame:
     """Add the newest value the right side has for the left row's key."""
-    return left.join(latest_values(right, key, value, order, name), key, "left")
+    return join_one(left, latest_values(right, key, value, order, name), [key])
 
 
 def fill_from_peers(df: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
@@ -77,7 +78,7 @@ def master_items(products: DataFrame, details: DataFrame) -> DataFrame:
 
 def detail_with_listing(detail: DataFrame, merged: DataFrame, attrs: list[str]) -> DataFrame:
     """Detail rows with listing attributes; the status is the listing's, else the badge's."""
-    out = detail.join(merged.select("product_url", "page_type", "sku_status", *attrs), "product_url", "left")
+    out = join_one(detail, merged.select("product_url", "page_type", "sku_status", *attrs), ["product_url"])
     return out.withColumn("sku_status", F.coalesce("sku_status", "status_badge")).drop("status_badge")
 
 

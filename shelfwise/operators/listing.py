@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import blank_to_null, col
+from shelfwise.operators.skew import join_one
 from shelfwise.session import cut_lineage
 
 FEEDS = ["main", "bsr", "promotion", "trend"]
@@ -154,7 +155,7 @@ def continue_rank(
     if all_batches:
         ranked = ranked.withColumn("_offset", first.agg(F.max("rank")).scalar())
     else:
-        ranked = ranked.join(first.groupBy(*by).agg(F.max("rank").alias("_offset")), by, "left")
+        ranked = join_one(ranked, first.groupBy(*by).agg(F.max("rank").alias("_offset")), by)
     rank = F.col("_number") + F.coalesce(F.col("_offset"), F.lit(0))
     return ranked.withColumn("continued_rank", rank.cast("bigint")).drop("_number", "_offset")
 
@@ -249,7 +250,7 @@ def duplicate_trace(df: DataFrame, code: str, name: str, page: str, url: str, po
         .agg(F.count(F.lit(1)).alias("_n"), F.min_by(F.struct(page, pos, url, name), F.struct(page, pos)).alias("_f"))
         .where("_n > 1")
     )
-    later = rows.join(first, code).where(F.struct(page, pos) > F.struct("_f." + page, "_f." + pos))
+    later = join_one(rows, first, [code], "inner").where(F.struct(page, pos) > F.struct("_f." + page, "_f." + pos))
     return (
         later.select(
             F.col(code).alias("code"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import blank_to_null
 from shelfwise.functions.clock import strdatetime
+from shelfwise.operators.skew import join_one
 
 
 def crawl_targets(targets: DataFrame, country: str, mall: str, limit: int | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def retry_targets(targets: DataFrame, log: DataFrame, now, hours: int = 24, max_
     Order by ``fail_count`` descending for a work queue; the frame itself is not sorted.
     """
     counts = failed_counts(log, now, hours)
-    out = targets.join(counts, "url", "left").withColumn("fail_count", F.coalesce("fail_count", F.lit(0)))
+    out = join_one(targets, counts, ["url"]).withColumn("fail_count", F.coalesce("fail_count", F.lit(0)))
     return out.where(F.col("fail_count") < max_fail).distinct()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import blank_to_null, col
-from shelfwise.operators.skew import join_one
+from shelfwise.operators.skew import combine, join_one
 from shelfwise.session import cut_lineage
 
 FEEDS = ["main", "bsr", "promotion", "trend"]
@@ -27,7 +27,8 @@ def latest_batch(listing: DataFrame, domains: dict[str, list[str]] | None = None
     domains = domains or {"source": FEEDS}
     for column, values in domains.items():
         listing = listing.where(F.col(column).isin(values))
-    newest = listing.groupBy(*domains).agg(F.max("batch_id").alias("batch_id"))
+    newest = combine(listing, [*domains, "batch_id"])
+    newest = newest.groupBy(*domains).agg(F.max("batch_id").alias("batch_id"))
     return listing.join(F.broadcast(newest), [*domains, "batch_id"], "left_semi")
 
 

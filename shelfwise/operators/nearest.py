@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.skew import combine
+
 HOUR = 3600
 
 
@@ -57,7 +59,8 @@ def nearest(
     probes = probes.withColumn("_at", F.col("_probe") + F.col("_side")).select("*", bucket)
 
     # At equal times points come before probes: NULL sorts first.
-    group, first_points = Window.partitionBy(*on, "_bucket"), F.col("_probe").asc_nulls_first()
+    # The number leads the window key: Spark sorts by it much faster than by text.
+    group, first_points = Window.partitionBy("_bucket", *on), F.col("_probe").asc_nulls_first()
     passed = lambda order: F.last("_point", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     seen = known.unionByName(probes, allowMissingColumns=True)
     seen = seen.withColumn("_before", passed(group.orderBy("_at", first_points)))
@@ -93,8 +96,7 @@ def nearest_batch(
     ``right`` carries (on, right_at, batch); several batches at one second resolve to the largest
     id. Returns (on, left_at, batch).
     """
-    # Distinct first: many rows share a batch, and keys alone are combined by hashing.
-    batches = right.select(*on, right_at, batch).distinct()
+    batches = combine(right, [*on, right_at, batch])
     hit = nearest(left, batches, on, left_at, right_at, hours * HOUR, payload=F.max(batch))
     return hit.select(*on, left_at, F.col("payload").alias(batch))
 

@@ -86,15 +86,43 @@ def exclude_areas(df: DataFrame, context: str, areas: list[str] | None = None) -
     return df.where(~F.coalesce(F.col(context).rlike("(?i)" + names), F.lit(False)))
 
 
-# Page texts by status, lower case; (title texts, body texts).
-BLOCKED_TITLE = ["503", "access denied", "error has occurred", "fehler aufgetreten", "lo sentimos", "se ha producido un error"]
-BLOCKED_BODY = [
-    "enter the characters", "verify you are human", "access denied", "automated access", "suspicious activity",
-    "geben sie die zeichen ein", "beweisen sie dass sie ein mensch sind", "haz clic aquí para volver", "robot check",
-]
-CONTINUE_LINKS = [
-    "continue shopping", "weiter shoppen", "continuar comprando", "seguir comprando", "haz clic aquí para volver",
-]
+@dataclass(frozen=True)
+class BlockTexts:
+    """Lower-case texts of blocked pages.
+
+    ``body`` counts only where no ``links`` text offers a way on, and, where ``needs`` is set, only
+    on pages that also show that text.
+    """
+
+    title: tuple[str, ...]
+    body: tuple[str, ...]
+    links: tuple[str, ...]
+    needs: str | None = None
+
+
+# Blocked pages.
+BLOCKED = {
+    "es": BlockTexts(
+        title=("503", "access denied", "error has occurred", "fehler aufgetreten", "lo sentimos", "se ha producido un error"),
+        body=(
+            "enter the characters", "verify you are human", "access denied", "automated access", "suspicious activity",
+            "geben sie die zeichen ein", "beweisen sie dass sie ein mensch sind", "haz clic aquí para volver", "robot check",
+        ),
+        links=(
+            "continue shopping", "weiter shoppen", "continuar comprando", "seguir comprando", "haz clic aquí para volver",
+        ),
+    ),
+    "it": BlockTexts(
+        title=("503", "access denied", "accesso negato", "error has occurred", "errore", "ci dispiace"),
+        body=(
+            "enter the characters", "inserisci i caratteri", "verify you are human", "controlla di essere umano",
+            "access denied", "accesso negato", "automated access", "suspicious activity", "attività sospetta",
+        ),
+        links=("continua lo shopping", "continue shopping", "clicca qui per tornare"),
+        needs="ci dispiace",
+    ),
+}
+# Other page texts by status, lower case.
 ERROR_TEXTS = [
     "lo sentimos", "se ha producido un error", "error de servicio", "503", "service unavailable", "algo salió mal",
     "error has occurred", "haz clic aquí para volver", "something went wrong", "robot check", "automated access",
@@ -106,7 +134,7 @@ CHALLENGE_TEXTS = ["verifying you are human", "cf-challenge", "just a moment", "
 NORMAL_MARKS = ['id="productTitle"', 'id="feature-bullets"', 'id="centerCol"', 'id="dp-container"', 'id="apex_desktop"']
 
 
-def _any(c: Column, words: list[str]) -> Column:
+def _any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
     out = F.lit(False)
     for word in words:
         out = out | c.contains(word)
@@ -116,7 +144,9 @@ def _any(c: Column, words: list[str]) -> Column:
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
-def with_status(pages: DataFrame, html: str = "html", normal_marks: list[str] | None = None) -> DataFrame:
+def with_status(
+    pages: DataFrame, html: str = "html", normal_marks: list[str] | None = None, cc: str = "es"
+) -> DataFrame:
     """Add ``status``: ok / throttled / challenge / robot / blocked / error.
 
     A page that shows a normal product element is ok whatever its text says. Body texts of the
@@ -126,7 +156,9 @@ def with_status(pages: DataFrame, html: str = "html", normal_marks: list[str] |
     raw, body, title = col(html), F.col("_body"), F.col("_title")
     # 'sorry' is common in reviews, so the rule itself reads only the head of the page.
     sorry = _any(title, SORRY_TEXTS) | _any(F.substring(body, 1, 2000), SORRY_TEXTS)
-    blocked = _any(title, BLOCKED_TITLE) | (~_any(body, CONTINUE_LINKS) & _any(body, BLOCKED_BODY))
+    texts = BLOCKED[cc]
+    needed = body.contains(texts.needs) if texts.needs else F.lit(True)
+    blocked = _any(title, texts.title) | (needed & ~_any(body, texts.links) & _any(body, texts.body))
     status = (
         F.when(_any(raw, normal_marks or NORMAL_MARKS), F.lit("ok"))
         .when(_any(body, THROTTLE_TEXTS), F.lit("throttled"))

@@ -78,25 +78,36 @@ def exclude_areas(spark, folder):
 
 
 NOTICE = (
-    "case page_id % 9 when 0 then '<b>Robot or human?</b>' when 1 then '<p>Verify you are human</p>' when 2 then "
+    "case page_id % 10 when 0 then '<b>Robot or human?</b>' when 1 then '<p>Verify you are human</p>' when 2 then "
     "'<p>Access denied</p><a>Continue shopping</a>' when 3 then '<p>Request was throttled.</p>' when 4 then '<p>Just a moment</p>' "
-    "when 5 then '<p>Something went wrong</p>' when 6 then '<div id=\"centerCol\">robot check</div>' when 7 then '<p>Suspicious activity</p>' else '' end"
+    "when 5 then '<p>Something went wrong</p>' when 6 then '<div id=\"centerCol\">robot check</div>' when 7 then '<p>Suspicious activity</p>' when 8 then '<p>Ci dispiace. Inserisci i caratteri</p>' else '' end"
 )
 
 
-def _has(c: str, words: list[str]) -> str:
+def _has(c: str, words) -> str:
     return "(" + " or ".join(f"contains({c}, '{w}')" for w in words) + ")"
 
 
-STATUS = (
-    _source(NOTICE)
-    + "select page_id, case when " + _has("html", P.NORMAL_MARKS) + " then 'ok' when " + _has("b", P.THROTTLE_TEXTS) + " then 'throttled' when "
-    + _has("b", P.CHALLENGE_TEXTS) + " or " + _has("t", P.CHALLENGE_TEXTS) + " then 'challenge' when " + _has("b", P.ROBOT_TEXTS) + " or "
-    + _has("t", P.SORRY_TEXTS) + " or " + _has("substr(b, 1, 2000)", P.SORRY_TEXTS) + " then 'robot' when " + _has("t", P.BLOCKED_TITLE)
-    + " or (not " + _has("b", P.CONTINUE_LINKS) + " and " + _has("b", P.BLOCKED_BODY) + ") then 'blocked' when " + _has("t", P.ERROR_TEXTS) + " or "
-    + _has("b", P.ERROR_TEXTS) + " then 'error' else 'ok' end as status from (select page_id, html, lower(html) as b, "
-    + "lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as t from s)"
-)
+def _status_sql(cc: str) -> str:
+    texts = P.BLOCKED[cc]
+    needed = f"contains(b, '{texts.needs}') and " if texts.needs else ""
+    return (
+        _source(NOTICE)
+        + "select page_id, case when " + _has("html", P.NORMAL_MARKS) + " then 'ok' when " + _has("b", P.THROTTLE_TEXTS) + " then 'throttled' when "
+        + _has("b", P.CHALLENGE_TEXTS) + " or " + _has("t", P.CHALLENGE_TEXTS) + " then 'challenge' when " + _has("b", P.ROBOT_TEXTS) + " or "
+        + _has("t", P.SORRY_TEXTS) + " or " + _has("substr(b, 1, 2000)", P.SORRY_TEXTS) + " then 'robot' when " + _has("t", texts.title)
+        + f" or ({needed}not " + _has("b", texts.links) + " and " + _has("b", texts.body) + ") then 'blocked' when " + _has("t", P.ERROR_TEXTS) + " or "
+        + _has("b", P.ERROR_TEXTS) + " then 'error' else 'ok' end as status from (select page_id, html, lower(html) as b, "
+        + "lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as t from s)"
+    )
+
+
+STATUS = _status_sql("es")
+
+
+@query("page_status_it", _status_sql("it"))
+def page_status_it(spark, folder):
+    return P.with_status(_pages(spark, folder, NOTICE), cc="it").select("page_id", "status")
 
 
 @query("page_status", STATUS)

@@ -44,8 +44,9 @@ def _plan(spark, name):
 
 def test_merge_has_one_shuffle_of_rows(spark):
     plan = _plan(spark, "merge_feeds")
-    # One exchange merges the rows, one finds the newest batches (a row per feed).
-    assert plan.count("Exchange hashpartitioning") == 2
+    # One exchange merges the rows; the other two carry batch ids only (a row per feed and batch).
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 3 and len([s for s in shuffles if "product_url" in s]) == 1
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
@@ -61,6 +62,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
 
 
+def test_latest_batch_reads_one_partition_per_feed(spark):
+    from shelfwise.operators.listing import latest_batch
+    from shelfwise.plans.views import view
+    from shelfwise.session import shared_dir
+
+    path = shared_dir(spark, "listing")
+    view(spark, FOLDER, "listing").write.partitionBy("source", "batch_id").parquet(path)
+    rows = latest_batch(spark.read.parquet(path)).select("listing_id", "source", "batch_id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "ReadSchema: struct<listing_id:bigint>" in plan
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "product_url" and df.count() > 0

@@ -22,6 +22,8 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Call-site capture for every column expression slows down the building of large plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

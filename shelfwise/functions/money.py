@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import blank_to_null, col, pick, squeeze
+from shelfwise.functions.text import blank_to_null, col, number, pick, squeeze
 
 PRICE = "decimal(12,2)"
 
@@ -47,7 +47,7 @@ def savings(final: Column | str, original: Column | str) -> Column:
 
 def savings_ok(final: Column | str, original: Column | str, saved: Column | str) -> Column:
     """True where original - final = savings; a missing value passes, unreadable text fails."""
-    exact = lambda c: F.regexp_replace(col(c), r"[$,]", "").try_cast("decimal(18,4)")
+    exact = lambda c: number(F.regexp_replace(col(c), r"[$,]", ""), "decimal(18,4)")
     missing = (
         blank_to_null(final).isNull() | blank_to_null(original).isNull() | blank_to_null(saved).isNull()
     )

@@ -21,6 +21,17 @@ def pick(c: Column | str, pattern: str, group: int = 0) -> Column:
     return F.nullif(F.regexp_extract(col(c), pattern, group), F.lit(""))
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number(c: Column, kind: str) -> Column:
+    """Text to a number, else NULL.
+
+    The pattern is tested first: a failed cast costs far more than a failed match.
+    """
+    return F.when(c.rlike(NUMBER), c).try_cast(kind)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

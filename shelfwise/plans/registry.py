@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.session import apply_settings
+
 Plan = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Plan] = {}
@@ -21,12 +23,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
             raise ValueError(f"query {name} is registered twice")
 
         @functools.wraps(plan)
-        def in_utc(spark: SparkSession, folder: str) -> DataFrame:
-            # Times are stored and compared in UTC.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        def with_settings(spark: SparkSession, folder: str) -> DataFrame:
+            apply_settings(spark)
             return plan(spark, folder)
 
-        QUERIES[name] = in_utc
+        QUERIES[name] = with_settings
         if sql is not None:
             CHECKS[name] = sql
         return plan

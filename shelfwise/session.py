@@ -10,13 +10,28 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# Settings the jobs rely on; they can be set on a running session.
+RUNTIME = {
+    # Times are stored and compared in UTC.
+    "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods above this size; Spark then splits the code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Put the run-time settings on a session made elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+
+
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; explicit ``conf`` wins."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

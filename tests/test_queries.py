@@ -5,9 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.plans import registry
 from tests.compare import DATA, compare, connect
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+# The optional operators are tested beside their code; here are the others.
+entry.queries()
+QUERIES, CHECKS = registry.QUERIES, registry.CHECKS
 SCALE = os.environ.get("SHELFWISE_SF", "sf0.001")
 FOLDER = f"{DATA}/{SCALE}"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")

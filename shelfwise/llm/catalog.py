@@ -6,7 +6,7 @@ import importlib
 
 from shelfwise.llm.common import CHECKS, QUERIES
 
-MODULES = ["mixing", "tokens"]
+MODULES = ["mixing", "tokens", "sharding", "simhash"]
 
 
 def load() -> tuple[dict, dict]:

@@ -6,7 +6,7 @@ import importlib
 
 from shelfwise.llm.common import CHECKS, QUERIES
 
-MODULES = ["mixing", "tokens", "sharding", "simhash"]
+MODULES = ["mixing", "tokens", "sharding", "simhash", "packing"]
 
 
 def load() -> tuple[dict, dict]:

@@ -123,10 +123,13 @@ def parse_members(data: bytes):
     at = 0
     view = memoryview(data)
     while at < len(data):
-        pack = zlib.decompressobj(31)
-        raw = pack.decompress(view[at:])
-        at = len(data) - len(pack.unused_data)
-        inside = 0
+        pack, blocks = zlib.decompressobj(31), []
+        while not pack.eof and at < len(data):
+            some = view[at : at + 32768]
+            blocks.append(pack.decompress(some))
+            at += len(some)
+        at -= len(pack.unused_data)
+        raw, inside = b"".join(blocks), 0
         while inside < len(raw):
             end = raw.index(b"\r\n\r\n", inside)
             lines = raw[inside:end].decode("utf-8", "replace").split("\r\n")[1:]

@@ -17,8 +17,8 @@ from shelfwise.session import shared_dir
 
 #: Id that ends each document.
 END = 0
-#: Words whose ids a worker keeps; a full cache is emptied, which costs time only.
-CACHE_WORDS = 1_000_000
+#: Words, and parts of texts between spaces, whose ids a worker keeps; a full cache is emptied, which costs time only.
+CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
 #: A space that begins a word, and one that does not.
 _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" \s")
 _AFTER = frozenset(".,;:!?")
@@ -56,6 +56,8 @@ class Encoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = (b for b in range(256) if b not in plain)
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        # Ids by part of a text after a space, by word after a space, by other piece.
+        self.parts: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.others: dict[str, bytes] = {}
 
@@ -65,6 +67,13 @@ class Encoder:
         mapped = piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
         return array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
 
+    def count(self, text: str) -> int:
+        """Number of ids of a short text; nothing is kept."""
+        if not self.by_word:
+            return len(self.full.encode(text, add_special_tokens=False).ids)
+        pieces = [text] if text[1:].isalpha() else self.pieces.findall(text)
+        return sum(len(self.model.tokenize(p.encode("utf-8", "replace").decode("latin-1").translate(self.letters))) for p in pieces)
+
     def _piece(self, piece: str) -> bytes:
         if piece[0] == " " and piece[1:].isalpha():
             cache, key = self.spaced, piece[1:]
@@ -76,6 +85,8 @@ class Encoder:
         return found
 
     def _part(self, part: str, lead: str) -> bytes:
+        if lead and part.isalpha():
+            return self._piece(lead + part)
         if part[:-1].isalpha() and part[-1] in _AFTER:
             return self._piece(lead + part[:-1]) + self._piece(part[-1])
         return b"".join(map(self._piece, self.pieces.findall(lead + part)))
@@ -89,27 +100,25 @@ class Encoder:
         if len(self.spaced) + len(self.others) > CACHE_WORDS:
             self.spaced.clear()
             self.others.clear()
-        spaced, out = self.spaced, []
-        mixed: dict[str, bytes] = {}
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
+        parts, out = self.parts, []
         for text in texts:
             if not text:
                 out.append(b"")
                 continue
-            parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
+            cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
             # A text that begins or ends with spaces has empty parts: those texts go through the pattern as a whole.
-            if "" in parts:
+            if "" in cut:
                 out.append(b"".join(map(self._piece, self.pieces.findall(text))))
                 continue
-            for part in {*parts[1:]}.difference(spaced.keys(), mixed.keys()):
-                if part.isalpha():
-                    spaced[part] = self._ids(" " + part)
-                else:
-                    mixed[part] = self._part(part, " ")
-            ids = [self._part(parts[0], "")]
-            ids += [spaced[p] if p in spaced else mixed[p] for p in parts[1:]]
+            ids = list(map(parts.get, cut))
+            ids[0] = self._part(cut[0], "")
+            if None in ids:
+                for i, found in enumerate(ids):
+                    if found is None:
+                        ids[i] = parts[cut[i]] = self._part(cut[i], " ")
             out.append(b"".join(ids))
-            if len(mixed) > 200_000:
-                mixed = {}
         return out
 
 

@@ -28,16 +28,20 @@ def _digits_to_time(c: Column, time_from: int) -> Column:
     return text.try_cast("timestamp")
 
 
-def batch_time(c: Column | str) -> Column:
-    """Batch id to timestamp; both 'yyyyMMdd_HHmmss' and epoch-second ids are read."""
+def batch_time(c: Column | str, zone: str | None = None) -> Column:
+    """Batch id to timestamp; both 'yyyyMMdd_HHmmss' and epoch-second ids are read.
+
+    Dated ids are written in local time of the collecting host: ``zone`` names it (None: UTC).
+    """
     epoch = F.timestamp_seconds(F.when(F.length(col(c)).between(9, 11), col(c).try_cast("bigint")))
     dated = (F.length(col(c)) == 15) & (F.substring(col(c), 9, 1) == "_")
-    return F.when(dated, _digits_to_time(col(c), 10)).otherwise(epoch)
+    read = _digits_to_time(col(c), 10)
+    return F.when(dated, F.to_utc_timestamp(read, zone) if zone else read).otherwise(epoch)
 
 
-def batch_seconds(c: Column | str) -> Column:
+def batch_seconds(c: Column | str, zone: str | None = None) -> Column:
     """Batch id to epoch seconds."""
-    return F.unix_timestamp(batch_time(c))
+    return F.unix_timestamp(batch_time(c, zone))
 
 
 def strdatetime(ts: Column | str, fraction: bool = True) -> Column:
@@ -68,6 +72,6 @@ def date_part(c: Column | str) -> Column:
 
 
 def short_date(c: Column | str) -> Column:
-    """'2024-11-25 00:00:00' -> 'Nov 25'; unreadable text is cut to ten characters."""
+    """'2024-11-25 00:00:00' -> 'Nov 25'; unreadable text stays as it is."""
     day = F.try_to_timestamp(date_part(c), F.lit("yyyy-MM-dd"))
-    return F.coalesce(F.date_format(day, "MMM dd"), F.substring(col(c), 1, 10))
+    return F.coalesce(F.date_format(day, "MMM dd"), col(c))

@@ -230,11 +230,11 @@ def recommend(c: Column | str) -> Column:
     return F.concat(blank_to_null(c), F.lit(" would recommend to a friend"))
 
 
-def pad(arr: Column | str, n: int = 4, dash: str = "—") -> Column:
-    """Exactly ``n`` entries: blanks and the dash become NULL, short arrays are filled."""
+def pad(arr: Column | str, n: int, dash: str = "—") -> Column:
+    """At least ``n`` entries: blanks and the dash become NULL, short arrays are filled, longer ones stay."""
     clean = F.transform(col(arr), lambda x: F.nullif(blank_to_null(F.trim(x)), F.lit(dash)))
-    filler = F.array_repeat(F.lit(None).cast("string"), n)
-    return F.slice(F.concat(F.coalesce(clean, F.array().cast("array<string>")), filler), 1, n)
+    have = F.coalesce(clean, F.array().cast("array<string>"))
+    return F.concat(have, F.array_repeat(F.lit(None).cast("string"), F.greatest(F.lit(n) - F.size(have), F.lit(0))))
 
 
 def first_of(*cols: Column | str) -> Column:

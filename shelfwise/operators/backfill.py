@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.order import order_key
 from shelfwise.functions.clock import batch_seconds, crawl_seconds
 from shelfwise.functions.money import price_number
 from shelfwise.functions.text import blank_to_null
@@ -83,7 +84,7 @@ def null_price_rows(unified: DataFrame, account: str | None = None, rng: tuple[s
 
 def one_per_key(df: DataFrame, keys: list[str], values: list[str], prefer: list[str]) -> DataFrame:
     """One row per key, chosen by ``prefer`` (smallest first); combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*prefer)).alias("_row"))
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*values), order_key(*prefer)).alias("_row"))
 
 
 def match_url_then_name(
@@ -287,11 +288,13 @@ def backfill_phases(
 def backfill_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """Per account: rows updated and rows with a missing price before and after."""
     lacks = F.col("final_sku_price").isNull() | F.col("original_sku_price").isNull()
-    left = before.groupBy("account_name").agg(F.count_if(lacks).alias("missing_before"))
-    right = after.groupBy("account_name").agg(
-        F.count_if("backfilled").alias("updated"), F.count_if(lacks).alias("missing_after")
+    no = F.lit(False)
+    both = before.select("account_name", lacks.alias("_old"), no.alias("_new"), no.alias("_up")).union(
+        after.select("account_name", no.alias("_old"), lacks.alias("_new"), F.col("backfilled").alias("_up"))
+    )
+    return both.groupBy("account_name").agg(
+        F.count_if("_old").alias("missing_before"), F.count_if("_up").alias("updated"), F.count_if("_new").alias("missing_after")
     )
-    return left.join(right, "account_name")
 
 
 def backfill_latest(

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.order import newest_key
 from shelfwise.operators.listing import dedupe_first
 from shelfwise.operators.skew import join_one
 
 
 def new_only(incoming: DataFrame, stored: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet, first row per key."""
-    return dedupe_first(incoming, keys, order).join(stored.select(*keys), keys, "left_anti")
+    """Incoming rows whose key is not stored yet, first row per key.
+
+    A key with a NULL in it equals no other key, as in the source database: such rows are all new.
+    """
+    partial = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    full = dedupe_first(incoming.where(~partial), keys, order).join(stored.select(*keys), keys, "left_anti")
+    return full.select(incoming.columns).unionByName(incoming.where(partial))
 
 
 def insert_absent(incoming: DataFrame, stored: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -49,7 +55,7 @@ def fill_default(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
 def latest_values(rows: DataFrame, key: str, value: str, order: list[str], name: str) -> DataFrame:
     """Newest non-null value per key."""
     known = rows.where(F.col(value).isNotNull() & F.col(key).isNotNull())
-    return known.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(name))
+    return known.groupBy(key).agg(F.max_by(value, newest_key(*order)).alias(name))
 
 
 def lookup_latest(left: DataFrame, right: DataFrame, key: str, value: str, order: list[str], name: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.clock import batch_seconds
+from shelfwise.functions.order import newest_key, nulls_last, order_key
 from shelfwise.functions.text import blank_to_null, col
 from shelfwise.operators.skew import combine, join_one
 from shelfwise.session import cut_lineage
@@ -17,19 +19,26 @@ def feed_position(source: Column | str, feeds: list[str] = FEEDS) -> Column:
     return F.nullif(F.array_position(F.array(*[F.lit(f) for f in feeds]), col(source)), F.lit(0)).cast("int")
 
 
-def latest_batch(listing: DataFrame, domains: dict[str, list[str]] | None = None) -> DataFrame:
+def latest_batch(listing: DataFrame, domains: dict[str, list[str] | None] | None = None) -> DataFrame:
     """Rows of the newest batch of each feed.
 
-    ``domains`` names the columns that tell feeds apart and the values each may take; by default
-    the feed names. Batch ids of one form sort as text. The list of newest batches has at most one
-    row per combination of domain values, so its broadcast is safe at any size of the listing.
+    ``domains`` names the columns that tell feeds apart and the values each may take (None: any,
+    NULL included); by default each shop's feeds, or the feeds where the table has no shops. Ids count
+    by the time they stand for, so dates and epoch seconds may be mixed; unreadable ids come before all
+    others. The list of newest batches has one row per combination of domain values, shops and feeds:
+    its broadcast is safe at any size of the listing.
     """
-    domains = domains or {"source": FEEDS}
+    domains = domains or {**({"account_name": None} if "account_name" in listing.columns else {}), "source": FEEDS}
     for column, values in domains.items():
-        listing = listing.where(F.col(column).isin(values))
-    newest = combine(listing, [*domains, "batch_id"])
-    newest = newest.groupBy(*domains).agg(F.max("batch_id").alias("batch_id"))
-    return listing.join(F.broadcast(newest), [*domains, "batch_id"], "left_semi")
+        if values is not None:
+            listing = listing.where(F.col(column).isin(values))
+    newest = combine(listing, [*domains, "batch_id"]).where("batch_id is not null")
+    newest = newest.groupBy(*domains).agg(F.max(F.struct(batch_seconds("batch_id").alias("at"), "batch_id")).alias("_b"))
+    newest = newest.select(*domains, F.col("_b.batch_id").alias("batch_id"))
+    matched = listing["batch_id"] == newest["batch_id"]
+    for column, values in domains.items():
+        matched &= listing[column].eqNullSafe(newest[column]) if values is None else listing[column] == newest[column]
+    return listing.join(F.broadcast(newest), matched, "left_semi")
 
 
 def merge_feeds(
@@ -43,7 +52,7 @@ def merge_feeds(
 ) -> DataFrame:
     """Merge feeds into one row per product with one shuffle and no join.
 
-    Attributes come from the first feed that lists the product, at its best rank; each feed adds
+    Attributes come from the first feed that lists the product, at its best rank, rows without a rank last; each feed adds
     its rank column. The first feed gives its best rank; the others their last (largest) one, as in
     the source system, or their best with ``strict_parity=False``. ``fill`` names attributes that,
     while blank, take the best-ranked value of the later feeds in turn.
@@ -51,16 +60,16 @@ def merge_feeds(
     keys = [key] if isinstance(key, str) else key
     rows = require(listing.where(F.col("source").isin(feeds)), keys)
     rows = rows.withColumn("_pos", feed_position("source", feeds))
-    place = F.struct(*order)
+    place = order_key(*order)
     in_feed = lambda feed, value: F.when(F.col("source") == feed, value)
 
-    aggs = [F.min("_pos").alias("_first"), F.min_by(F.struct(*attrs), F.struct("_pos", *order)).alias("_row")]
+    aggs = [F.min("_pos").alias("_first"), F.min_by(F.struct(*attrs), order_key("_pos", *order)).alias("_row")]
     for i, feed in enumerate(feeds):
         pick_rank = F.max if strict_parity and i > 0 else F.min
         aggs.append(pick_rank(in_feed(feed, F.col("rank"))).alias(f"{feed}_rank"))
     if "promotion_type" in rows.columns:
-        pick_promo = F.max_by if strict_parity else F.min_by
-        aggs.append(pick_promo("promotion_type", in_feed("promotion", place)).alias("promotion_type"))
+        promo = F.max_by("promotion_type", in_feed("promotion", newest_key(*order))) if strict_parity else F.min_by("promotion_type", in_feed("promotion", place))
+        aggs.append(promo.alias("promotion_type"))
     for attr in fill:
         for feed in feeds[1:]:
             has_value = (F.col("source") == feed) & blank_to_null(attr).isNotNull()
@@ -93,28 +102,31 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> D
     ``row_number() = 1`` is cut inside each map task before the shuffle, so a hot key sends one
     row per task.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*nulls_last(order))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column | str], k: int, name: str) -> DataFrame:
     """Rank 1..k per group; rows beyond k are cut before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*nulls_last(order))
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
-# Rows kept per batch of a feed.
-FEED_CAPS = {"main": 300, "bsr": 100}
+def rank_rows(df: DataFrame, keys: list[str], order: list[Column | str], k: int | None, name: str) -> DataFrame:
+    """Rank per group: of all rows, or of the first ``k`` where the caller asks for no more."""
+    if k is None:
+        return number_rows(df, keys, order, name).withColumn(name, F.col(name).cast("int"))
+    return top_per_group(df, keys, order, k, name)
 
 
-def assign_rank(df: DataFrame, keys: list[str], order: list[Column | str], cap: int = 300) -> DataFrame:
-    """Sequential rank in the batch, capped as the feed is."""
-    return top_per_group(df, keys, order, cap, "assigned_rank")
+def assign_rank(df: DataFrame, keys: list[str], order: list[Column | str], cap: int | None = None) -> DataFrame:
+    """Sequential rank in the batch, of all rows unless a ``cap`` is given."""
+    return rank_rows(df, keys, order, cap, "assigned_rank")
 
 
-def section_rank(df: DataFrame, section: list[str], order: list[Column | str], k: int = 6) -> DataFrame:
-    """Rank within a promotion section, at most ``k``."""
-    return top_per_group(df, section, order, k, "promotion_rank")
+def section_rank(df: DataFrame, section: list[str], order: list[Column | str], k: int | None = None) -> DataFrame:
+    """Rank within a promotion section, of all rows unless ``k`` is given."""
+    return rank_rows(df, section, order, k, "promotion_rank")
 
 
 def page_order(position: Column | str) -> Column:
@@ -128,20 +140,25 @@ def next_rank(df: DataFrame, rank: str = "rank", by: list[str] | None = None) ->
     return grouped.agg((F.coalesce(F.max(rank), F.lit(0)) + 1).cast("bigint").alias("next_rank"))
 
 
-def number_rows(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
-    """Row numbers 1.. per group in a total order, with no group in one task.
+def number_rows(df: DataFrame, by: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """Row numbers 1.. per group in a total order, with no group in one task; NULL is a group like others.
 
     Rows are range-partitioned by group and order, which splits a large group over many
-    partitions, and written once with their partition number. They are numbered inside (group,
-    partition); a partition starts where the counts of the group's earlier partitions end.
+    partitions, sorted there and written once with their place. A group's first place in a
+    partition and its rows in earlier partitions, one row per group and partition, turn places into numbers: the
+    rows themselves are shuffled once.
     """
-    placed = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()), "numbering")
-    sizes = placed.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    keys = nulls_last([*by, *order])
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut_lineage(placed, "numbering").withColumn("_part", F.shiftrightunsigned("_at", 33))
+    sizes = placed.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select(*by, "_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
-    numbered = placed.withColumn("_rn", inside).join(starts, [*by, "_part"])
-    return numbered.withColumn(name, F.col("_rn") + F.col("_start")).drop("_part", "_rn", "_start")
+    starts = sizes.withColumn("_start", F.coalesce(before, F.lit(0)) - F.col("_first") + 1).drop("_first", "_n")
+    starts = starts.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_part", "_of")
+    match = F.col("_part") == F.col("_of")
+    for c in by:
+        match &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return placed.join(starts, match).withColumn(name, F.col("_at") + F.col("_start")).drop("_at", "_part", "_of", "_start", *[f"_by_{c}" for c in by])
 
 
 def continue_rank(
@@ -166,7 +183,7 @@ def feed_order(merged: DataFrame, feeds: list[str] = FEEDS[:3]) -> DataFrame:
     rank = F.coalesce(
         *[F.when(F.col("page_type") == f, F.col(f"{f}_rank")) for f in feeds], F.lit(None).cast("int")
     )
-    return merged.orderBy(feed_position("page_type", feeds), rank)
+    return merged.orderBy(feed_position("page_type", feeds), rank.asc_nulls_last())
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
@@ -284,9 +301,9 @@ def rows_per_page(df: DataFrame, page: str = "page_number") -> DataFrame:
     return df.groupBy(page).agg(F.count(F.lit(1)).alias("collected"))
 
 
-def low_yield(df: DataFrame, by: list[str], page: str, min_rows: int = 16, first_pages: int = 10) -> DataFrame:
-    """Early pages with fewer rows than a full page."""
-    counts = df.where(F.col(page) <= first_pages).groupBy(*by, page).agg(F.count(F.lit(1)).alias("collected"))
+def low_yield(df: DataFrame, by: list[str], page: str, min_rows: int = 16, first_pages: int | None = None) -> DataFrame:
+    """Pages with fewer rows than a full page, of all pages unless only the first ones are asked for."""
+    counts = (df if first_pages is None else df.where(F.col(page) <= first_pages)).groupBy(*by, page).agg(F.count(F.lit(1)).alias("collected"))
     return counts.where(F.col("collected") < min_rows)
 
 
@@ -299,17 +316,17 @@ def coverage(df: DataFrame, page: str = "page_number", per_page: int = 16) -> Da
     )
 
 
-def coverage_total(df: DataFrame, page: str = "page_number", per_page: int = 16, cap: int = 300) -> DataFrame:
-    """Expected rows min(cap, pages x per_page) against the rows collected."""
+def coverage_total(df: DataFrame, page: str = "page_number", per_page: int = 16, cap: int | None = None) -> DataFrame:
+    """Expected rows, pages x per_page or at most a given ``cap``, against the rows collected."""
     pages, n = F.countDistinct(page), F.count(F.lit(1))
-    expected = F.least(F.lit(cap).cast("bigint"), pages * per_page)
+    expected = pages * per_page if cap is None else F.least(F.lit(cap).cast("bigint"), pages * per_page)
     return df.agg(
         pages.alias("pages"), expected.alias("expected"), n.alias("actual"), (expected - n).alias("difference")
     )
 
 
-def duplicate_report(df: DataFrame, name: str, page: str, n: int = 20) -> DataFrame:
-    """The n names found most often and the pages they were found on.
+def duplicate_report(df: DataFrame, name: str, page: str, n: int) -> DataFrame:
+    """The n names found most often, NULL among them, and the pages they were found on.
 
     Long form, one row per name and page with the number of rows there, ordered by page within the
     name: the page list of a name that holds a third of the table would not fit one cell.
@@ -319,7 +336,8 @@ def duplicate_report(df: DataFrame, name: str, page: str, n: int = 20) -> DataFr
     counts = pages.groupBy(name).agg(F.sum("rows_on_page").alias("page_count")).where("page_count > 1")
     top = counts.orderBy(F.desc("page_count"), F.asc(name)).limit(n)
     # n rows at most: the broadcast is bounded by the report's length.
-    return pages.join(F.broadcast(top), name)
+    top = top.withColumnRenamed(name, "_name")
+    return pages.join(F.broadcast(top), F.col(name).eqNullSafe(F.col("_name"))).drop("_name")
 
 
 def pack_pages(report: DataFrame, name: str, page: str) -> DataFrame:
@@ -332,14 +350,14 @@ def pack_pages(report: DataFrame, name: str, page: str) -> DataFrame:
 
 
 def top_reviews(
-    df: DataFrame, product: str, text: str, order: list[str], n: int = 20, min_len: int = 11, style: str = "ordinal"
+    df: DataFrame, product: str, text: str, order: list[str], n: int, min_len: int | None = None, style: str = "ordinal"
 ) -> DataFrame:
     """First n review texts per product, packed.
 
     ordinal: '1-text, 2-text'   labelled: 'review1-text, review2-text'   bar: 'text | text'
-    Texts shorter than ``min_len`` are skipped first; at most n texts reach a group.
+    Texts shorter than ``min_len``, where it is given, are skipped first; at most n texts reach a group.
     """
-    rows = df.where(F.length(F.trim(F.col(text))) >= min_len)
+    rows = df.where(F.col(text).isNotNull() if min_len is None else F.length(F.trim(F.col(text))) >= min_len)
     rows = top_per_group(rows, [product], order, n, "_rn").select(product, "_rn", F.trim(F.col(text)).alias("_t"))
     ordered = F.sort_array(F.collect_list(F.struct("_rn", "_t")))
     prefix = {"ordinal": F.lit(""), "labelled": F.lit("review"), "bar": None}[style]

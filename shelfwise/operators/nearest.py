@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.order import order_key
 from shelfwise.operators.skew import combine
 
 HOUR = 3600
@@ -117,6 +118,6 @@ def band_nearest(
     The nearest row is taken even where its values are NULL. Rows of one key and second are
     settled by ``prefer``, smallest first. Returns (on, left_at, values).
     """
-    row = F.min_by(F.struct(*values), F.struct(*prefer))
+    row = F.min_by(F.struct(*values), order_key(*prefer))
     hit = nearest(left, right, on, left_at, right_at, hi_hours * HOUR, lo_hours * HOUR, payload=row)
     return hit.select(*on, left_at, *[F.col(f"payload.{v}").alias(v) for v in values])

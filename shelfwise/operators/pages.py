@@ -141,6 +141,8 @@ def _any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
     return out
 
 
+# Parts of a lower-case page that say nothing about its status: scripts and elements marked as reviews.
+ASIDE = "(?s)<script.*?</script>" + "".join(f"|<{tag}[^>]*review[^>]*>.*?</{tag}>" for tag in ("div", "section", "li", "span", "p"))
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
@@ -154,8 +156,8 @@ def with_status(
     title are columns of their own, computed once per page.
     """
     raw, body, title = col(html), F.col("_body"), F.col("_title")
-    # 'sorry' is common in reviews, so the rule itself reads only the head of the page.
-    sorry = _any(title, SORRY_TEXTS) | _any(F.substring(body, 1, 2000), SORRY_TEXTS)
+    # 'sorry' is common in scripts and reviews, so the rule reads the whole page without them.
+    sorry = _any(title, SORRY_TEXTS) | _any(F.regexp_replace(body, ASIDE, ""), SORRY_TEXTS)
     texts = BLOCKED[cc]
     needed = body.contains(texts.needs) if texts.needs else F.lit(True)
     blocked = _any(title, texts.title) | (needed & ~_any(body, texts.links) & _any(body, texts.body))
@@ -215,8 +217,8 @@ def events(pages: DataFrame, container: str, name: str, date: str, keep: list[st
     )
 
 
-def comparison(pages: DataFrame, product: str, pros: str, cons: str, keep: list[str], url: str = "url", html: str = "html", n: int = 4) -> DataFrame:
-    """Compared products by column index with pros and cons; pages with fewer than n give none.
+def comparison(pages: DataFrame, product: str, pros: str, cons: str, keep: list[str], url: str = "url", html: str = "html", n: int | None = None) -> DataFrame:
+    """Compared products by column index with pros and cons, all that a page has; with ``n``, of pages with n at least.
 
     The first product is the page's own and takes the page URL, the others their link. A dash in
     the cons is NULL. ``product`` captures (link, name).
@@ -224,14 +226,16 @@ def comparison(pages: DataFrame, product: str, pros: str, cons: str, keep: list[
     names = F.regexp_extract_all(col(html), F.lit(product), 2)
     links = F.regexp_extract_all(col(html), F.lit(product), 1)
     cells = F.arrays_zip(
-        F.slice(names, 1, n).alias("product_name"),
-        F.slice(links, 1, n).alias("link"),
-        F.slice(F.regexp_extract_all(col(html), F.lit(pros), 1), 1, n).alias("pros"),
-        F.slice(F.regexp_extract_all(col(html), F.lit(cons), 1), 1, n).alias("cons"),
+        names.alias("product_name"),
+        links.alias("link"),
+        F.regexp_extract_all(col(html), F.lit(pros), 1).alias("pros"),
+        F.regexp_extract_all(col(html), F.lit(cons), 1).alias("cons"),
     )
-    rows = pages.where(F.size(names) >= n).select(*keep, url, F.posexplode(cells).alias("_pos", "_c"))
+    enough = pages if n is None else pages.where(F.size(names) >= n)
+    # Marks without a product belong to no column of the comparison.
+    rows = enough.select(*keep, url, F.size(names).alias("_n"), F.posexplode(cells).alias("_pos", "_c"))
     text = lambda c: blank_to_null(clean_markup(c))
-    return rows.where(F.col("_pos") < n).select(
+    return rows.where(F.col("_pos") < F.col("_n")).select(
         *keep,
         (F.col("_pos") + 1).alias("pos"),
         F.when(F.col("_pos") == 0, F.col(url)).otherwise(blank_to_null("_c.link")).alias("product_url"),

@@ -33,7 +33,10 @@ def exact_median(df: DataFrame, value: str, by: list[str]) -> DataFrame:
         *by, "_b", (F.col("_upto") - F.col("_n")).alias("_before"), lower.alias("_lower"), upper.alias("_upper")
     )
     in_bucket = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(middle, [*by, "_b"]).withColumn("_rank", F.col("_before") + F.sum("_n").over(in_bucket))
+    match = counts["_b"] == middle["_b"]
+    for c in by:
+        match &= counts[c].eqNullSafe(middle[c])
+    ranked = counts.join(middle, match).drop(*[middle[c] for c in [*by, "_b"]]).withColumn("_rank", F.col("_before") + F.sum("_n").over(in_bucket))
     at = lambda rank: F.min(F.when(F.col("_rank") >= F.col(rank), F.col("_v")))
     # A group has one or two middle buckets; the smallest amount at or past the rank is the answer.
     return ranked.groupBy(*by).agg(((at("_lower") + at("_upper")) / 2).cast("decimal(14,3)").alias("median_price"))
@@ -49,7 +52,11 @@ def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
         F.count(price).alias("priced"),
     )
     if by:
-        return plain.join(exact_median(df, value, by), by)
+        median = exact_median(df, value, by).withColumnsRenamed({c: f"_by_{c}" for c in by})
+        match = F.lit(True)
+        for c in by:
+            match &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        return plain.join(median, match).drop(*[f"_by_{c}" for c in by])
     median = exact_median(df.withColumn("_all", F.lit(1)), value, ["_all"]).select("median_price")
     return plain.withColumn("median_price", median.scalar())
 
@@ -57,15 +64,14 @@ def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 def daily_history(df: DataFrame, now, days: int, value: str = "retailprice", at: str = "crawl_datetime") -> DataFrame:
     """Rows, priced rows, brands and items per day over the last ``days`` days."""
     since = F.lit(now).cast("timestamp") - F.make_interval(days=F.lit(days))
-    return (
-        df.where(F.col(at) >= since)
-        .groupBy(F.to_date(at).alias("date"))
-        .agg(
-            F.count(F.lit(1)).alias("total_count"),
-            F.count(value).alias("with_price"),
-            F.countDistinct("brand").alias("brands"),
-            F.countDistinct("item").alias("items"),
-        )
+    # Counts per day, brand and item first: the two distinct counts then expand the few sums, not the rows.
+    sums = df.where(F.col(at) >= since).groupBy(F.to_date(at).alias("date"), "brand", "item")
+    sums = sums.agg(F.count(F.lit(1)).alias("_n"), F.count(value).alias("_priced"))
+    return sums.groupBy("date").agg(
+        F.sum("_n").alias("total_count"),
+        F.sum("_priced").alias("with_price"),
+        F.countDistinct("brand").alias("brands"),
+        F.countDistinct("item").alias("items"),
     )
 
 
@@ -161,18 +167,18 @@ def report_frames(df: DataFrame, value: str = "retailprice", extra: dict[str, st
     }
 
 
-def latest(df: DataFrame, order: str, n: int = 10, text: str | None = None) -> DataFrame:
+def latest(df: DataFrame, order: str, n: int, text: str | None = None) -> DataFrame:
     """The n newest rows, with the length of a text column."""
     out = df.orderBy(F.desc(order)).limit(n)
     return out.withColumn("text_length", F.length(text)) if text else out
 
 
-def head_by(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
+def head_by(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     """The first n rows in key order."""
     return df.orderBy(*keys).limit(n)
 
 
-def sample_failures(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+def sample_failures(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first n failures with their reason, and the total number of failures."""
     failed = df.where(F.col("outcome") != "ok")
     total = failed.agg(F.count(F.lit(1)))

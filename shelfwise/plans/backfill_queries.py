@@ -236,7 +236,7 @@ NEWEST = (
     "b = (select max(b) from fd y where y.a = 'Amazon' and y.s = x.s)) where rn = 1), "
     "df as (select dt.url, dt.c, coalesce(dt.f, mm.f, bb.f) as f, coalesce(dt.o, mm.o) as o from dt left join nm mm on mm.s = 'main' and mm.url = dt.url "
     "left join nm bb on bb.s = 'bsr' and bb.url = dt.url), "
-    "one as (select * from (select *, row_number() over (partition by url order by c nulls first, f nulls first, o nulls first) as rn from df) where rn = 1)"
+    "one as (select * from (select *, row_number() over (partition by url order by c nulls last, f nulls last, o nulls last) as rn from df) where rn = 1)"
 )
 
 

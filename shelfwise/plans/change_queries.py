@@ -50,7 +50,7 @@ def insert_absent(spark, folder):
     "upsert",
     check_sql(
         "select coalesce(o.source, f.source) as source, coalesce(o.product_url, f.product_url) as product_url, coalesce(o.batch_id, f.batch_id) as batch_id, "
-        "coalesce(o.rank, f.rank) as rank, coalesce(o.listing_id, f.listing_id) as listing_id, case when f.source is not null then f.offer else o.offer end as offer, "
+        "case when o.source is not null then o.rank else f.rank end as rank, coalesce(o.listing_id, f.listing_id) as listing_id, case when f.source is not null then f.offer else o.offer end as offer, "
         "case when f.source is not null then f.sku_status else o.sku_status end as sku_status from old o full outer join fresh f on o.source = f.source and "
         "o.product_url = f.product_url",
         "listing", extra=OLD,

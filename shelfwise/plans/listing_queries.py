@@ -13,7 +13,10 @@ from shelfwise.schema import ACCOUNTS
 
 ATTRS = ["listing_id", "retailer_sku_name", "offer", "pick_up_availability", "sku_status"]
 ORDER = ("rank", "listing_id")
-LATEST = "latest as (select * from v_listing l where batch_id = (select max(batch_id) from v_listing m where m.source = l.source))"
+LATEST = (
+    "latest as (select * from v_listing l where batch_id = (select max(batch_id) from v_listing m where m.source = l.source "
+    "and m.account_name is not distinct from l.account_name))"
+)
 
 
 def _position(feeds: list[str]) -> str:
@@ -35,7 +38,7 @@ def _merge_sql(key: str, feeds: list[str], strict: bool = True, promo: bool = Tr
         f"{LATEST}, picked as (select *, row_number() over (partition by {key} order by {_position(feeds)}, rank, listing_id) as rn from latest "
         f"where source in ({names}) and {key} <> ''), ranks as (select {key}, {ranks} from picked group by {key}), "
         f"promo as (select {key}, promotion_type from (select *, row_number() over (partition by {key} order by rank "
-        f"{'desc' if strict else 'asc'}, listing_id {'desc' if strict else 'asc'}) as pn from picked where source = 'promotion') where pn = 1)"
+        f"{'desc' if strict else 'asc'} nulls last, listing_id {'desc' if strict else 'asc'}) as pn from picked where source = 'promotion') where pn = 1)"
     )
     columns = ", ".join(f"p.{a}" for a in ATTRS)
     rank_columns = ", ".join(f"r.{f}_rank" for f in feeds)
@@ -47,7 +50,7 @@ def _merge_sql(key: str, feeds: list[str], strict: bool = True, promo: bool = Tr
 
 
 def _merged(spark, folder, feeds, **options):
-    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"account_name": None, "source": feeds})
     return listing.merge_feeds(rows, "product_url", ATTRS, feeds, ORDER, **options)
 
 
@@ -79,7 +82,7 @@ def merge_feeds_trend_first(spark, folder):
     check_sql(
         "select account_name, product_url, arg_min(source, place) as page_type, arg_min(listing_id, place) as listing_id, min(rank) filter (source = 'main') as main_rank, "
         "max(rank) filter (source = 'bsr') as bsr_rank, max(rank) filter (source = 'promotion') as promotion_rank from (select *, "
-        "(case source when 'main' then 1 when 'bsr' then 2 else 3 end) * cast(1000000000000 as bigint) + rank * 1000000 + listing_id as place from v_listing l where "
+        "(case source when 'main' then 1 when 'bsr' then 2 else 3 end) * cast(1000000000000 as bigint) + coalesce(rank, 900000) * cast(1000000 as bigint) + listing_id as place from v_listing l where "
         "source <> 'trend' and product_url <> '' and batch_id = (select max(batch_id) from v_listing m where m.source = l.source and m.account_name = l.account_name)) group by all",
         "listing",
     ),
@@ -108,7 +111,7 @@ CODE = (
 )
 def merge_by_code(spark, folder):
     feeds = ["main", "bsr"]
-    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"account_name": None, "source": feeds})
     rows = rows.withColumn("product_code", product_code("listing_url"))
     merged = listing.merge_feeds(rows, "product_code", ["listing_id", "listing_url"], feeds, ORDER)
     return merged.drop("promotion_type")
@@ -119,9 +122,9 @@ def merge_by_code(spark, folder):
     check_sql(
         "select product_code, max(case when rn = 1 then source end) as page_type, max(case when rn = 1 then listing_id end) as listing_id, "
         "coalesce(max(case when rn = 1 then nullif(final_sku_price, '') end), arg_min(case when source = 'bsr' then final_sku_price end, "
-        "case when source = 'bsr' and final_sku_price <> '' then rank * cast(1000000000 as bigint) + listing_id end)) as final_sku_price, "
+        "case when source = 'bsr' and final_sku_price <> '' then coalesce(rank, 900000) * cast(1000000000 as bigint) + listing_id end)) as final_sku_price, "
         "coalesce(max(case when rn = 1 then nullif(original_sku_price, '') end), arg_min(case when source = 'bsr' then original_sku_price end, "
-        "case when source = 'bsr' and original_sku_price <> '' then rank * cast(1000000000 as bigint) + listing_id end)) as original_sku_price, "
+        "case when source = 'bsr' and original_sku_price <> '' then coalesce(rank, 900000) * cast(1000000000 as bigint) + listing_id end)) as original_sku_price, "
         "min(case when source = 'main' then rank end) as main_rank, max(case when source = 'bsr' then rank end) as bsr_rank "
         "from picked group by product_code",
         "listing", extra=f"{LATEST}, {CODE}",
@@ -129,7 +132,7 @@ def merge_by_code(spark, folder):
 )
 def merge_with_fill(spark, folder):
     feeds, prices = ["main", "bsr"], ("final_sku_price", "original_sku_price")
-    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"source": feeds})
+    rows = listing.latest_batch(view(spark, folder, "listing"), domains={"account_name": None, "source": feeds})
     rows = rows.withColumn("product_code", product_code("listing_url"))
     merged = listing.merge_feeds(rows, "product_code", ["listing_id", *prices], feeds, ORDER, fill=prices)
     return merged.drop("promotion_type")
@@ -138,7 +141,7 @@ def merge_with_fill(spark, folder):
 @query(
     "feed_order",
     check_sql(
-        "select product_url, arg_min(source, (case source when 'main' then 1 when 'bsr' then 2 else 3 end) * cast(1000000000000 as bigint) + rank * 1000000 + listing_id) "
+        "select product_url, arg_min(source, (case source when 'main' then 1 when 'bsr' then 2 else 3 end) * cast(1000000000000 as bigint) + coalesce(rank, 900000) * cast(1000000 as bigint) + listing_id) "
         "as page_type from latest where source <> 'trend' and product_url <> '' group by product_url",
         "listing", extra=LATEST,
     ),
@@ -194,6 +197,10 @@ def dedupe_first(spark, folder):
     return _firsts(spark, folder).select("listing_id", "source", "batch_id", "product_url")
 
 
+# Rows kept per batch of a feed.
+FEED_CAPS = {"main": 300, "bsr": 100}
+
+
 @query(
     "assign_rank",
     check_sql(
@@ -209,11 +216,37 @@ def assign_rank(spark, folder):
         listing.assign_rank(
             _firsts(spark, folder).where(F.col("source") == feed), ["source", "batch_id"], ["page_number", "_place", "listing_id"], cap
         )
-        for feed, cap in listing.FEED_CAPS.items()
+        for feed, cap in FEED_CAPS.items()
     ]
     return listing.union_feeds(*ranked).select("listing_id", "source", "batch_id", "assigned_rank")
 
 
+@query(
+    "assign_rank_all",
+    check_sql(
+        "select listing_id, source, batch_id, cast(row_number() over (partition by source, batch_id "
+        f"order by page_number, {PLACE}, listing_id) as int) as assigned_rank from firsts",
+        "listing", extra=FIRST,
+    ),
+)
+def assign_rank_all(spark, folder):
+    ranked = listing.assign_rank(_firsts(spark, folder), ["source", "batch_id"], ["page_number", "_place", "listing_id"])
+    return ranked.select("listing_id", "source", "batch_id", "assigned_rank")
+
+
+@query(
+    "number_null_groups",
+    check_sql(
+        "select listing_id, promotion_type, row_number() over (partition by promotion_type order by rank nulls last, listing_id) as number from v_listing",
+        "listing",
+    ),
+)
+def number_null_groups(spark, folder):
+    """Most rows have no promotion: NULL is a group of its own."""
+    rows = view(spark, folder, "listing").select("listing_id", "promotion_type", "rank")
+    return listing.number_rows(rows, ["promotion_type"], ["rank", "listing_id"], "number").drop("rank")
+
+
 @query(
     "section_rank",
     check_sql(
@@ -223,6 +256,20 @@ def assign_rank(spark, folder):
     ),
 )
 def section_rank(spark, folder):
+    rows = view(spark, folder, "listing").where("source = 'promotion'")
+    ranked = listing.section_rank(rows, ["batch_id", "promotion_type"], ["rank", "listing_id"], 6)
+    return ranked.select("listing_id", "batch_id", "promotion_type", "promotion_rank")
+
+
+@query(
+    "section_rank_all",
+    check_sql(
+        "select listing_id, batch_id, promotion_type, cast(row_number() over (partition by batch_id, promotion_type order by rank nulls last, listing_id) as int) "
+        "as promotion_rank from v_listing where source = 'promotion'",
+        "listing",
+    ),
+)
+def section_rank_all(spark, folder):
     rows = view(spark, folder, "listing").where("source = 'promotion'")
     ranked = listing.section_rank(rows, ["batch_id", "promotion_type"], ["rank", "listing_id"])
     return ranked.select("listing_id", "batch_id", "promotion_type", "promotion_rank")
@@ -272,17 +319,30 @@ def _review_sql(prefix: str, separator: str) -> str:
 
 @query("top_reviews", _review_sql("rn || '-' ||", ", "))
 def top_reviews(spark, folder):
-    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"])
+    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], 20, 11)
 
 
 @query("top_reviews_labelled", _review_sql("'review' || rn || '-' ||", ", "))
 def top_reviews_labelled(spark, folder):
-    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], style="labelled")
+    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], 20, 11, style="labelled")
 
 
 @query("top_reviews_bar", _review_sql("", " | "))
 def top_reviews_bar(spark, folder):
-    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], style="bar")
+    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], 20, 11, style="bar")
+
+
+@query(
+    "top_reviews_any_length",
+    check_sql(
+        "select product, count(*) as reviews, string_agg(rn || '-' || trim(text, ' '), ', ' order by rn) as review_text from (select *, row_number() over "
+        "(partition by product order by ordinal) as rn from v_reviews where text is not null) where rn <= 20 group by product",
+        "reviews",
+    ),
+)
+def top_reviews_any_length(spark, folder):
+    """For the shop without a rule on the length of reviews."""
+    return listing.top_reviews(view(spark, folder, "reviews"), "product", "text", ["ordinal"], 20)
 
 
 # --- audits -------------------------------------------------------------------------------------
@@ -328,6 +388,14 @@ def page_mismatch(spark, folder):
     ),
 )
 def low_yield(spark, folder):
+    return listing.low_yield(view(spark, folder, "listing"), ["source", "batch_id"], "page_number", first_pages=10)
+
+
+@query(
+    "low_yield_all",
+    check_sql("select source, batch_id, page_number, count(*) as collected from v_listing group by all having count(*) < 16", "listing"),
+)
+def low_yield_all(spark, folder):
     return listing.low_yield(view(spark, folder, "listing"), ["source", "batch_id"], "page_number")
 
 
@@ -339,14 +407,14 @@ def rows_per_page(spark, folder):
 @query(
     "duplicate_report",
     check_sql(
-        "select retailer_sku_name, page_number, rows_on_page, page_count from (select retailer_sku_name, page_number, count(*) as rows_on_page "
-        "from v_raw_data group by all) join (select retailer_sku_name, count(*) as page_count from v_raw_data group by all having count(*) > 1 "
-        "order by page_count desc, retailer_sku_name nulls first limit 20) using (retailer_sku_name)",
+        "select r.retailer_sku_name, page_number, rows_on_page, page_count from (select retailer_sku_name, page_number, count(*) as rows_on_page "
+        "from v_raw_data group by all) r join (select retailer_sku_name, count(*) as page_count from v_raw_data group by all having count(*) > 1 "
+        "order by page_count desc, retailer_sku_name nulls first limit 20) t on t.retailer_sku_name is not distinct from r.retailer_sku_name",
         "raw_data",
     ),
 )
 def duplicate_report(spark, folder):
-    return listing.duplicate_report(view(spark, folder, "raw_data"), "retailer_sku_name", "page_number")
+    return listing.duplicate_report(view(spark, folder, "raw_data"), "retailer_sku_name", "page_number", 20)
 
 
 @query(
@@ -370,6 +438,18 @@ def coverage(spark, folder):
     ),
 )
 def coverage_total(spark, folder):
+    return listing.coverage_total(view(spark, folder, "raw_data"), cap=300)
+
+
+@query(
+    "coverage_total_all",
+    check_sql(
+        "select count(distinct page_number) as pages, count(distinct page_number) * 16 as expected, count(*) as actual, "
+        "count(distinct page_number) * 16 - count(*) as difference from v_raw_data",
+        "raw_data",
+    ),
+)
+def coverage_total_all(spark, folder):
     return listing.coverage_total(view(spark, folder, "raw_data"))
 
 

@@ -95,7 +95,8 @@ def _status_sql(cc: str) -> str:
         _source(NOTICE)
         + "select page_id, case when " + _has("html", P.NORMAL_MARKS) + " then 'ok' when " + _has("b", P.THROTTLE_TEXTS) + " then 'throttled' when "
         + _has("b", P.CHALLENGE_TEXTS) + " or " + _has("t", P.CHALLENGE_TEXTS) + " then 'challenge' when " + _has("b", P.ROBOT_TEXTS) + " or "
-        + _has("t", P.SORRY_TEXTS) + " or " + _has("substr(b, 1, 2000)", P.SORRY_TEXTS) + " then 'robot' when " + _has("t", texts.title)
+        + _has("t", P.SORRY_TEXTS) + " or " + _has("regexp_replace(b, '(?s)<script.*?</script>|<div[^>]*review[^>]*>.*?</div>|<section[^>]*review[^>]*>.*?</section>|<li[^>]*review[^>]*>.*?</li>|"
+               "<span[^>]*review[^>]*>.*?</span>|<p[^>]*review[^>]*>.*?</p>', '', 'g')", P.SORRY_TEXTS) + " then 'robot' when " + _has("t", texts.title)
         + f" or ({needed}not " + _has("b", texts.links) + " and " + _has("b", texts.body) + ") then 'blocked' when " + _has("t", P.ERROR_TEXTS) + " or "
         + _has("b", P.ERROR_TEXTS) + " then 'error' else 'ok' end as status from (select page_id, html, lower(html) as b, "
         + "lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as t from s)"
@@ -171,9 +172,9 @@ CONS = "'<i>slow ' || cast(page_id as string) || '</i><i>—</i><i></i><i>dear</
 @query(
     "comparison",
     _source(CONS) + """select page_id, pos, case when pos = 1 then url else link end as product_url, nullif(trim(name), '') as product_name, nullif(trim(regexp_replace(regexp_replace(regexp_replace(pro, '<br\\s*/?>', ' ', 'g'), '<[^>]*>', '', 'g'), '[\\s\\x0b\\x85\\p{Z}]+', ' ', 'g')), '') as pros, """
-    "case pos when 1 then 'slow ' || page_id when 4 then 'dear' end as cons from (select page_id, url, pos, links[pos] as link, names[pos] as name, ps[pos] as pro from "
+    "case pos when 1 then 'slow ' || page_id when 4 then 'dear' when 5 then 'more' end as cons from (select page_id, url, pos, links[pos] as link, names[pos] as name, ps[pos] as pro from "
     """(select page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) as links, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) as names, """
-    "regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) as ps from s), (select unnest([1, 2, 3, 4]) as pos) where len(names) >= 4)",
+    "regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) as ps from s), (select unnest(range(1, 1000)) as pos) where pos <= len(names))",
 )
 def comparison(spark, folder):
     rows = _pages(spark, folder, CONS)

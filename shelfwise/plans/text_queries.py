@@ -548,5 +548,5 @@ scalar(
     "date_display", ("orders", "o_orderkey"),
     {"t": "case when o_orderkey % 7 = 0 then 'unknown date' else cast(cast(o_orderdate as date) as string) || ' 00:00:00' end"},
     lambda: {"day": clock.date_part("t"), "shown": clock.short_date("t")},
-    {"day": "split_part(t, ' ', 1)", "shown": "case when o_orderkey % 7 = 0 then 'unknown da' else strftime(cast(split_part(t, ' ', 1) as date), '%b %d') end"},
+    {"day": "split_part(t, ' ', 1)", "shown": "case when o_orderkey % 7 = 0 then 'unknown date' else strftime(cast(split_part(t, ' ', 1) as date), '%b %d') end"},
 )

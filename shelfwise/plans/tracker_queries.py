@@ -130,6 +130,16 @@ def price_stats_by_brand(spark, folder):
     return report.price_stats(_sales(spark, folder), "retailprice", ["brand"])
 
 
+@query(
+    "price_stats_null_groups",
+    check_sql(f"select nullif(brand, 'Brand#11') as brand, {STATS} from v_sales group by 1", "sales"),
+)
+def price_stats_null_groups(spark, folder):
+    """Rows without a brand are a group of their own."""
+    sales = _sales(spark, folder).withColumn("brand", F.nullif("brand", F.lit("Brand#11")))
+    return report.price_stats(sales, "retailprice", ["brand"])
+
+
 @query(
     "daily_history",
     check_sql(
@@ -263,7 +273,7 @@ def latest_rows(spark, folder):
     check_sql("select id, page_number, retailer_sku_name from v_raw_data order by page_number, id limit 10", "raw_data"),
 )
 def head_rows(spark, folder):
-    return report.head_by(view(spark, folder, "raw_data").select("id", "page_number", "retailer_sku_name"), ["page_number", "id"])
+    return report.head_by(view(spark, folder, "raw_data").select("id", "page_number", "retailer_sku_name"), ["page_number", "id"], 10)
 
 
 @query(
@@ -276,7 +286,7 @@ def head_rows(spark, folder):
 )
 def sample_failures(spark, folder):
     rows = view(spark, folder, "log").select("attempt_id", outcome("retailprice", "title").alias("outcome"))
-    return report.sample_failures(rows, ["attempt_id"])
+    return report.sample_failures(rows, ["attempt_id"], 5)
 
 
 DESCRIBED = {

@@ -41,7 +41,7 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         ("source", "case event_type when 'view' then 'main' when 'click' then 'bsr' when 'purchase' then 'promotion' "
                    "else 'trend' end"),
         ("batch_id", "@batch"),
-        ("rank", "cast(event_id % 300 + 1 as int)"),
+        ("rank", "case when event_id % 61 = 5 then null else cast(event_id % 300 + 1 as int) end"),
         ("product_url", URL),
         ("listing_url", "case when event_id % 50 = 7 then null when event_id % 7 = 0 then 'https://shop.example.com/o/' || "
                         "cast(user_id as string) else 'https://shop.example.com/tv/dp/B' || "

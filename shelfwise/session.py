@@ -52,11 +52,14 @@ _LOCAL_ROOT: list[str] = []
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run below the cluster's shared checkpoint folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) one temporary folder is made and used by every job of the process.
+    The cluster names the folder in ``spark.checkpoint.dir``. Only where that is unset and Spark runs
+    in one local process (tests, a laptop) one temporary folder is made and used by every job of the process;
+    on a cluster each executor would write to a disk of its own, so an unset folder is an error there.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         if not _LOCAL_ROOT:
             _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="shelfwise-"))
         root = _LOCAL_ROOT[0]

@@ -1,4 +1,7 @@
-"""Sinks. Every write is one atomic job; nothing is collected to the driver."""
+"""Sinks. Each table is written by one job of its own, with Spark's commit protocol; nothing is collected to the driver.
+
+A sink of two tables is two such jobs, and a reload deletes before it writes: neither is one transaction.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.order import same
 from shelfwise.operators.listing import dedupe_first
 from shelfwise.session import cut_lineage
 
@@ -19,6 +23,8 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 def append_new(df: DataFrame, path: str, keys: list[str], order: list, partition_by: list[str] | None = None) -> None:
     """Keyed append: a row whose key is stored already is skipped, so a repeated save adds nothing.
 
+    NULL is a key value like any other here, else a repeated save would add its rows again.
+
     Where the table is partitioned by columns of the key, only the partitions that occur in ``df``
     are read back.
     """
@@ -27,8 +33,10 @@ def append_new(df: DataFrame, path: str, keys: list[str], order: list, partition
     if stored is not None:
         shared = [c for c in partition_by or [] if c in keys]
         if shared:
-            stored = stored.join(df.select(*shared).distinct(), shared, "left_semi")
-        fresh = fresh.join(stored.select(*keys), keys, "left_anti")
+            wanted = df.select(*shared).distinct()
+            stored = stored.join(wanted, same(stored, wanted, shared), "left_semi")
+        known = stored.select(*keys)
+        fresh = fresh.join(known, same(fresh, known, keys), "left_anti")
     append(fresh, path, partition_by)
 
 
@@ -95,5 +103,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import os
+import tempfile
 import time
 
 TABLES = (
@@ -67,7 +68,7 @@ if __name__ == "__main__":
     from shelfwise.session import build_session
 
     folder = f"{DATA}/{os.environ.get('SF', 'sf0.01')}"
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("compare", f"local[{os.environ.get("CORES", "8")}]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, checks = entry.queries(), entry.oracle_sql()

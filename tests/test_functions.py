@@ -94,7 +94,7 @@ ONE_ARG = [
     (models.is_invalid_model, None, True),
     (models.is_invalid_model, "UN65DU8000", False),
     (clock.short_date, "2024-11-25 00:00:00", "Nov 25"),
-    (clock.short_date, "unknown date text", "unknown da"),
+    (clock.short_date, "unknown date text", "unknown date text"),
     (clock.date_part, "2024-11-25 00:00:00", "2024-11-25"),
     (lambda c: clock.batch_time(c).cast("string"), "20251108_143000", "2025-11-08 14:30:00"),
     (lambda c: clock.batch_time(c).cast("string"), "1762612200", "2025-11-08 14:30:00"),
@@ -209,7 +209,7 @@ def test_two_argument_functions(spark):
         text.sku_status(F.lit("x"), F.lit("y")).alias("st1"),
         text.sku_status(F.lit(""), F.lit("y")).alias("st2"),
         text.join_parts(F.lit("a"), F.lit(""), F.lit("b")).alias("j"),
-        text.pad(F.array(F.lit("x"), F.lit("—"))).alias("p"),
+        text.pad(F.array(F.lit("x"), F.lit("—")), 4).alias("p"),
         text.promo_label(F.lit("Big"), F.lit("sale"), F.lit("")).alias("pl1"),
         text.promo_label(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("a \n\n b\nc")).alias("pl2"),
         models.model(F.lit("1080p"), F.lit("(SC-1311)"), F.lit(""), F.lit("")).alias("m1"),

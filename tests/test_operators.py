@@ -94,10 +94,37 @@ def test_rank_cap_and_hot_group(spark):
 
 def test_pack_pages_renders_repeats_in_order(spark):
     df = spark.createDataFrame([("a", 10), ("a", 2), ("a", 2), ("b", 1)], "name string, page int")
-    packed = listing.pack_pages(listing.duplicate_report(df, "name", "page"), "name", "page")
+    packed = listing.pack_pages(listing.duplicate_report(df, "name", "page", 20), "name", "page")
     assert rows(packed) == [("a", 3, "2, 2, 10")]
 
 
+def test_null_groups_ranks_and_keys(spark):
+    """NULL is a group, NULL ranks come last, NULL keys are never lost."""
+    df = spark.createDataFrame([(None, 2), (None, None), (None, 1), ("a", 5)], "g string, o int")
+    assert sorted(((r.g, r.o, r.n) for r in listing.number_rows(df, ["g"], ["o"], "n").collect()), key=str) == sorted(
+        [(None, 1, 1), (None, 2, 2), (None, None, 3), ("a", 5, 1)], key=str
+    )
+    prices = spark.createDataFrame([(None, 1.0), (None, 3.0), ("b", 2.0)], "brand string, p double").selectExpr("brand", "cast(p as decimal(12,2)) p")
+    assert {r.brand: (r.priced, float(r.median_price)) for r in report.price_stats(prices, "p", ["brand"]).collect()} == {None: (2, 2.0), "b": (1, 2.0)}
+    new = spark.createDataFrame([("x", 1), (None, 2), (None, 3), ("y", 4)], "k string, v int")
+    old = spark.createDataFrame([("x", 0), (None, 9)], "k string, v int")
+    assert sorted(r.v for r in dml.insert_absent(new, old, ["k"], ["v"]).collect()) == [0, 2, 3, 4, 9]
+    path = shared_dir(spark, "null-keys")
+    for _ in range(2):
+        sinks.append_new(new, path, ["k"], ["v"])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 4]
+
+
+def test_newest_batch_by_time(spark):
+    """Epoch seconds and dates in one column: the later time wins, per shop."""
+    df = spark.createDataFrame(
+        [("A", "main", "1764547200"), ("A", "main", "20240101_000000"), ("B", "main", "20230101_000000"), (None, "main", "20220101_000000"), ("B", "main", None)],
+        "account_name string, source string, batch_id string",
+    )
+    got = {(r.account_name, r.batch_id) for r in listing.latest_batch(df).collect()}
+    assert got == {("A", "1764547200"), ("B", "20230101_000000"), (None, "20220101_000000")}
+
+
 def test_continue_rank_of_empty_first_part(spark):
     first = spark.createDataFrame([], "b string, rank int")
     second = spark.createDataFrame([("x", 2, 1), ("x", 1, 7), ("x", 1, 3)], "b string, page int, o int")

@@ -66,13 +66,13 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_latest_batch_reads_one_partition_per_feed(spark):
-    from shelfwise.operators.listing import latest_batch
+    from shelfwise.operators.listing import FEEDS, latest_batch
     from shelfwise.plans.views import view
     from shelfwise.session import shared_dir
 
     path = shared_dir(spark, "listing")
     view(spark, FOLDER, "listing").write.partitionBy("source", "batch_id").parquet(path)
-    rows = latest_batch(spark.read.parquet(path)).select("listing_id", "source", "batch_id")
+    rows = latest_batch(spark.read.parquet(path), {"source": FEEDS}).select("listing_id", "source", "batch_id")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and "ReadSchema: struct<listing_id:bigint>" in plan
 

@@ -12,8 +12,6 @@ from shelfwise.operators.skew import join_one
 
 #: Share of segments that are indexed with their one-deletion neighbourhood.
 RESERVE = 0.05
-#: Coarse counts of a set: hash classes, two bytes each.
-CLASSES = 16
 #: Rows of a key that are compared in one task; more are dealt out to several.
 BLOCK = 2048
 INDEX, PROBE = 1, 2
@@ -81,6 +79,19 @@ def keys_of(tokens, band: int, m: int, roles: int):
     return np.concatenate(rows), np.concatenate(kinds)
 
 
+def coarse_counts(tokens):
+    """Numbers of a set's tokens by the top bits of a hash, one byte each: half as many classes as tokens or more, a power of two."""
+    import numpy as np
+
+    bits = max(4, (len(tokens) - 1).bit_length() - 1)
+    return np.bincount((mix(tokens) >> np.uint64(64 - bits)).astype("int64"), minlength=1 << bits).clip(max=255).astype("uint8")
+
+
+def folded(counts, classes: int):
+    """Counts for fewer classes: neighbours are added up."""
+    return counts if len(counts) == classes else counts.reshape(classes, -1).sum(axis=1)
+
+
 def _measure(size: int):
     """Rows (key, shingles, two hashes of the set, coarse counts)."""
 
@@ -93,8 +104,7 @@ def _measure(size: int):
             out = []
             for tokens in shingle_sets(data, offsets, size):
                 one, two = mix(tokens + np.uint64(1)).sum(dtype="uint64"), mix(tokens ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype="uint64")
-                coarse = np.bincount((mix(tokens) >> np.uint64(60)).astype("int64"), minlength=CLASSES).clip(max=65535).astype("<u2")
-                out.append((len(tokens), int(one.view("int64")), int(two.view("int64")), coarse.tobytes()))
+                out.append((len(tokens), int(one.view("int64")), int(two.view("int64")), coarse_counts(tokens).tobytes()))
             columns = list(zip(*out, strict=True)) or [()] * 4
             arrays = [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, ("int64", "int64", "int64", "binary"), strict=True)]]
             yield pa.RecordBatch.from_arrays(arrays, names=["_key", "_n", "_one", "_two", "_coarse"])
@@ -133,13 +143,6 @@ def _index(size: int, num: int, den: int):
     return run
 
 
-def _apart(coarse_a, coarse_b):
-    """At least so many elements differ between sets with these coarse counts."""
-    import numpy as np
-
-    return np.abs(coarse_a.astype("int32") - coarse_b.astype("int32")).sum(axis=-1)
-
-
 def _near(num: int, den: int):
     """Keep pairs whose sizes and coarse counts allow a link; rows (u, v, sizes, coarse counts)."""
 
@@ -148,14 +151,17 @@ def _near(num: int, den: int):
         import pyarrow as pa
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, CLASSES) for k in (4, 5))
-            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            # Counts at the two-byte limit say nothing.
-            bound = np.where((a.max(axis=1) < 65535) & (b.max(axis=1) < 65535), _apart(a, b), 0)
-            good = bound * (den + num) <= (den - num) * (n + m)
-            good &= np.minimum(n, m) * den >= np.maximum(n, m) * num
+            good = []
+            for n, m, a, b in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4, 5)], strict=True):
+                if min(n, m) * den < max(n, m) * num:
+                    good.append(False)
+                    continue
+                a, b = np.frombuffer(a, "uint8"), np.frombuffer(b, "uint8")
+                least = min(len(a), len(b))
+                bound = int(np.abs(folded(a, least).astype("int32") - folded(b, least)).sum())
+                # A count at the byte's limit says nothing.
+                good.append(bound * (den + num) <= (den - num) * (n + m) or a.max() == 255 or b.max() == 255)
+            good = np.array(good, bool)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), batch.column(1).filter(pa.array(good))], names=["_u", "_v"])
 
     return run
@@ -171,8 +177,11 @@ def _across(num: int, den: int):
         def pairs(rows):
             columns = list(zip(*rows, strict=True))
             uid, role, comp, n, side = (np.array(c, "int64") for c in (columns[2], columns[3], columns[4], columns[5], columns[7]))
-            coarse = np.frombuffer(b"".join(columns[6]), "<u2").reshape(-1, CLASSES)
-            lots = coarse.max(axis=1) == 65535
+            counts = [np.frombuffer(c, "uint8") for c in columns[6]]
+            lots = np.array([c.max() == 255 for c in counts])
+            # A key's sets are of two neighbouring bands, so their numbers of classes differ by a factor of two at most.
+            least = min(map(len, counts))
+            coarse = np.array([folded(c, least) for c in counts], "int16")
             out_u, out_v = [], []
             for i in range(len(uid)):
                 # A block meets itself once, another block once: sides tell which of two blocks a row is from.
@@ -183,7 +192,7 @@ def _across(num: int, den: int):
                 ok = (((role[i] & PROBE) > 0) & ((role[other] & INDEX) > 0)) | (((role[i] & INDEX) > 0) & ((role[other] & PROBE) > 0))
                 ok &= np.minimum(n[other], n[i]) * den >= np.maximum(n[other], n[i]) * num
                 other = other[ok]
-                bound = np.where(lots[other] | lots[i], 0, _apart(coarse[other], coarse[i]))
+                bound = np.where(lots[other] | lots[i], 0, np.abs(coarse[other] - coarse[i]).sum(axis=1))
                 other = other[bound * (den + num) <= (den - num) * (n[other] + n[i])]
                 out_u.append(np.minimum(uid[other], uid[i]))
                 out_v.append(np.maximum(uid[other], uid[i]))
@@ -269,7 +278,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     Method. Equal sets are one class. Sizes fall in bands; in a band a set's tokens hash to one segment more than
     linked sets may differ in, so linked sets agree on a segment (``keys_of`` has the one-deletion neighbourhoods and the
     allocation by cost). Sets that share a segment key are candidates. Instead of all pairs of a key, first each set is compared with the key's
-    first set, then, where a key still has several components, with another; what remains is compared across components, block by block
+    central set, then, where a key still has several components, with another; what remains is compared across components, block by block
     in the tasks, and only pairs whose sizes and coarse counts allow a link leave them. All candidates are verified on the
     texts' words. So copies and near copies by the thousand cost a star each, and no link is lost.
 
@@ -293,8 +302,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     texts = raw.join(classes.select("_key", "_uid"), "_key")
     keys = texts.select("_uid", "_raw").mapInArrow(_index(size, num, den), "_k bigint, _uid bigint, _role tinyint")
     same = Window.partitionBy("_k")
-    keys = keys.withColumns({"_first": F.min("_uid").over(same), "_end": F.max("_uid").over(same), "_any": F.max(F.col("_role").bitwiseAND(PROBE)).over(same)})
-    keys = stage(keys.where("_first < _end and _any > 0").select("_k", "_uid", "_role", "_first"), "jaccard-keys")
+    keys = keys.withColumns({"_least": F.min("_uid").over(same), "_most": F.max("_uid").over(same), "_rows": F.count("*").over(same), "_any": F.max(F.col("_role").bitwiseAND(PROBE)).over(same)})
+    keys = stage(keys.where("_least < _most and _any > 0").select("_k", "_uid", "_role", "_rows"), "jaccard-keys")
+    # The centre of a key's star: the set that meets the most others over all keys, such as the text that copies were made from.
+    degrees = stage(keys.groupBy("_uid").agg(F.sum("_rows").alias("_degree")), "jaccard-degrees")
+    centre = F.max(F.struct("_degree", F.negative("_uid").alias("_less"))).over(same)
+    keys = stage(join_one(keys.drop("_rows"), degrees, ["_uid"]).withColumn("_centre", F.negative(centre["_less"])), "jaccard-keys")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Verified links among candidate pairs (_u < _v)."""
@@ -308,15 +321,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         ready = ready.select("_u", "_v", "_a", "_b").sortWithinPartitions("_u")
         return stage(ready.mapInArrow(_verify(size, num, den), "_u bigint, _v bigint"), "jaccard-links")
 
-    links = linked(keys.select(F.col("_first").alias("_u"), F.col("_uid").alias("_v")))
+    star = lambda rows: rows.select(F.least("_centre", "_uid").alias("_u"), F.greatest("_centre", "_uid").alias("_v"))
+    links = linked(star(keys))
     found = components(links)
     for turn in range(star_rounds):
         mixed = _mixed(keys, found)
         if turn + 1 < star_rounds:
-            # Another centre: the last set of the component that holds the key's smallest label.
-            centre = F.max(F.when(F.col("_c") == F.col("_least"), F.col("_uid"))).over(same)
-            star = mixed.withColumn("_centre", centre).where("_c <> _least")
-            more = linked(star.select(F.least("_centre", "_uid").alias("_u"), F.greatest("_centre", "_uid").alias("_v")))
+            # Another centre: the first by degree outside the component that the key's first centre is in.
+            inner = F.max(F.when(F.col("_uid") == F.col("_centre"), F.col("_c"))).over(same)
+            outer = F.when(F.col("_c") != F.col("_inner"), F.struct("_degree", F.negative("_uid").alias("_less")))
+            others = mixed.withColumn("_inner", inner).withColumn("_other", F.max(outer).over(same))
+            others = others.withColumn("_centre", F.negative(F.col("_other._less")))
+            more = linked(star(others.where("_c <> _inner")))
         else:
             # One copy of a row for each block that its own block has to meet.
             blocks = F.ceil(F.col("_rows") / BLOCK).cast("int")
@@ -343,7 +359,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
 def _mixed(keys: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of keys whose sets are in several components, with the component, the smallest one and the number of rows."""
     same = Window.partitionBy("_k")
-    rows = join_one(keys.select("_k", "_uid", "_role"), found.toDF("_uid", "_c"), ["_uid"]).withColumn("_c", F.coalesce("_c", "_uid"))
+    rows = join_one(keys, found.toDF("_uid", "_c"), ["_uid"]).withColumn("_c", F.coalesce("_c", "_uid"))
     rows = rows.withColumns({"_least": F.min("_c").over(same), "_most": F.max("_c").over(same), "_rows": F.count("*").over(same)})
     return stage(rows.where("_least < _most").drop("_most"), "jaccard-mixed")
 

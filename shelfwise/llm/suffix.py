@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query, ranked, row_key, stage, text_table
+from shelfwise.llm.wordhash import mix
 
 #: Bytes of a repeated string, and bytes of the sampled suffixes' leading tokens.
 LENGTH, GRAM = 100, 32
@@ -89,19 +90,33 @@ def _stretches(offsets):
 
 
 def _sample(batches):
-    """Rows (hash, key, packed place) of the sampled suffixes: first window start, distance to the suffix and to the last window start."""
+    """Rows (hash, key, packed place, sure) of the sampled suffixes: first window start, distance to the suffix and to the last window start.
+
+    A hash that occurs again within a batch is shared for sure: one of its rows keeps the hash, so that others
+    find it, the rest get hashes of their own. So a line that is everywhere costs a few rows per batch at its hash.
+    """
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
         data, offsets = byte_column(batch.column(1))
         keys = batch.column(0).to_numpy()
+        found = [[np.zeros(0, "uint64")], [np.zeros(0, "int64")], [np.zeros(0, "int64")]]
         for i, j, a, b in _stretches(offsets):
             hashes, start, low, high = sampled_suffixes(data[a:b], offsets[i + 1 : j + 1].clip(max=b) - a)
             text = np.searchsorted(offsets[i : j + 1] - a, low, "right") - 1 + i
-            packed = ((low + a - offsets[text]) << 14) | ((start - low) << 7) | (high - low)
-            arrays = [pa.array(hashes.view("int64")), pa.array(keys[text]), pa.array(packed)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["_h", "_key", "_place"])
+            found[0].append(hashes)
+            found[1].append(keys[text])
+            found[2].append(((low + a - offsets[text]) << 14) | ((start - low) << 7) | (high - low))
+        hashes, owner, packed = (np.concatenate(f) for f in found)
+        _, first, inverse, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        sure = count[inverse] > 1
+        again = sure.copy()
+        again[first] = False
+        own = mix(packed[again].astype("uint64") ^ mix(owner[again].astype("uint64")))
+        hashes[again] = own
+        arrays = [pa.array(hashes.view("int64")), pa.array(owner), pa.array(packed), pa.array(sure)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["_h", "_key", "_place", "_sure"])
 
 
 def _contexts(batches):
@@ -238,31 +253,36 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(batches):
-    """What is left of texts without their repeated bytes."""
-    import pyarrow as pa
+def _cut(as_text: bool):
+    """What is left of texts without their repeated bytes, as bytes or as text."""
 
-    for batch in batches:
-        out = []
-        for raw, starts, ends in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)], strict=True):
-            spans = merged(zip(starts, ends, strict=True))
-            kept, at = [], 0
-            for a, b in spans:
-                kept.append(raw[at:a])
-                at = b
-            kept = b"".join([*kept, raw[at:]])
-            out.append((len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        arrays = [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, ("int64", "int64", "string", "binary"), strict=True)]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["_key", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for raw, starts, ends in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)], strict=True):
+                spans = merged(zip(starts, ends, strict=True))
+                kept, at = [], 0
+                for a, b in spans:
+                    kept.append(raw[at:a])
+                    at = b
+                kept = b"".join([*kept, raw[at:]])
+                left = kept.decode("utf-8", "ignore") if as_text else kept
+                out.append((len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), left))
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            arrays = [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, ("int64", "int64", "string", "string" if as_text else "binary"), strict=True)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["_key", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return run
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """``docs`` (as struct ``_row``, its text as ``_text``) with ``n_bytes, n_removed, n_spans, kept_sha256, kept``.
 
     Every byte goes that a string of 100 bytes covers which also starts earlier, in a text with a smaller id
     or before in the same text; strings are judged on the input and lie within a text. ``kept`` (binary) is what is
-    left where some bytes go, else null.
+    left where some bytes go, else null; with ``as_text`` it is a string, without characters whose bytes were cut apart.
 
     Method. Equal texts are settled by their digest: the first stays for now, later ones of 100 bytes or more go whole.
     In the others each window of 100 bytes picks one suffix (see ``sampled_suffixes``), about one in 35, of which
@@ -287,9 +307,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     long_enough = first.where(F.col("n_bytes") >= LENGTH).select("_key", "_uid")
 
     raw = rows.select("_key", F.col("_text").cast("binary").alias("_raw"))
-    found = raw.join(long_enough, "_key").select("_uid", "_raw").mapInArrow(_sample, "_h bigint, _key bigint, _place bigint")
+    found = raw.join(long_enough, "_key").select("_uid", "_raw").mapInArrow(_sample, "_h bigint, _key bigint, _place bigint, _sure boolean")
     alike = Window.partitionBy("_h")
-    shared = found.withColumn("_n", F.count("*").over(alike)).where("_n > 1").groupBy(F.col("_key").alias("_uid")).agg(F.collect_set("_place").alias("_places"))
+    shared = found.withColumn("_n", F.count("*").over(alike)).where("_n > 1 or _sure").groupBy(F.col("_key").alias("_uid")).agg(F.collect_set("_place").alias("_places"))
     shared = shared.join(long_enough, "_uid")
     around = raw.join(shared, "_key").select("_uid", "_raw", "_places").mapInArrow(_contexts, "_right binary, _left binary, _uid bigint, _low bigint")
     around = stage(around, "suffix-contexts")
@@ -300,7 +320,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = spans.where("_window is null").select("_uid", "_start", "_end").union(edges.select("_uid", "_start", "_end"))
     spans = spans.groupBy("_uid").agg(F.collect_list(F.struct("_start", "_end")).alias("_s")).join(long_enough, "_uid")
     cut = raw.join(spans, "_key").select("_key", "_raw", F.col("_s._start").alias("_a"), F.col("_s._end").alias("_b"))
-    cut = cut.mapInArrow(_cut, "_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    cut = cut.mapInArrow(_cut(as_text), f"_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept {'string' if as_text else 'binary'}")
     cut = stage(cut, "suffix-cut").dropDuplicates(["_key"])
 
     state = first.select("_key", F.lit(True).alias("_first"))
@@ -312,7 +332,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.lit(nothing)).otherwise(F.coalesce("kept_sha256", "_digest")).alias("kept_sha256"),
-        F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(gone, F.lit("" if as_text else b"")).otherwise(F.col("kept")).alias("kept"),
     )
 
 

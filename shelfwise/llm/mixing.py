@@ -90,21 +90,24 @@ def mix_sources(
     sources = sources.withColumn("_all", F.sum("_source_size").over(everything).cast("double")).withColumn("_cap", F.col("_source_size") * float(max_copies))
     sources = stage(water_fill(sources, (), "_all", "_w", "_cap", "_target").select("_source", "_s", "_source_size", "_target"), "mix-sources")
 
-    rows = base.join(sources, base["_source"].eqNullSafe(sources["_source"])).where("_size > 0")
+    # Tables of a row per source (or per source and size class) are broadcast where the sources are few.
+    few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    small = F.broadcast if few else (lambda df: df)
+    rows = base.join(small(sources), base["_source"].eqNullSafe(sources["_source"])).where("_size > 0")
     rows = rows.select("_s", "_target", "_id", "_size", "_u", "_rows", inclusion(F.col("_size")).cast("long").alias("_w"))
     classes = rows.groupBy("_s", "_w").agg(F.sum(F.col("_size") * F.col("_rows")).cast("double").alias("_words"), F.max("_target").alias("_target"))
     classes = classes.withColumns({"_share": F.col("_w") * F.col("_words"), "_cap": F.col("_words") * float(max_copies)})
     classes = stage(water_fill(classes, ("_s",), "_target", "_share", "_cap", "_goal").select("_s", "_w", (F.col("_goal") / F.col("_words")).alias("_c")), "mix-classes")
 
-    pool = _drawn(rows.join(classes, ["_s", "_w"]))
+    pool = _drawn(rows.join(small(classes), ["_s", "_w"]))
     left = pool.groupBy("_s").agg((F.max("_target") - F.sum(F.col("_whole") * F.col("_size") * F.col("_rows"))).alias("_left"))
     pool = pool.where("_key is not null").withColumn("_n", F.col("_size") * F.col("_rows"))
     pool = stage(pool.select("_s", "_id", "_size", "_n", "_key", (F.shiftright("_key", KEY_BITS - LEVEL_BITS)).alias("_l1"), F.shiftright("_key", KEY_BITS - 2 * LEVEL_BITS).alias("_l2")), "mix-pool")
     left = stage(left, "mix-left")
     first = _threshold(pool.groupBy("_s", "_l1").agg(F.sum("_n").alias("_n")), left, "_l1")
-    second = pool.join(first, "_s").where("_l1 = _at__l1")
+    second = pool.join(small(first), "_s").where("_l1 = _at__l1")
     second = _threshold(second.groupBy("_s", "_l2").agg(F.sum("_n").alias("_n")), first.select("_s", "_left"), "_l2")
-    last = pool.join(second, "_s").where("_l2 = _at__l2")
+    last = pool.join(small(second), "_s").where("_l2 = _at__l2")
     # Rows of equal key and id (same id, other text) share a threshold: the running sum counts them together.
     run = Window.partitionBy("_s").orderBy(F.struct("_key", "_id")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     fits = last.withColumn("_run", F.sum("_n").over(run)).where("_run <= _left")
@@ -117,9 +120,9 @@ def mix_sources(
     for _ in range(fill_rounds):
         state = cut if picks is None else cut.join(picks, "_s", "left")
         state = state.withColumn("_picks", F.coalesce(F.col("_picks"), F.array()) if picks is not None else F.array().cast(f"array<struct<_key:bigint,_id:{base.schema['_id'].dataType.simpleString()}>>"))
-        marked = pool.join(state, "_s").withColumn("_in", _chosen("_key", "_id"))
+        marked = pool.join(small(state), "_s").withColumn("_in", _chosen("_key", "_id"))
         gap = marked.groupBy("_s").agg((F.max("_left") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("_n"))), F.lit(0))).alias("_gap"))
-        best = marked.where("not _in").join(gap, "_s").where("_n <= _gap")
+        best = marked.where("not _in").join(small(gap), "_s").where("_n <= _gap")
         best = best.groupBy("_s").agg(F.max(F.struct("_n", F.negative("_key").alias("_less"), "_id", "_key", "_picks")).alias("_b"))
         grown = best.select("_s", F.array_append(F.col("_b._picks"), F.struct(F.col("_b._key").alias("_key"), F.col("_b._id").alias("_id"))).alias("_picks"))
         kept = grown if picks is None else picks.join(grown.withColumnRenamed("_picks", "_new"), "_s", "left").select("_s", F.coalesce("_new", "_picks").alias("_picks"))
@@ -128,9 +131,8 @@ def mix_sources(
     copies = classes.groupBy("_s").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_c"))).alias("_copies"))
     plan = sources.join(copies, "_s", "left").join(cut, "_s", "left")
     plan = stage(plan.join(picks, "_s", "left") if picks is not None else plan.withColumn("_picks", F.lit(None)), "mix-plan")
-    few = plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    wide = docs.withColumns({**fresh, "_id": F.col(id_col), "_row_source": F.col(source_col)})
-    out = wide.join(F.broadcast(plan) if few else plan, F.col("_row_source").eqNullSafe(F.col("_source")))
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_row_source"), *(c.alias(n) for n, c in fresh.items()))
+    out = wide.join(small(plan), F.col("_row_source").eqNullSafe(F.col("_source")))
     out = _drawn(out.withColumn("_c", F.coalesce(F.element_at("_copies", inclusion(F.col("_size")).cast("long")), F.lit(0.0))))
     taken = F.col("_whole") + F.coalesce(_chosen("_key", "_id"), F.lit(False)).cast("long")
     taken = F.when(F.col("_size") > 0, taken).otherwise(F.lit(0)).cast("long")
@@ -138,7 +140,7 @@ def mix_sources(
         F.col("_size").alias("size"), F.col("_source_size").cast("long").alias("source_size"), F.col("_target").alias("target"),
         taken.alias("copies"), (taken * F.col("_size")).alias("taken"),
     )
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], mix.alias("_mix"))
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], mix.alias("_mix"))
 
 
 def _drawn(df: DataFrame) -> DataFrame:

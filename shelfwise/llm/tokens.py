@@ -204,15 +204,15 @@ def write_tokens(
 def read_tokens(spark: SparkSession, path: str, columns: Sequence[str] = ("ids",)) -> DataFrame:
     """Documents of token files with ``start``, the ids of all documents before each, and the wanted columns.
 
-    Only ``n_tokens`` is read for the starts: sums per file part, then a running sum over the parts
-    (one row per part).
+    Only ``n_tokens`` is read for the starts: sums per file part, then a running sum over the parts. That
+    is one row per task that wrote, so it is broadcast, and the ids stay where they are read.
     """
     files = spark.read.parquet(path)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     parts = parts.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     wanted = [c for c in columns if c not in ("doc_id", "n_tokens")]
-    return files.join(parts, "part").select("doc_id", (F.col("_base") + F.col("at")).alias("start"), "n_tokens", *wanted)
+    return files.join(F.broadcast(parts), "part").select("doc_id", (F.col("_base") + F.col("at")).alias("start"), "n_tokens", *wanted)
 
 
 def crc_of_ids(tokens: DataFrame) -> DataFrame:

@@ -43,15 +43,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     What is left of a character whose bytes were cut apart is dropped; documents of which nothing is left go.
     """
-    cut = suffix_dedup(docs).where("n_removed < n_bytes or n_bytes = 0")
-    # Whole characters only: what does not decode is replaced by U+FFFD, which is then taken out of cut texts.
-    text = F.when(F.col("kept").isNull(), F.col("_text")).otherwise(_whole_characters(F.col("kept")))
-    return cut.select(*_columns(docs, "_row", text))
-
-
-def _whole_characters(raw):
-    """Valid UTF-8 of bytes, broken sequences left out; a replacement character of the text itself stays in texts that are not cut."""
-    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("�"), F.lit(""))
+    cut = suffix_dedup(docs, as_text=True).where("n_removed < n_bytes or n_bytes = 0")
+    return cut.select(*_columns(docs, "_row", F.coalesce("kept", "_text")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

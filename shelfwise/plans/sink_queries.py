@@ -165,6 +165,22 @@ def stream_failures(spark, folder):
     return counts.select("url", F.unix_timestamp("window_start").alias("window_start"), "fail_count")
 
 
+@query(
+    "stream_failures_current",
+    check_sql(
+        "select url, cast(epoch(w) as bigint) as window_start, count(*) as fail_count from (select url, unnest(generate_series(date_trunc('hour', ts) - interval 23 hour, "
+        "date_trunc('hour', ts), interval 1 hour)) as w from v_log where retailprice is null) group by all",
+        "log",
+    ),
+)
+def stream_failures_current(spark, folder):
+    """Counts of all windows, those still open included."""
+    path, state = shared_dir(spark, "failure-log"), shared_dir(spark, "failure-state")
+    jobs.log_updates(jobs.failure_stream(_attempts(spark, folder)), path, state).awaitTermination()
+    counts = jobs.newest_counts(spark.read.parquet(path), ["url", "window_start"], "fail_count")
+    return counts.select("url", F.unix_timestamp("window_start").alias("window_start"), "fail_count")
+
+
 @query(
     "stream_keyed_sink",
     check_sql(

@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from shelfwise.session import shared_dir
 from shelfwise.sources.sinks import append_new
 
-SALTS = 32
-
-
 def ingest_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """New files of a table (a folder, or one file) as a stream; ``max_files`` bounds a micro-batch.
 
@@ -53,13 +50,11 @@ def sink_batches(
 def dedupe_stream(stream: DataFrame, keys: list[str], at: str, delay: str = "2 days") -> DataFrame:
     """Each key once while it is within ``delay`` of its first appearance.
 
-    Two steps: first per (key, salt), so that a hot key is spread over many tasks, then per key on
-    the few rows that are left. State is dropped once the watermark has passed.
+    One step with one state row per key, so that a key is let through again exactly when its state is
+    gone; state is dropped once the watermark has passed. Rows later than ``delay`` are dropped by Spark
+    and counted in the query's progress (``numRowsDroppedByWatermark``).
     """
-    salted = stream.withColumn("_salt", F.pmod(F.xxhash64(at), F.lit(SALTS)))
-    marked = salted.withWatermark(at, delay)
-    thinned = marked.dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return thinned.dropDuplicatesWithinWatermark(keys).drop("_salt")
+    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def failure_stream(
@@ -74,6 +69,23 @@ def failure_stream(
     )
 
 
+def log_updates(stream: DataFrame, path: str, checkpoint: str, every: str | None = None):
+    """Append each micro-batch's changed counts with the batch's number: windows that are still open come out at once."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("bigint")).write.mode("append").parquet(path)
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        stream.writeStream.foreachBatch(save).outputMode("update").option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+def newest_counts(updates: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The last count logged for each key; a micro-batch that was repeated after a failure logged the same."""
+    return updates.groupBy(*keys).agg(F.max_by(value, "_batch").alias(value))
+
+
 def drain(stream: DataFrame, purpose: str) -> DataFrame:
     """Run a stream over everything available and return the table it wrote."""
     spark = stream.sparkSession

@@ -195,9 +195,10 @@ def _bucket(batches):
     import numpy as np
     import pyarrow as pa
 
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
         return
+    table = pa.Table.from_batches(batches)
     uid, low = table.column("_uid").to_numpy(), table.column("_low").to_numpy()
     right, right_size = padded(table.column("_right").to_pylist(), 104)
     left, left_size = padded(table.column("_left").to_pylist(), 72)

@@ -89,7 +89,8 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     first = stage(narrow.where(F.col("_size") >= least).groupBy("_digest").agg(F.min(order).alias("_first")), "warc-first")
     plan = join_one(narrow, first, ["_digest"]).select("_key", F.coalesce("_first.key", "_key").alias("_first"), F.coalesce("_first.id", "_id").alias("_first_id"), (F.col("_size") >= least).alias("_joined"))
     plan = stage(plan, "warc-plan")
-    rows = rows.join(plan, "_key").sortWithinPartitions("_key")
+    # Rows of one key have to meet, however the plan is joined: they are numbered below.
+    rows = rows.repartition("_key").join(plan, "_key").sortWithinPartitions("_key")
 
     def write(batches):
         import pandas as pd

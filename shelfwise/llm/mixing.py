@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ def log_length(size: Column) -> Column:
 
 
 def _threshold(cells: DataFrame, rest: DataFrame, level: str) -> DataFrame:
-    """Per source, the first cell at which the running size passes what is left, and the size before it."""
+    """Per source, the first cell at which the running size passes what is left, and what is left to be taken from it."""
     run = Window.partitionBy("_s").orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     passed = cells.withColumn("_run", F.sum("_n").over(run)).join(rest, "_s").where("_run > _left")
     return passed.groupBy("_s").agg(F.min(F.struct(level, (F.col("_run") - F.col("_n")).alias("_before"), "_left")).alias("_c")).select(
@@ -45,6 +46,29 @@ def _threshold(cells: DataFrame, rest: DataFrame, level: str) -> DataFrame:
     )
 
 
+def _place() -> Column:
+    """Place of a document in the rank order of its source; no two rows of a pool share one."""
+    return F.struct("_key", "_id", "_u", "_size")
+
+
+def _pass(fitting: DataFrame, gaps: DataFrame, small) -> DataFrame:
+    """Per source with a document that fits: the ``_last`` place up to which ``fitting`` is taken, and the gap ``_left`` after it."""
+    cells = fitting.groupBy("_s", "_l1").agg(F.sum("_n").alias("_n"), F.max(_place()).alias("_top"))
+    sums = cells.groupBy("_s").agg(F.sum("_n").alias("_sum"), F.max("_top").alias("_top"))
+    first = _threshold(cells.drop("_top"), gaps, "_l1")
+    second = fitting.join(small(first), "_s").where("_l1 = _at__l1")
+    second = _threshold(second.groupBy("_s", "_l2").agg(F.sum("_n").alias("_n")), first.select("_s", "_left"), "_l2")
+    run = Window.partitionBy("_s").orderBy(_place()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = fitting.join(small(second), "_s").where("_l2 = _at__l2").withColumn("_run", F.sum("_n").over(run)).where("_run <= _left")
+    fits = fits.groupBy("_s").agg(F.max(_place()).alias("_in_cell"), F.max("_run").alias("_run"))
+    # Up to the cell of the threshold everything is taken; in it, up to the last document that fits. A place with nulls lies before its key.
+    place = fitting.select(_place().alias("_p")).schema["_p"].dataType
+    start = F.struct(F.shiftleft("_at__l2", KEY_BITS - 2 * LEVEL_BITS).alias("_key"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in place.fields[1:]])
+    cut = second.join(fits, "_s", "left").select("_s", F.coalesce("_in_cell", start).alias("_end"), (F.col("_left") - F.coalesce("_run", F.lit(0))).alias("_over"))
+    out = sums.join(gaps, "_s").join(cut, "_s", "left")
+    return out.select("_s", F.coalesce("_end", "_top").alias("_last"), F.coalesce("_over", F.col("_left") - F.col("_sum")).alias("_left"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
@@ -54,7 +78,6 @@ def mix_sources(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
-    fill_rounds: int = 3,
 ) -> DataFrame:
     """``docs`` with a struct column ``_mix``: size, source_size, target, copies, taken.
 
@@ -63,13 +86,15 @@ def mix_sources(
     source a document's expected copies are its inclusion weight times a factor, at most
     ``max_copies``, such that expected words meet the target. The whole part of the copies is certain.
     The rest is an inclusion probability p: with a uniform u drawn from a hash of id and text,
-    documents are ranked by [u/(1-u)] / [p/(1-p)] and the first are taken up to the words that are
-    left to the target (the sample's size is fixed in words). What remains, less than a document, is
-    closed by the longest documents that fit, at most ``fill_rounds`` of them.
+    documents are ranked by [u/(1-u)] / [p/(1-p)] and taken in this order up to the words that are
+    left to the target (the sample's size is fixed in words). A document that does not fit is skipped,
+    so what remains in the end is less than the smallest document that was not drawn.
 
     The rank key's histogram, two levels of 1024 cells per source, finds the threshold, so no window
-    ever holds a source; only documents of one final cell are ranked exactly. A source with a third of
-    the rows is summed before its shuffle. The text itself is never shuffled.
+    ever holds a source; only documents of one final cell are ranked exactly. It is found again over the
+    later documents of at most the gap until no document fits in any source; a pass takes one at least
+    and skips all that are too long at once. A source with a third of the rows is summed before its
+    shuffle. The text itself is shuffled only to find skipped repeats where these are many.
 
     Defined cases: null or empty text has size 0 and is never taken; null sources are one source;
     a null id is an id; rows that repeat id and text share one draw, hence are taken together; no rows
@@ -102,45 +127,47 @@ def mix_sources(
     pool = _drawn(rows.join(small(classes), ["_s", "_w"]))
     left = pool.groupBy("_s").agg((F.max("_target") - F.sum(F.col("_whole") * F.col("_size") * F.col("_rows"))).alias("_left"))
     pool = pool.where("_key is not null").withColumn("_n", F.col("_size") * F.col("_rows"))
-    pool = stage(pool.select("_s", "_id", "_size", "_n", "_key", (F.shiftright("_key", KEY_BITS - LEVEL_BITS)).alias("_l1"), F.shiftright("_key", KEY_BITS - 2 * LEVEL_BITS).alias("_l2")), "mix-pool")
-    left = stage(left, "mix-left")
-    first = _threshold(pool.groupBy("_s", "_l1").agg(F.sum("_n").alias("_n")), left, "_l1")
-    second = pool.join(small(first), "_s").where("_l1 = _at__l1")
-    second = _threshold(second.groupBy("_s", "_l2").agg(F.sum("_n").alias("_n")), first.select("_s", "_left"), "_l2")
-    last = pool.join(small(second), "_s").where("_l2 = _at__l2")
-    # Rows of equal key and id (same id, other text) share a threshold: the running sum counts them together.
-    run = Window.partitionBy("_s").orderBy(F.struct("_key", "_id")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    fits = last.withColumn("_run", F.sum("_n").over(run)).where("_run <= _left")
-    cut = fits.groupBy("_s").agg(F.max(F.struct("_key", "_id")).alias("_last"))
-    # Up to the cell of the threshold everything is taken; in it, up to the last document that fits.
-    cut = second.join(cut, "_s", "left").select("_s", F.coalesce("_last", F.struct(F.shiftleft("_at__l2", KEY_BITS - 2 * LEVEL_BITS).alias("_key"), F.lit(None).cast(base.schema["_id"].dataType).alias("_id"))).alias("_last"), F.col("_last").isNull().alias("_none"))
-    cut = stage(left.join(cut, "_s", "left"), "mix-cut")
-
-    picks = None
-    for _ in range(fill_rounds):
-        state = cut if picks is None else cut.join(picks, "_s", "left")
-        state = state.withColumn("_picks", F.coalesce(F.col("_picks"), F.array()) if picks is not None else F.array().cast(f"array<struct<_key:bigint,_id:{base.schema['_id'].dataType.simpleString()}>>"))
-        marked = pool.join(small(state), "_s").withColumn("_in", _chosen("_key", "_id"))
-        gap = marked.groupBy("_s").agg((F.max("_left") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("_n"))), F.lit(0))).alias("_gap"))
-        best = marked.where("not _in").join(small(gap), "_s").where("_n <= _gap")
-        best = best.groupBy("_s").agg(F.max(F.struct("_n", F.negative("_key").alias("_less"), "_id", "_key", "_picks")).alias("_b"))
-        grown = best.select("_s", F.array_append(F.col("_b._picks"), F.struct(F.col("_b._key").alias("_key"), F.col("_b._id").alias("_id"))).alias("_picks"))
-        kept = grown if picks is None else picks.join(grown.withColumnRenamed("_picks", "_new"), "_s", "left").select("_s", F.coalesce("_new", "_picks").alias("_picks"))
-        picks = stage(kept, "mix-picks")
+    pool = stage(pool.select("_s", "_id", "_u", "_size", "_n", "_key", (F.shiftright("_key", KEY_BITS - LEVEL_BITS)).alias("_l1"), F.shiftright("_key", KEY_BITS - 2 * LEVEL_BITS).alias("_l2")), "mix-pool")
+    gaps = stage(left, "mix-left")
+    fitting, steps = pool.join(small(gaps), "_s").where("_n <= _left").drop("_left"), []
+    while True:
+        passed = stage(_pass(fitting, gaps, small), "mix-pass")
+        if passed.isEmpty():
+            break
+        steps.append(gaps.withColumnRenamed("_left", "_gap").join(passed.select("_s", "_last"), "_s"))
+        gaps = passed.select("_s", "_left")
+        # Earlier documents of at most the new gap fitted the gap before, hence are taken.
+        fitting = stage(fitting.join(small(passed), "_s").where((F.col("_n") <= F.col("_left")) & (_place() > F.col("_last"))).drop("_left", "_last"), "mix-fitting")
 
     copies = classes.groupBy("_s").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_c"))).alias("_copies"))
-    plan = sources.join(copies, "_s", "left").join(cut, "_s", "left")
-    plan = stage(plan.join(picks, "_s", "left") if picks is not None else plan.withColumn("_picks", F.lit(None)), "mix-plan")
+    plan = sources.join(copies, "_s", "left")
+    if steps:
+        taken = reduce(DataFrame.unionByName, steps)
+        plan = plan.join(taken.groupBy("_s").agg(F.collect_list(F.struct("_gap", "_last")).alias("_steps")), "_s", "left")
+    else:
+        plan = plan.withColumn("_steps", F.lit(None))
+    plan = stage(plan, "mix-plan")
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_row_source"), *(c.alias(n) for n, c in fresh.items()))
     out = wide.join(small(plan), F.col("_row_source").eqNullSafe(F.col("_source")))
     out = _drawn(out.withColumn("_c", F.coalesce(F.element_at("_copies", inclusion(F.col("_size")).cast("long")), F.lit(0.0))))
-    taken = F.col("_whole") + F.coalesce(_chosen("_key", "_id"), F.lit(False)).cast("long")
+    chosen = _chosen(F.col("_size")) if steps else F.lit(False)
+    if steps:
+        # A row does not know its repeats: those that fit alone, but not together, are marked.
+        barred = pool.where("_n > _size").join(small(plan.select("_s", "_steps")), "_s").where(_chosen(F.col("_size")) & ~_chosen(F.col("_n")))
+        barred = stage(barred.select(F.col("_s").alias("_s2"), F.col("_id").alias("_id2"), F.col("_u").alias("_u2"), F.col("_size").alias("_size2")), "mix-barred")
+        rare = barred.limit(BROADCAST_SOURCES + 1).count()
+        if rare:
+            same = (F.col("_s") == F.col("_s2")) & F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_u") == F.col("_u2")) & (F.col("_size") == F.col("_size2"))
+            out = out.join(F.broadcast(barred) if rare <= BROADCAST_SOURCES else barred.hint("shuffle_merge"), same, "left")
+            chosen = chosen & F.col("_s2").isNull()
+    taken = F.col("_whole") + chosen.cast("long")
     taken = F.when(F.col("_size") > 0, taken).otherwise(F.lit(0)).cast("long")
     mix = F.struct(
         F.col("_size").alias("size"), F.col("_source_size").cast("long").alias("source_size"), F.col("_target").alias("target"),
         taken.alias("copies"), (taken * F.col("_size")).alias("taken"),
     )
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], mix.alias("_mix"))
+    out = out.select("_row", mix.alias("_mix"))
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], "_mix")
 
 
 def _drawn(df: DataFrame) -> DataFrame:
@@ -151,14 +178,11 @@ def _drawn(df: DataFrame) -> DataFrame:
     return df.withColumn("_whole", whole).withColumn("_key", F.when(p > 1e-9, F.floor(key * F.lit(float(1 << KEY_BITS))).cast("long")))
 
 
-def _chosen(key: str, ident: str) -> Column:
-    """Does a document lie before its source's threshold, or is it one of those that close the gap?
-
-    Without a threshold the whole pool fits.
-    """
-    here = F.struct(F.col(key).alias("_key"), F.col(ident).alias("_id"))
-    before = F.when(F.col("_last").isNull(), F.lit(True)).when(F.col("_none"), F.col(key) < F.col("_last._key")).otherwise(here <= F.col("_last"))
-    return F.col(key).isNotNull() & (before | F.coalesce(F.array_contains("_picks", here), F.lit(False)))
+def _chosen(words: Column) -> Column:
+    """Does a document of so many words lie in one of its source's steps: at most the gap of a pass, and up to its last place?"""
+    here = _place()
+    inside = F.exists("_steps", lambda step: (words <= step["_gap"]) & (here <= step["_last"]))
+    return F.col("_key").isNotNull() & F.coalesce(inside, F.lit(False))
 
 
 @query("op1_mix_sources")

@@ -50,6 +50,25 @@ def test_targets_and_totals(spark):
     assert len(rows) == len(words)
 
 
+def test_a_source_that_one_document_dominates(spark):
+    """The gap of each source is smaller than any document of it that could still be drawn; rows that repeat are taken together."""
+    rows = [(i, f"s{k}", "w " * (60 + i % 90)) for k in range(8) for i in range(1000 * k, 1000 * k + 120)]
+    rows += [(1000 * k + 999, f"s{k}", "w " * 12_000) for k in range(8)] + [(1000 * k + 998, f"s{k}", "w " * 7) for k in range(8)] * 3
+    rows += [(10_000, "z", "w " * 90_000)]
+    taken, target, n = defaultdict(int), {}, defaultdict(int)
+    got = mix_sources(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), weights=(1,) * 8 + (30,)).collect()
+    repeats = defaultdict(set)
+    for r in got:
+        taken[r["source"]] += r["_mix"]["taken"]
+        target[r["source"]] = r["_mix"]["target"]
+        n[r["source"], r["doc_id"]] += r["_mix"]["size"]
+        repeats[r["source"], r["doc_id"]].add(r["_mix"]["copies"])
+    assert all(len(c) == 1 for c in repeats.values())
+    for s in target:
+        left = [n[key] for key, c in repeats.items() if key[0] == s and c == {0}]
+        assert taken[s] <= target[s] + 1e-6 and (not left or target[s] - taken[s] < min(left))
+
+
 def test_reruns_agree(spark):
     one, two = (sorted((r["doc_id"], r["taken"]) for r in op1_mix_sources(spark, FOLDER).collect()) for _ in range(2))
     assert one == two

@@ -37,6 +37,25 @@ def test_a_group_larger_than_a_shard(spark):
     assert len(held) <= 5
 
 
+def test_a_table_without_unlinked_rows(spark):
+    """A third of the rows is one text, the rest are pairs: linked rows pay for each other's moves."""
+    i = F.col("id")
+    j = F.floor(i / 3) * 2 + i % 3 - 1
+    text = F.when(i % 3 == 0, F.lit("copy")).otherwise(F.concat(F.lit("t"), F.least(j, 1599 - j)))
+    docs = spark.range(2400).select(i.alias("doc_id"), text.alias("text"))
+    groups = defaultdict(Counter)
+    names = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = shard_documents(docs, 8).collect()
+    even(rows, 8)
+    for r in rows:
+        groups[names[r["doc_id"]]][r["shard"]] += 1
+    large = groups.pop("copy")
+    # 800 copies fill two shards of 300 and most of a third.
+    assert len(large) <= 4 and sum(n for _, n in large.most_common(3)) > 0.95 * 800, large
+    pairs = [g for g in groups.values() if sum(g.values()) == 2]
+    assert len(pairs) == 800 and sum(len(g) > 1 for g in pairs) <= 0.02 * len(pairs), sum(len(g) > 1 for g in pairs)
+
+
 def test_links_between_documents(spark):
     docs = spark.range(160).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
     links = docs.select("doc_id", F.floor(F.col("doc_id") / 5).alias("link"))

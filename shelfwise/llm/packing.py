@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query, ranked, stage
-from shelfwise.llm.tokens import _encoded, vocabulary
+from shelfwise.llm.parts import chunks, ranges
+from shelfwise.llm.tokens import ended, vocabulary
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: documents' ids with the end id, longer ones cut.
 
     A document longer than ``capacity`` is cut into pieces of ``capacity``; the first takes what is over.
+
+    Defined cases: null and empty texts are one piece with the end id alone; very long texts are encoded whole, a batch of
+    their own; repeated rows give their pieces each; null ids pass through; no rows give none; other columns are left out.
     """
+    import numpy as np
     import pyarrow as pa
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
@@ -25,19 +30,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col:
 
     def cut(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                row, out = [], []
-                for k, ids in enumerate(_encoded(some.column(1), tokenizer)):
-                    n = len(ids) // 4
-                    at = 0
-                    for piece in range(-(-n // capacity)):
-                        end = (n - 1) % capacity + 1 + piece * capacity
-                        row.append(k)
-                        out.append((piece, at, end - at, zlib.crc32(ids[4 * at : 4 * end])))
-                        at = end
-                columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-                arrays = [some.column(0).take(pa.array(row, "int32")), *[pa.array(c, t) for c, t in zip(columns, ("int32", "int64", "int64", "int64"), strict=True)]]
+            for i, n in chunks(batch.column(1)):
+                ids, at = ended(batch.column(1).slice(i, n), tokenizer)
+                ids, sizes = ids.astype("<u4"), np.diff(at)
+                number = -(-sizes // capacity)
+                row, piece = np.repeat(np.arange(n), number), ranges(np.zeros(n, "int64"), number)
+                end = (sizes[row] - 1) % capacity + 1 + piece * capacity
+                start = np.where(piece == 0, 0, end - capacity)
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip((at[row] + start).tolist(), (at[row] + end).tolist(), strict=True)]
+                arrays = [batch.column(0).slice(i, n).take(pa.array(row)), pa.array(piece.astype("int32")), pa.array(start), pa.array(end - start), pa.array(crc, "int64")]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Sequence
 from functools import lru_cache
@@ -13,17 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query
+from shelfwise.llm.parts import chunks, encode_parts, ranges, split, starts
 from shelfwise.session import shared_dir
 
 #: Id that ends each document.
 END = 0
-#: Words, and parts of texts between spaces, whose ids a worker keeps; a full cache is emptied, which costs time only.
-CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
-#: A space that begins a word, and one that does not.
-_CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" \s")
-_AFTER = frozenset(".,;:!?")
-
-
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary that is installed on every node."""
     import public_tokenizers
@@ -32,15 +25,16 @@ def vocabulary(name: str) -> str:
 
 
 class Encoder:
-    """Ids of whole texts by a vocabulary of the tokenizers library, each word encoded once.
+    """Ids of whole texts by a vocabulary of the tokenizers library, each part of a batch encoded once.
 
     A byte-level vocabulary cuts text before a space that begins a word, so the text's ids are the
-    ids of the pieces between such spaces. Most pieces are a word, or a word and a mark; others are
-    cut by the vocabulary's own pattern. Vocabularies of another kind encode whole texts.
+    ids of its parts (``parts.split``), of which a batch has few distinct ones. Vocabularies of
+    another kind encode whole texts. Nothing is kept between batches.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         import regex
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
@@ -56,16 +50,8 @@ class Encoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = (b for b in range(256) if b not in plain)
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        # Ids by part of a text after a space, by word after a space, by other piece.
-        self.parts: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
-
-    def _ids(self, piece: str) -> bytes:
-        from numpy import array
-
-        mapped = piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        self.names = [self.full.id_to_token(i) or "" for i in range(self.full.get_vocab_size())]
+        self.lead = np.array([t.startswith(self.letters[32]) for t in self.names])
 
     def count(self, text: str) -> int:
         """Number of ids of a short text; nothing is kept."""
@@ -74,52 +60,41 @@ class Encoder:
         pieces = [text] if text[1:].isalpha() else self.pieces.findall(text)
         return sum(len(self.model.tokenize(p.encode("utf-8", "replace").decode("latin-1").translate(self.letters))) for p in pieces)
 
-    def _piece(self, piece: str) -> bytes:
-        if piece[0] == " " and piece[1:].isalpha():
-            cache, key = self.spaced, piece[1:]
-        else:
-            cache, key = self.others, piece
-        found = cache.get(key)
-        if found is None:
-            found = cache[key] = self._ids(piece)
-        return found
-
-    def _part(self, part: str, lead: str) -> bytes:
-        if lead and part.isalpha():
-            return self._piece(lead + part)
-        if part[:-1].isalpha() and part[-1] in _AFTER:
-            return self._piece(lead + part[:-1]) + self._piece(part[-1])
-        return b"".join(map(self._piece, self.pieces.findall(lead + part)))
+    def whole(self, texts: list[str]) -> list:
+        """Ids of each text, by the library on whole texts."""
+        from numpy import array
+
+        return [array(e.ids, "int64") for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def spaced(self, words) -> tuple:
+        """Ids of parts after a space, flat, and their offsets."""
+        return encode_parts(words, lambda joined: self.whole([" " + t for t in joined]), lambda p: self.whole([" " + p])[0], self.lead)
+
+    def batch(self, texts) -> tuple:
+        """Ids of an array of strings, flat, and their offsets; null is empty."""
+        import numpy as np
+
+        if not self.by_word:
+            each = self.whole([t or "" for t in texts.to_pylist()])
+            return np.concatenate([*each, np.zeros(0, "int64")]).astype("uint32"), starts([len(x) for x in each])
+        parts = split(texts)
+        ids, at = self.spaced(parts.distinct)
+        # A text's first part has no space before it.
+        codes, some = parts.codes.copy(), np.diff(parts.offsets) > 0
+        which, codes[parts.offsets[:-1][some]] = np.unique(codes[parts.offsets[:-1][some]], return_inverse=True)
+        codes[parts.offsets[:-1][some]] += len(parts.distinct)
+        first = self.whole(parts.distinct.take(which).to_pylist())
+        sizes = np.concatenate([np.diff(at), np.array([len(x) for x in first], "int64")])
+        ids = np.concatenate([ids, *first]).astype("uint32")
+        each = sizes[codes]
+        return ids[ranges(starts(sizes)[codes], each)], starts(each)[parts.offsets]
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Per text, its ids as little-endian unsigned 32-bit integers; null is empty."""
-        if not self.by_word:
-            from numpy import array
-
-            return [array(e.ids, "<u4").tobytes() for e in self.full.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        if len(self.spaced) + len(self.others) > CACHE_WORDS:
-            self.spaced.clear()
-            self.others.clear()
-        if len(self.parts) > CACHE_PARTS:
-            self.parts.clear()
-        parts, out = self.parts, []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            # A text that begins or ends with spaces has empty parts: those texts go through the pattern as a whole.
-            if "" in cut:
-                out.append(b"".join(map(self._piece, self.pieces.findall(text))))
-                continue
-            ids = list(map(parts.get, cut))
-            ids[0] = self._part(cut[0], "")
-            if None in ids:
-                for i, found in enumerate(ids):
-                    if found is None:
-                        ids[i] = parts[cut[i]] = self._part(cut[i], " ")
-            out.append(b"".join(ids))
-        return out
+        import pyarrow as pa
+
+        ids, at = self.batch(pa.array(texts, pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -128,12 +103,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _encoded(column, path: str):
-    """Ids of a batch's texts, each with the end id."""
+def ended(texts, path: str) -> tuple:
+    """Ids of an array of strings, each text's followed by the end id, flat, and their offsets."""
     import numpy as np
 
-    end = np.array([END], "<u4").tobytes()
-    return [ids + end for ids in encoder(path).encode(column.to_pylist())]
+    ids, at = encoder(path).batch(texts)
+    return np.insert(ids, at[1:], END), at + np.arange(len(at))
 
 
 #: Parquet settings of the id column by name of its encoding.
@@ -179,18 +154,16 @@ def write_tokens(
 
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                coded = _encoded(some.column(some.schema.get_field_index("_text")), tokenizer)
-                sizes = np.array([len(x) // 4 for x in coded], "int64")
-                ends = np.cumsum(sizes)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], ends)).astype("int32")), pa.array(np.frombuffer(b"".join(coded), "<u4").astype("int32"))
-                )
+            texts = batch.column(batch.schema.get_field_index("_text"))
+            for i, n in chunks(texts):
+                some = batch.slice(i, n)
+                ids, ends = ended(texts.slice(i, n), tokenizer)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype("int32")), pa.array(ids.astype("int32")))
                 arrays = [some.column(some.schema.get_field_index(k)) for k in kept]
-                arrays += [pa.array(np.full(len(sizes), part, "int32")), pa.array(at + ends - sizes), pa.array(sizes), ids]
+                arrays += [pa.array(np.full(n, part, "int32")), pa.array(at + ends[:-1]), pa.array(np.diff(ends)), lists]
                 at += int(ends[-1])
-                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "part", "at", "n_tokens", "ids"])
+                out = pa.RecordBatch.from_arrays(arrays, names=[*kept, "part", "at", "n_tokens", "ids"])
+                yield from (out.slice(k, 256) for k in range(0, n, 256))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
     coded = rows.mapInArrow(encode, f"{kinds}, part int, at bigint, n_tokens bigint, ids array<int>")

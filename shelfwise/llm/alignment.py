@@ -16,6 +16,8 @@ from shelfwise.operators.skew import join_one
 
 #: Bits of a pair's number that hold the second vocabulary's id.
 B_BITS = 32
+#: Bytes of text that become one row of blocks; a smaller batch needs less memory, a larger one shares more parts.
+BLOCK_BYTES = 4 << 20
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -143,7 +145,7 @@ def block_rows(pairs: str, pieces: str, kind):
 
         nth = 0
         for batch in batches:
-            for i, n in chunks(batch.column(1)):
+            for i, n in chunks(batch.column(1), BLOCK_BYTES):
                 parts = split(batch.column(1).slice(i, n))
                 by = align_parts(parts.distinct, pairs, pieces)
                 sizes = np.diff(parts.offsets)
@@ -198,7 +200,7 @@ def align(docs: DataFrame, pairs: str, pieces: str, id_col: str = "doc_id", text
     Documents: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``. Texts are cut before spaces at which both
     vocabularies begin a token, so a document's alignment is that of its parts end to end, and no group or link leaves a
     part. Each distinct part of a batch is encoded and aligned once by ``overlaps`` (``pandas.merge_asof`` in both directions, keyed by
-    part); equal ends cut the groups. A batch (8 MiB of text or one longer text) becomes one row with its documents, parts and the
+    part); equal ends cut the groups. A batch (4 MiB of text or one longer text) becomes one row with its documents, parts and the
     count of each of its id pairs. Counts are summed over batches by pair; a batch then gets the totals of the
     pairs it holds, never those of a document, so what is shuffled follows the distinct pairs of batches, not the links.
 

@@ -6,7 +6,7 @@ import importlib
 
 from shelfwise.llm.common import CHECKS, QUERIES
 
-MODULES = ["mixing", "tokens", "sharding", "simhash", "packing", "fertility", "warc", "suffix", "jaccard", "brown", "alignment"]
+MODULES = ["mixing", "tokens", "sharding", "simhash", "packing", "fertility", "warc", "suffix", "jaccard", "brown", "blocks", "periodic", "alignment"]
 
 
 def load() -> tuple[dict, dict]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import clean_markup
+from shelfwise.operators import markup as M
 from shelfwise.operators import pages as P
 from shelfwise.plans.registry import query
 
@@ -198,3 +199,61 @@ def page_audit(spark, folder):
 def markup_fields(spark, folder):
     rules = [P.Rule("body", r"(?s)<article>(.*?)</article>")]
     return P.extract(_pages(spark, folder), rules, ["page_id"], post={"body": clean_markup})
+
+
+# --- nested elements ----------------------------------------------------------------------------
+
+# Prices in the page's own area, in areas of other products at several depths of one tag, and after an element without end tag.
+NESTED = (
+    "'<div id=\"centerCol\"><div class=\"row\"><div class=\"price\"><span class=\"p\">' || cast(page_id as string) || '</span></div><!-- <div> --></div>' || case page_id % 3 "
+    "when 0 then '<div class=\"x sponsored\"><div><div><span class=\"p\">s</span></div></div></div>' when 1 then '</section><section id=\"bundleV2-1\"><div><span class=\"p\">b</span></div>' else '' end "
+    "|| '<span class=\"p\">in</span></div><div data-feature-name=\"sims-2\"><div><span class=\"p\">d</span></div></div><div class=\"wide\"><span class=\"p\">out</span>'"
+)
+_HAS = lambda name, parts: "(" + " or ".join(f"contains(regexp_extract(opening, '(?i)\\s{name}\\s*=\\s*\"[^\"]*\"'), '{p}')" for p in parts) + ")"
+ELEMENTS = (
+    _source(NESTED) + f", b as (select page_id, regexp_replace(html, '{M.NO_MARKUP}', '', 'g') as b from s), l as (select page_id, regexp_extract_all(b, '{M.mark_pattern()}') as l, "
+    f"string_split_regex(b, '{M.mark_pattern()}') as g from b), m as (select page_id, mark, pos, tag, open, sum(len(gap) + len(mark)) over (partition by page_id order by pos) - len(mark) as pl from "
+    "(select page_id, unnest(l) as mark, unnest(g[1:len(l)]) as gap, unnest(range(1, len(l) + 1)) as pos from l), lateral (select lower(regexp_extract(mark, '</?([a-zA-Z]+)', 1)) as tag, mark not like '</%' as open)), "
+    "d as (select *, sum(case when open then 1 else -1 end) over (partition by page_id, tag order by pos) + case when open then 0 else 1 end as lv from m), "
+    "c as (select o.page_id, o.tag, o.mark as opening, o.lv, o.pos as start, o.pl, min(z.pos) as stop, min(z.pl + len(z.mark)) as until from d o left join d z on z.page_id = o.page_id and z.tag = o.tag "
+    "and z.lv = o.lv and z.pos > o.pos and not z.open where o.open group by all), "
+    "e as (select c.page_id, c.tag, c.opening, c.start, c.pl, coalesce(c.stop, min(a.stop)) as stop, coalesce(c.until, min(a.until)) as until, c.lv - least(1, min(c.lv) over (partition by c.page_id, c.tag)) + 1 as level "
+    "from c left join c a on a.page_id = c.page_id and a.start < c.start and a.stop > c.start group by c.page_id, c.tag, c.opening, c.start, c.pl, c.stop, c.until, c.lv), "
+    "x as (select *, " + _HAS("id", M.EXCLUDED_IDS) + " or " + _HAS("class", M.EXCLUDED_CLASSES) + " or " + _HAS("data-component-type", ["sims"]) + " or " + _HAS("data-feature-name", ["sims"]) + " as bad from e) "
+)
+_AROUND = "select 1 from x a where a.page_id = x.page_id and a.start <= x.start and (a.stop is null or a.stop > x.start)"
+
+
+@query(
+    "page_elements",
+    ELEMENTS + 'select page_id, tag, opening, cast(level as int) as level, cast(start as int) as start, cast(stop as int) as "end", cast(pl as bigint) as "at", cast(until as bigint) as until from e',
+)
+def page_elements(spark, folder):
+    return M.elements(_pages(spark, folder, NESTED))
+
+
+@query("exclude_by_ancestor", ELEMENTS + f"select page_id, cast(start as int) as start, opening from x where tag = 'span' and not exists ({_AROUND} and a.bad)")
+def exclude_by_ancestor(spark, folder):
+    found = M.elements(_pages(spark, folder, NESTED))
+    return M.exclude_by_ancestor(found, F.col("tag") == "span").select("page_id", "start", "opening")
+
+
+@query(
+    "own_area_prices",
+    ELEMENTS + "select page_id, cast(start as int) as start, opening from x where opening like '%class=\"p\"%' "
+    f"and not exists ({_AROUND} and a.bad) and exists ({_AROUND} and a.opening like '%id=\"centerCol\"%')",
+)
+def own_area_prices(spark, folder):
+    """Prices in the page's own area that are in no area of other products."""
+    found = M.elements(_pages(spark, folder, NESTED))
+    price, own = M.attribute_has("opening", "class", ["p"]) & (F.col("tag") == "span"), M.attribute_has("opening", "id", [M.OWN_AREA])
+    return M.exclude_by_ancestor(found, price, within=own).select("page_id", "start", "opening")
+
+
+@query(
+    "nested_containers",
+    ELEMENTS + "select page_id, cast(row_number() over (partition by page_id order by start) as int) as position, cast(level as int) as level, cast((select count(*) from x a where a.page_id = x.page_id "
+    "and a.tag = 'div' and a.start < x.start and (a.stop is null or a.stop > x.start)) as int) as depth, substr(b, cast(pl as int) + 1, cast(coalesce(until, len(b)) - pl as int)) as container from x join b using (page_id) where tag = 'div'",
+)
+def nested_containers(spark, folder):
+    return M.nested_containers(_pages(spark, folder, NESTED), F.col("tag") == "div")

@@ -19,7 +19,9 @@ PATH, WORDS, PLAIN = 96, 32, 12
 HIDDEN = 24
 #: Pages of the table that the labeller learns from at most, their longest markup, and pages laid out anew from their blocks.
 SAMPLE, LONGEST, LAID_OUT = 300, 40_000, 3000
-EPOCHS, BATCH, LEARNED_BLOCKS = 8, 32, 80
+EPOCHS, BATCH, LEARNED_BLOCKS = 8, 32, 200
+#: Blocks from which pages count as equally long.
+MANY = 150
 #: Blocks times pages that are labelled together.
 TOGETHER = 100_000
 
@@ -118,7 +120,7 @@ def figures(pages: Sequence[Sequence[Leaf]]):
         np.log1p(counts) / 4, np.log1p(chars) / 6, np.minimum(1, share([leaf.linked for leaf in flat])), chars / np.maximum(counts, 1) / 10,
         np.array([leaf.text[-1] in ".!?…。" for leaf in flat]), 10 * share([leaf.text.count(",") + leaf.text.count(".") for leaf in flat]),
         share([len(leaf.text) - len(leaf.text.translate(_DIGITS)) for leaf in flat]), np.array([leaf.text[0].isupper() for leaf in flat]),
-        np.array(["©" in leaf.text or "|" in leaf.text for leaf in flat]), place, np.repeat(np.log1p(sizes), sizes) / 6, chars / np.maximum(total, 1),
+        np.array(["©" in leaf.text or "|" in leaf.text for leaf in flat]), place, np.repeat(np.log1p(np.minimum(sizes, MANY)), sizes) / 6, chars / np.maximum(total, 1),
     ], axis=1).astype("float32")
     return x
 
@@ -338,6 +340,8 @@ class Layout:
             # Few blocks, so that long articles are not all there is.
             at = r.randrange(len(texts))
             texts = texts[at : at + r.randint(1, 6)]
+        elif r.random() < 0.06:
+            texts = [r.choice(texts) for _ in range(r.randint(60, 180))]
         article: list[tuple[Leaf, int]] = []
         for k, text in enumerate(texts):
             inner = ("h1",) if k == 0 and r.random() < 0.7 else r.choice((("p",),) * 10 + (("h2",), ("ul", "li"), ("blockquote", "p"), ("blockquote",), ("div",), ("pre",), ("ol", "li"), ("table", "tr", "td"), ("figure", "figcaption")))

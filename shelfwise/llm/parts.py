@@ -2,7 +2,7 @@
 
 Byte-level and sentence-piece vocabularies begin a token at a space that follows a character other than white
 space and begins a word. Texts are cut before such spaces, the parts of a batch are dictionary-encoded, and
-whatever is found out about a part is gathered back to texts with numpy. Nothing is kept from batch to batch.
+whatever is found out about a part is gathered back to texts with numpy.
 """
 
 from __future__ import annotations

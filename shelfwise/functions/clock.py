@@ -56,6 +56,12 @@ def crawl_seconds(c: Column | str) -> Column:
     return F.unix_timestamp(_digits_to_time(col(c), 9))
 
 
+def crawl_time(c: Column | str) -> Column:
+    """Crawl time string to timestamp, fraction digits kept."""
+    fraction = F.coalesce(F.concat(F.lit("0."), F.nullif(F.substring(col(c), 15, 6), F.lit(""))).try_cast("decimal(7,6)"), F.lit(0).cast("decimal(7,6)"))
+    return _digits_to_time(col(c), 9) + F.make_dt_interval(secs=fraction)
+
+
 def week_label(ts: Column | str) -> Column:
     """ISO week without year: 'w45'."""
     return F.concat(F.lit("w"), F.weekofyear(col(ts)).cast("string"))

@@ -9,12 +9,11 @@ from shelfwise.functions.money import PRICE
 from shelfwise.functions.text import blank_to_null, col, pick
 
 # Texts that are not a price, as one pattern per country.
-NOT_A_PRICE = r"^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*€|list\s*price|buy\s*used"
 REJECT = {
-    "it": "(?iU)" + NOT_A_PRICE,
-    "de": "(?iU)" + NOT_A_PRICE,
-    "fr": "(?iU)" + NOT_A_PRICE + r"|achetez\s*d'occasion",
-    "en": "(?iU)" + NOT_A_PRICE.replace("was\\s*€", "was\\s*[€$£¥₹]"),
+    "it": r"(?iU)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*€|list\s*price|buy\s*used",
+    "de": r"(?iU)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*€|list\s*price|buy\s*used",
+    "fr": r"(?iU)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*€|list\s*price|buy\s*used|achetez\s*d'occasion",
+    "en": r"(?iU)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|was\s*[€$£¥₹]|list\s*price|buy\s*used",
     "es": r"(?U)^\s*[a-zA-Z\s]+$|^\s*\d+\s*[a-zA-Z]|^\s*[^€$£¥₹\s]\d+\s*$",
 }
 

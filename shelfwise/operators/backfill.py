@@ -12,7 +12,7 @@ from shelfwise.functions.order import order_key
 from shelfwise.functions.clock import batch_seconds, crawl_seconds
 from shelfwise.functions.money import price_number
 from shelfwise.functions.text import blank_to_null
-from shelfwise.operators.skew import join_one
+from shelfwise.operators.skew import combine, join_one
 from shelfwise.operators.nearest import HOUR, band_nearest, nearest_batch
 from shelfwise.session import cut_lineage
 
@@ -286,35 +286,41 @@ def backfill_phases(
 
 
 def backfill_stats(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Per account: rows updated and rows with a missing price before and after."""
+    """Per account: rows updated, rows with a missing price before and after, and failed rows: nothing was found for them."""
     lacks = F.col("final_sku_price").isNull() | F.col("original_sku_price").isNull()
     no = F.lit(False)
     both = before.select("account_name", lacks.alias("_old"), no.alias("_new"), no.alias("_up")).union(
         after.select("account_name", no.alias("_old"), lacks.alias("_new"), F.col("backfilled").alias("_up"))
     )
     return both.groupBy("account_name").agg(
-        F.count_if("_old").alias("missing_before"), F.count_if("_up").alias("updated"), F.count_if("_new").alias("missing_after")
+        F.count_if("_old").alias("missing_before"), F.count_if("_up").alias("updated"), F.count_if("_new").alias("missing_after"),
+        (F.count_if("_old") - F.count_if("_up")).alias("failed"),
     )
 
 
 def backfill_latest(
-    unified: DataFrame, detail: DataFrame, listing: DataFrame, account: str, prefer: list[str]
+    unified: DataFrame, detail: DataFrame, listing: DataFrame, accounts: str | list[str], prefer: list[str], zone: str | None = None
 ) -> DataFrame:
     """Newest batch only: listing prices into the detail rows, those into the newest unified rows.
 
-    Returns the unified rows of the newest crawl of the account, prices filled.
+    The newest batch is each account's own, by the time its id stands for, so dated and epoch ids may be mixed; ``zone`` is that
+    of dated ids. Returns the unified rows of the newest crawl of each account, prices filled.
     """
+    accounts = [accounts] if isinstance(accounts, str) else accounts
     clean = lambda df: df.withColumns({p: blank_to_null(p) for p in PRICES})
     unified, detail, listing = clean(unified), clean(detail), clean(listing)
-    own = lambda df: df.where(F.col("account_name") == account)
-
-    def newest(df: DataFrame, column: str) -> DataFrame:
-        return df.where(F.col(column) == df.agg(F.max(column)).scalar())
-
-    detail = newest(own(detail).where("batch_id is not null"), "batch_id")
-    main = newest(own(listing).where("source = 'main' and batch_id is not null"), "batch_id")
-    bsr = newest(own(listing).where("source = 'bsr' and batch_id is not null"), "batch_id")
-    filled = enrich(detail, main, ["product_url"], PRICES, prefer)
-    filled = enrich(filled, bsr, ["product_url"], PRICES[:1], prefer)
-    last = newest(own(unified).where("crawl_strdatetime is not null"), "crawl_strdatetime")
-    return enrich(last, filled, ["product_url"], PRICES, ["crawl_strdatetime", *PRICES])
+    own = lambda df, column: df.where(F.col("account_name").isin(accounts) & F.col(column).isNotNull())
+
+    def newest(df: DataFrame, column: str, at: Column) -> DataFrame:
+        last = combine(df, ["account_name", column]).groupBy("account_name").agg(F.max(F.struct(at.alias("at"), column)).alias("_last"))
+        # One row per account, whose names are given.
+        last = last.select(F.col("account_name").alias("_account"), F.col(f"_last.{column}").alias("_newest"))
+        return df.join(F.broadcast(last), (F.col("account_name") == F.col("_account")) & (F.col(column) == F.col("_newest")), "left_semi")
+
+    batch_at = batch_seconds("batch_id", zone)
+    feed = lambda source: newest(own(listing, "batch_id").where(F.col("source") == source), "batch_id", batch_at)
+    on = ["account_name", "product_url"]
+    filled = enrich(newest(own(detail, "batch_id"), "batch_id", batch_at), feed("main"), on, PRICES, prefer)
+    filled = enrich(filled, feed("bsr"), on, PRICES[:1], prefer)
+    last = newest(own(unified, "crawl_strdatetime"), "crawl_strdatetime", F.col("crawl_strdatetime"))
+    return enrich(last, filled, on, PRICES, ["crawl_strdatetime", *PRICES])

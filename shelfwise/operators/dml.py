@@ -10,12 +10,17 @@ from shelfwise.operators.listing import dedupe_first
 from shelfwise.operators.skew import join_one
 
 
+def partial_key(keys: list[str]) -> Column:
+    """Whether a key has a NULL in it, and so equals no other key."""
+    return F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+
+
 def new_only(incoming: DataFrame, stored: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """Incoming rows whose key is not stored yet, first row per key.
 
     A key with a NULL in it equals no other key, as in the source database: such rows are all new.
     """
-    partial = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    partial = partial_key(keys)
     full = dedupe_first(incoming.where(~partial), keys, order).join(stored.select(*keys), keys, "left_anti")
     return full.select(incoming.columns).unionByName(incoming.where(partial))
 
@@ -28,9 +33,11 @@ def insert_absent(incoming: DataFrame, stored: DataFrame, keys: list[str], order
 def upsert(incoming: DataFrame, stored: DataFrame, keys: list[str], cols: list[str], order: list[Column | str]) -> DataFrame:
     """Insert, on conflict update ``cols``; other columns of stored rows stay.
 
-    ``order`` settles several incoming rows of one key (first wins). Stored keys are unique.
+    ``order`` settles several incoming rows of one key (first wins). Stored keys are unique, but for keys with a NULL in
+    them: such a key equals no other, as in the source database, so these rows never conflict, are all inserted, each time.
     """
-    new = dedupe_first(incoming, keys, order).withColumn("_new", F.lit(True)).alias("n")
+    partial = partial_key(keys)
+    new = dedupe_first(incoming.where(~partial), keys, order).withColumn("_new", F.lit(True)).alias("n")
     old = stored.withColumn("_old", F.lit(True)).alias("o")
     both = old.join(new, keys, "full_outer")
     out = [F.col(k) for k in keys]
@@ -39,7 +46,8 @@ def upsert(incoming: DataFrame, stored: DataFrame, keys: list[str], cols: list[s
             continue
         take_new = F.col("n._new").isNotNull() & (F.lit(c in cols) | F.col("o._old").isNull())
         out.append(F.when(take_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
-    return both.select(*out).select(stored.columns)
+    inserted = incoming.where(partial).select(stored.columns)
+    return both.select(*out).select(stored.columns).unionByName(inserted)
 
 
 def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:

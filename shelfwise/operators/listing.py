@@ -166,14 +166,14 @@ def continue_rank(
 ) -> DataFrame:
     """Rank the second part after the end of the first.
 
-    The offset is the first part's largest rank in the same group, or over everything with
+    The offset is the first part's largest rank in the same group, NULL being a group like others, or over everything with
     ``all_batches``.
     """
     ranked = number_rows(second, by, order, "_number")
     if all_batches:
         ranked = ranked.withColumn("_offset", first.agg(F.max("rank")).scalar())
     else:
-        ranked = join_one(ranked, first.groupBy(*by).agg(F.max("rank").alias("_offset")), by)
+        ranked = join_one(ranked, first.groupBy(*by).agg(F.max("rank").alias("_offset")), by, null_safe=True)
     rank = F.col("_number") + F.coalesce(F.col("_offset"), F.lit(0))
     return ranked.withColumn("continued_rank", rank.cast("bigint")).drop("_number", "_offset")
 

@@ -138,6 +138,14 @@ def exclude_by_ancestor(
     return covered(chosen, found.where(within), page, name="_good").where((F.col("_good") > 0) | within).drop("_good")
 
 
+def section_counts(pages: DataFrame, tag: str, keywords: list[str], page: str = "page_id", html: str = "html") -> DataFrame:
+    """``page, keyword, sections``: elements of a tag whose text, that of inner elements included, contains each keyword; pages without any are left out."""
+    found = nested_containers(pages, F.col("tag") == tag, page, html, [tag])
+    text = F.regexp_replace("container", "<[^>]*>", "")
+    words = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: text.contains(k))
+    return found.select(page, F.explode(words).alias("keyword")).groupBy(page, "keyword").agg(F.count(F.lit(1)).alias("sections"))
+
+
 def nested_containers(pages: DataFrame, chosen: Column, page: str = "page_id", html: str = "html", tags: list[str] | None = None) -> DataFrame:
     """``page, position, level, depth, container``: whole markup of the elements ``chosen`` (a condition on ``opening`` and ``tag``).
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.clock import date_part
 from shelfwise.functions.text import blank_to_null, clean_markup, col, pick
+from shelfwise.operators.skew import join_one
 
 MAX_RULES = 10_000
 
@@ -61,6 +62,29 @@ def extract(
     return out.select(*keep, *[value(name).alias(name) for name in sorted(fields)])
 
 
+def extract_by_rules(
+    pages: DataFrame, rules: DataFrame, fields: list[str], keep: list[str], on: list[str], html: str = "html", post: dict | None = None, descending: bool = False,
+) -> DataFrame:
+    """``extract`` with the rules as a table: the rules of a page are those of its shop (the ``on`` columns), joined to it as one list.
+
+    The table has ``on``, ``data_field``, ``pattern``, ``priority``, ``is_active``. The lists, one per shop in order of priority (smallest first,
+    or largest with ``descending``; ties by pattern), meet the pages in one join, which Spark broadcasts where the lists are small; a page is
+    neither repeated nor grouped, and nothing is collected. A list is walked until a rule gives something that is not empty.
+    Pages of shops without rules have NULL in all fields.
+    """
+    rank = -F.col("priority") if descending else F.col("priority")
+    active = rules.where("is_active").select(*on, F.struct(rank.alias("rank"), "pattern", F.col("data_field").alias("field")).alias("_rule"))
+    lists = active.groupBy(*on).agg(F.sort_array(F.collect_list("_rule")).alias("_rules"))
+    joined = join_one(pages, lists, on)
+    match = lambda rule: F.trim(F.call_function("regexp_extract", col(html), rule["pattern"], F.lit(1)))
+    first = lambda field: F.aggregate(
+        F.filter(F.coalesce("_rules", F.array().cast("array<struct<rank:int,pattern:string,field:string>>")), lambda rule: rule["field"] == field),
+        F.lit(""), lambda found, rule: F.when(found != "", found).otherwise(match(rule)),
+    )
+    value = lambda name: (post or {}).get(name, lambda c: c)(blank_to_null(first(name)))
+    return joined.select(*keep, *[value(name).alias(name) for name in sorted(fields)])
+
+
 def containers(pages: DataFrame, pattern: str, keep: list[str], html: str = "html") -> DataFrame:
     """One row per match of a container pattern, with its position on the page (from 1)."""
     found = F.posexplode(F.regexp_extract_all(col(html), F.lit(pattern), 0)).alias("_pos", "container")
@@ -131,7 +155,12 @@ ROBOT_TEXTS = ["robot or human?", "enter the characters you see below"]
 SORRY_TEXTS = ["sorry", "robot check"]
 THROTTLE_TEXTS = ["request was throttled", "please wait a moment and refresh"]
 CHALLENGE_TEXTS = ["verifying you are human", "cf-challenge", "just a moment", "checking your browser", "ddos protection"]
-NORMAL_MARKS = ['id="productTitle"', 'id="feature-bullets"', 'id="centerCol"', 'id="dp-container"', 'id="apex_desktop"']
+NORMAL_MARKS = [
+    'id="productTitle"', "id='productTitle'", 'id="feature-bullets"', "id='feature-bullets'", 'id="centerCol"', "id='centerCol'",
+    'id="dp-container"', "id='dp-container'", 'id="apex_desktop"', "id='apex_desktop'",
+]
+# Countries whose pages are tested for the shop's name in the URL before anything else; others after the block texts.
+HOST_FIRST = ["it"]
 
 
 def _any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
@@ -147,26 +176,31 @@ TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
 def with_status(
-    pages: DataFrame, html: str = "html", normal_marks: list[str] | None = None, cc: str = "es"
+    pages: DataFrame, html: str = "html", normal_marks: list[str] | None = None, cc: str = "es", url: str | None = None, host: str = "amazon",
 ) -> DataFrame:
     """Add ``status``: ok / throttled / challenge / robot / blocked / error.
 
     A page that shows a normal product element is ok whatever its text says. Body texts of the
     blocked class do not count where a link to continue is offered. The lower-case page and its
-    title are columns of their own, computed once per page.
+    title are columns of their own, computed once per page. With ``url``, a page whose URL does not name the ``host`` is blocked:
+    it was led elsewhere. A NULL URL names no host.
     """
     raw, body, title = col(html), F.col("_body"), F.col("_title")
     # 'sorry' is common in scripts and reviews, so the rule reads the whole page without them.
-    sorry = _any(title, SORRY_TEXTS) | _any(F.regexp_replace(body, ASIDE, ""), SORRY_TEXTS)
+    # Most pages have none of the texts anywhere, and are not searched for those parts.
+    aside = F.when(_any(body, SORRY_TEXTS), _any(F.regexp_replace(body, ASIDE, ""), SORRY_TEXTS)).otherwise(F.lit(False))
+    sorry = _any(title, SORRY_TEXTS) | aside
+    led_away = ~F.coalesce(F.lower(F.col(url)).contains(host), F.lit(False)) if url else F.lit(False)
     texts = BLOCKED[cc]
     needed = body.contains(texts.needs) if texts.needs else F.lit(True)
     blocked = _any(title, texts.title) | (needed & ~_any(body, texts.links) & _any(body, texts.body))
     status = (
-        F.when(_any(raw, normal_marks or NORMAL_MARKS), F.lit("ok"))
+        F.when(led_away & F.lit(cc in HOST_FIRST), F.lit("blocked"))
+        .when(_any(raw, normal_marks or NORMAL_MARKS), F.lit("ok"))
         .when(_any(body, THROTTLE_TEXTS), F.lit("throttled"))
         .when(_any(body, CHALLENGE_TEXTS) | _any(title, CHALLENGE_TEXTS), F.lit("challenge"))
         .when(_any(body, ROBOT_TEXTS) | sorry, F.lit("robot"))
-        .when(blocked, F.lit("blocked"))
+        .when(blocked | led_away, F.lit("blocked"))
         .when(_any(title, ERROR_TEXTS) | _any(body, ERROR_TEXTS), F.lit("error"))
         .otherwise(F.lit("ok"))
     )
@@ -202,8 +236,12 @@ def specs(pages: DataFrame, labels: dict[str, str], keep: list[str], label: str,
     return pages.select(*keep, *out)
 
 
-def events(pages: DataFrame, container: str, name: str, date: str, keep: list[str], html: str = "html") -> DataFrame:
-    """Event containers with name, start and end; fewer than two dates -> dropped."""
+def events(
+    pages: DataFrame, container: str, name: str, date: str, keep: list[str], html: str = "html", channel: Column | None = None
+) -> DataFrame:
+    """Event containers with name, start and end; fewer than two dates -> dropped. ``channel`` names the retailer of a page, in the channel's spelling."""
+    if channel is not None:
+        pages, keep = pages.withColumn("channel", channel), [*keep, "channel"]
     rows = containers(pages, container, keep, html)
     dates = F.regexp_extract_all(F.col("container"), F.lit(date), 1)
     return (
@@ -245,6 +283,20 @@ def comparison(pages: DataFrame, product: str, pros: str, cons: str, keep: list[
     )
 
 
+def page_contexts(pages: DataFrame, symbol: str, keep: list[str], html: str = "html", around: int = 50) -> DataFrame:
+    """Every occurrence of a symbol with its number on the page (from 1), its place, and the text ``around`` it on either side."""
+    text, width = col(html), len(symbol)
+    many = F.floor((F.length(text) - F.length(F.replace(text, F.lit(symbol), F.lit("")))) / width).cast("int")
+    step = lambda places, _: F.concat(
+        places, F.array(F.call_function("locate", F.lit(symbol), text, F.coalesce(F.try_element_at(places, F.lit(-1)) + width, F.lit(1))))
+    )
+    places = F.when(many > 0, F.aggregate(F.sequence(F.lit(1), many), F.array().cast("array<int>"), step))
+    rows = pages.select(*keep, text.alias("_html"), F.posexplode(places).alias("_pos", "place"))
+    start = F.greatest(F.lit(1), F.col("place") - around)
+    context = F.substr("_html", start, F.col("place") + width + around - start)
+    return rows.select(*keep, (F.col("_pos") + 1).alias("occurrence"), "place", context.alias("context"))
+
+
 def page_audit(pages: DataFrame, symbol: str, patterns: dict[str, str], keep: list[str], html: str = "html", around: int = 50) -> DataFrame:
     """Text around the first occurrence of a symbol, and how often each container pattern occurs."""
     at = F.instr(col(html), symbol)

@@ -9,6 +9,7 @@ from shelfwise.functions.money import savings_ok
 from shelfwise.functions.text import number, pick
 
 NULL_VALUE, FORMAT_ISSUE, OUTLIER = "NULL_VALUE", "FORMAT_ISSUE", "OUTLIER"
+KINDS = [NULL_VALUE, FORMAT_ISSUE, OUTLIER]
 
 
 def _blank(c: str) -> Column:
@@ -120,8 +121,10 @@ def issues(df: DataFrame, source: str, keys: list[str], checks: dict | None = No
     )
 
 
-def issue_summary(log: DataFrame) -> DataFrame:
-    """Issues per type."""
+def issue_summary(log: DataFrame, total: bool = False) -> DataFrame:
+    """Issues per type, and with ``total`` a row of type NULL with all of them."""
+    if total:
+        return log.rollup("issue_type").agg(F.count(F.lit(1)).alias("issues"))
     return log.groupBy("issue_type").agg(F.count(F.lit(1)).alias("issues"))
 
 

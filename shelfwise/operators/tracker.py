@@ -21,20 +21,22 @@ def active_pages(pages: DataFrame, mall: str) -> DataFrame:
     return pages.where((F.col("mall_name") == mall) & F.col("is_active")).select("page_number", "url").orderBy("page_number")
 
 
-def failed_counts(log: DataFrame, now, hours: int = 24) -> DataFrame:
-    """Failures (no price) per URL in the ``hours`` before ``now``."""
+def failed_counts(log: DataFrame, now, hours: int = 24, by: tuple[str, ...] = ("url",)) -> DataFrame:
+    """Failures (no price) per URL, or per other columns, in the ``hours`` before ``now``."""
     since = F.lit(now).cast("timestamp") - F.make_interval(hours=F.lit(hours))
     recent = log.where(F.col("retailprice").isNull() & (F.col("crawl_datetime") >= since))
-    return recent.groupBy("url").agg(F.count(F.lit(1)).alias("fail_count"))
+    return recent.groupBy(*by).agg(F.count(F.lit(1)).alias("fail_count"))
 
 
-def retry_targets(targets: DataFrame, log: DataFrame, now, hours: int = 24, max_fail: int = 3) -> DataFrame:
+def retry_targets(
+    targets: DataFrame, log: DataFrame, now, hours: int = 24, max_fail: int = 3, by: tuple[str, ...] = ("url",)
+) -> DataFrame:
     """Targets with fewer than ``max_fail`` recent failures, each once, with the failure count.
 
-    Order by ``fail_count`` descending for a work queue; the frame itself is not sorted.
+    ``by`` names what failures are counted for; with a country in it, a URL's failures in other countries do not count. Order by ``fail_count`` descending for a work queue; the frame itself is not sorted.
     """
-    counts = failed_counts(log, now, hours)
-    out = join_one(targets, counts, ["url"]).withColumn("fail_count", F.coalesce("fail_count", F.lit(0)))
+    counts = failed_counts(log, now, hours, by)
+    out = join_one(targets, counts, [*by]).withColumn("fail_count", F.coalesce("fail_count", F.lit(0)))
     return out.where(F.col("fail_count") < max_fail).distinct()
 
 

@@ -58,6 +58,23 @@ def nearest_batch(spark, folder):
     return nearest.nearest_batch(probes, batches, ["account_name", "source"], "crawled_at", "batch_at", "batch_id")
 
 
+@query(
+    "nearest_batch_seoul",
+    check_sql(
+        f"select p.a as account_name, t.s as source, p.cs as crawled_at, arg_min(t.b, abs(p.cs - (t.bs - 32400)) * {BIG} - t.bs) as batch_id from "
+        "(select distinct a, cs from m) p join (select distinct a, s, b, bs from fd) t on p.a = t.a and abs(p.cs - (t.bs - 32400)) <= 172800 group by all",
+        "unified", "listing", extra=f"{MISSING}, {FEED}",
+    ),
+)
+def nearest_batch_seoul(spark, folder):
+    """Batch ids written in local time of a host nine hours ahead, crawl times in UTC."""
+    missing = backfill.null_price_rows(_clean(view(spark, folder, "unified")))
+    feeds = F.explode(F.array(*[F.lit(f) for f in ("main", "bsr", "promotion", "trend")])).alias("source")
+    probes = missing.select("account_name", crawl_seconds("crawl_strdatetime").alias("crawled_at"), feeds)
+    batches = view(spark, folder, "listing").withColumn("batch_at", batch_seconds("batch_id", "Asia/Seoul"))
+    return nearest.nearest_batch(probes, batches, ["account_name", "source"], "crawled_at", "batch_at", "batch_id")
+
+
 @query(
     "nearest_crawl_batch",
     check_sql(
@@ -219,7 +236,8 @@ def backfill_period(spark, folder):
     "backfill_stats",
     check_sql(
         "select b.a as account_name, count(*) filter (b.f is null or b.o is null) as missing_before, count(*) filter (backfilled) as updated, "
-        "count(*) filter (final_sku_price is null or original_sku_price is null) as missing_after from u b join done using (id) group by b.a",
+        "count(*) filter (final_sku_price is null or original_sku_price is null) as missing_after, "
+        "count(*) filter ((b.f is null or b.o is null) and not backfilled) as failed from u b join done using (id) group by b.a",
         "unified", "detail", "listing", extra=WHOLE,
     ),
 )

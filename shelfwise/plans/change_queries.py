@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfwise.functions.clock import strdatetime
 from shelfwise.operators import dml, listing, quality
 from shelfwise.plans.registry import query
 from shelfwise.plans.views import check_sql, view
@@ -158,7 +159,8 @@ def _aligned(spark, folder):
     ),
 )
 def align_unified(spark, folder):
-    return _aligned(spark, folder)
+    # Crawl times are timestamps there; here they are written as the shops' tables have them.
+    return _aligned(spark, folder).withColumn("crawl_strdatetime", strdatetime("crawl_strdatetime"))
 
 
 @query(

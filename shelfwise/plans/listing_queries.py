@@ -152,11 +152,11 @@ def feed_order(spark, folder):
 
 @query(
     "order_by_rank",
-    check_sql("select listing_id, source, rank from latest order by source, rank, listing_id", "listing", extra=LATEST),
+    check_sql("select listing_id, source, rank from latest order by source, rank nulls last, listing_id", "listing", extra=LATEST),
 )
 def order_by_rank(spark, folder):
     rows = listing.latest_batch(view(spark, folder, "listing"))
-    return rows.select("listing_id", "source", "rank").orderBy("source", "rank", "listing_id")
+    return rows.select("listing_id", "source", "rank").orderBy("source", F.col("rank").asc_nulls_last(), "listing_id")
 
 
 @query(
@@ -309,6 +309,24 @@ def continue_rank_all(spark, folder):
     return _continue(spark, folder, True)
 
 
+_NULL_GROUPS = "select *, case when page_number % 4 = 1 then null else page_number end as part from v_listing"
+
+
+@query(
+    "continue_rank_null_groups",
+    check_sql(
+        "select listing_id, part, cast(row_number() over (partition by part order by rank nulls last, listing_id) + coalesce((select max(rank) from g m where m.source = 'main' and m.part is not distinct from s.part), 0) "
+        "as bigint) as continued_rank from g s where source = 'bsr'",
+        "listing", extra=f"g as ({_NULL_GROUPS})",
+    ),
+)
+def continue_rank_null_groups(spark, folder):
+    """The group of NULL goes on after its own largest rank."""
+    rows = view(spark, folder, "listing").withColumn("part", F.expr("case when page_number % 4 = 1 then null else page_number end"))
+    ranked = listing.continue_rank(rows.where("source = 'main'"), rows.where("source = 'bsr'"), ["part"], ["rank", "listing_id"])
+    return ranked.select("listing_id", "part", "continued_rank")
+
+
 def _review_sql(prefix: str, separator: str) -> str:
     return check_sql(
         f"select product, count(*) as reviews, string_agg({prefix} trim(text, ' '), '{separator}' order by rn) as review_text from (select *, row_number() over "
@@ -417,6 +435,20 @@ def duplicate_report(spark, folder):
     return listing.duplicate_report(view(spark, folder, "raw_data"), "retailer_sku_name", "page_number", 20)
 
 
+@query(
+    "duplicate_pages",
+    check_sql(
+        "select r.retailer_sku_name, page_count, pages from (select retailer_sku_name, count(*) as page_count, string_agg(cast(page_number as varchar), ', ' order by page_number) as pages from v_raw_data "
+        "group by all having count(*) > 1 order by page_count desc, retailer_sku_name nulls first limit 20) r",
+        "raw_data",
+    ),
+)
+def duplicate_pages(spark, folder):
+    """The report with each name's pages in order as text."""
+    found = listing.duplicate_report(view(spark, folder, "raw_data"), "retailer_sku_name", "page_number", 20)
+    return listing.pack_pages(found, "retailer_sku_name", "page_number").select("retailer_sku_name", "page_count", "pages")
+
+
 @query(
     "coverage",
     check_sql(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.text import clean_markup
 from shelfwise.operators import markup as M
 from shelfwise.operators import pages as P
+from shelfwise.operators.dml import norm_channel
 from shelfwise.plans.registry import query
 
 RULES = [
@@ -39,6 +40,29 @@ def extract_fields(spark, folder):
     return P.extract(_pages(spark, folder), RULES, ["page_id"])
 
 
+def _rule_table(spark):
+    """The rules as a stored table would hold them, with those of another shop."""
+    rows = [("shop", r.field, r.pattern, r.priority, r.active) for r in RULES] + [("other", "title", "<nav>(.)", 0, True)]
+    return spark.createDataFrame(rows, "mall_name string, data_field string, pattern string, priority int, is_active boolean")
+
+
+@query(
+    "extract_by_rule_table",
+    _source() + f"select page_id, {', '.join(f'case when page_id % 7 <> 3 then {_cascade(f)} end as {f}' for f in ('title', 'language', 'closing'))} from s",
+)
+def extract_by_rule_table(spark, folder):
+    """Rules joined as data; one page in seven is of a shop without rules."""
+    pages = _pages(spark, folder).withColumn("mall_name", F.expr("case when page_id % 7 = 3 then 'none' else 'shop' end"))
+    return P.extract_by_rules(pages, _rule_table(spark), ["title", "language", "closing"], ["page_id"], ["mall_name"])
+
+
+@query("extract_loaded_rules", _source() + f"select page_id, {', '.join(f'{_cascade(f)} as {f}' for f in ('title', 'language', 'closing'))} from s")
+def extract_loaded_rules(spark, folder):
+    """Rules read from their table as settings of the plan."""
+    rules = P.load_rules(_rule_table(spark), F.col("mall_name") == "shop")
+    return P.extract(_pages(spark, folder), rules, ["page_id"])
+
+
 ITEM = r"(?s)<li><a href=.*?</li>"
 
 
@@ -86,20 +110,21 @@ NOTICE = (
 
 
 def _has(c: str, words) -> str:
-    return "(" + " or ".join(f"contains({c}, '{w}')" for w in words) + ")"
+    return "(" + " or ".join("contains({}, '{}')".format(c, w.replace("'", "''")) for w in words) + ")"
 
 
-def _status_sql(cc: str) -> str:
+def _status_sql(cc: str, away: str = "false") -> str:
+    first, later = (away, "false") if cc in P.HOST_FIRST else ("false", away)
     texts = P.BLOCKED[cc]
     needed = f"contains(b, '{texts.needs}') and " if texts.needs else ""
     return (
         _source(NOTICE)
-        + "select page_id, case when " + _has("html", P.NORMAL_MARKS) + " then 'ok' when " + _has("b", P.THROTTLE_TEXTS) + " then 'throttled' when "
+        + f"select page_id, case when {first} then 'blocked' when " + _has("html", P.NORMAL_MARKS) + " then 'ok' when " + _has("b", P.THROTTLE_TEXTS) + " then 'throttled' when "
         + _has("b", P.CHALLENGE_TEXTS) + " or " + _has("t", P.CHALLENGE_TEXTS) + " then 'challenge' when " + _has("b", P.ROBOT_TEXTS) + " or "
         + _has("t", P.SORRY_TEXTS) + " or " + _has("regexp_replace(b, '(?s)<script.*?</script>|<div[^>]*review[^>]*>.*?</div>|<section[^>]*review[^>]*>.*?</section>|<li[^>]*review[^>]*>.*?</li>|"
                "<span[^>]*review[^>]*>.*?</span>|<p[^>]*review[^>]*>.*?</p>', '', 'g')", P.SORRY_TEXTS) + " then 'robot' when " + _has("t", texts.title)
-        + f" or ({needed}not " + _has("b", texts.links) + " and " + _has("b", texts.body) + ") then 'blocked' when " + _has("t", P.ERROR_TEXTS) + " or "
-        + _has("b", P.ERROR_TEXTS) + " then 'error' else 'ok' end as status from (select page_id, html, lower(html) as b, "
+        + f" or ({needed}not " + _has("b", texts.links) + " and " + _has("b", texts.body) + f") or {later} then 'blocked' when " + _has("t", P.ERROR_TEXTS) + " or "
+        + _has("b", P.ERROR_TEXTS) + " then 'error' else 'ok' end as status from (select page_id, url, html, lower(html) as b, "
         + "lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as t from s)"
     )
 
@@ -117,6 +142,26 @@ def page_status(spark, folder):
     return P.with_status(_pages(spark, folder, NOTICE)).select("page_id", "status")
 
 
+_AWAY = "not coalesce(contains(lower(case page_id % 4 when 0 then url when 1 then null else 'https://www.Amazon.es/dp/' || page_id end), 'amazon'), false)"
+
+
+def _visited(spark, folder, cc):
+    pages = _pages(spark, folder, NOTICE).withColumn("url", F.expr("case page_id % 4 when 0 then url when 1 then null else 'https://www.Amazon.es/dp/' || page_id end"))
+    return P.with_status(pages, cc=cc, url="url").select("page_id", "status")
+
+
+@query("page_status_host", _status_sql("es", _AWAY))
+def page_status_host(spark, folder):
+    """Pages of another host are blocked, unless they show a product."""
+    return _visited(spark, folder, "es")
+
+
+@query("page_status_host_it", _status_sql("it", _AWAY))
+def page_status_host_it(spark, folder):
+    """Pages of another host are blocked, whatever they show."""
+    return _visited(spark, folder, "it")
+
+
 @query("status_counts", f"select status, count(*) as pages from ({STATUS}) group by status")
 def status_counts(spark, folder):
     return P.status_counts(_pages(spark, folder, NOTICE))
@@ -167,6 +212,20 @@ def sale_events(spark, folder):
     return P.events(rows, r'(?s)<li class="ad-scan">.*?</li>', r'(?s)<span class="name">(.*?)</span>', r'<time datetime="([^"]*)"', ["page_id"])
 
 
+@query(
+    "sale_events_channel",
+    "select page_id, case page_id % 4 when 0 then 'Bestbuy' when 1 then 'Walmart' when 2 then 'Amazon' end as channel, 1 as position, 'Sale ' || page_id as event_name, '2024-11-25' as event_start_date, "
+    "'2024-12-0' || (page_id % 9 + 1) as event_end_date from pages where page_id % 3 <> 0",
+)
+def sale_events_channel(spark, folder):
+    """Events with the retailer's channel, 'Best Buy' in the channel's own spelling."""
+    rows = _pages(spark, folder, EVENT_ROWS).withColumn("retailer", F.expr("case page_id % 4 when 0 then 'Best Buy' when 1 then 'Walmart' when 2 then 'Amazon' end"))
+    found = P.events(
+        rows, r'(?s)<li class="ad-scan">.*?</li>', r'(?s)<span class="name">(.*?)</span>', r'<time datetime="([^"]*)"', ["page_id"], channel=norm_channel("retailer"),
+    )
+    return found.select("page_id", "channel", "position", "event_name", "event_start_date", "event_end_date")
+
+
 CONS = "'<i>slow ' || cast(page_id as string) || '</i><i>—</i><i></i><i>dear</i><i>more</i>'"
 
 
@@ -191,6 +250,27 @@ def page_audit(spark, folder):
     return P.page_audit(_pages(spark, folder), "&middot;", {"items": "<li>", "paragraphs": "<p>"}, ["page_id"])
 
 
+@query(
+    "page_contexts",
+    _source() + "select page_id, cast(occurrence as int) as occurrence, cast(place as int) as place, substr(html, greatest(1, place - 50), place + 4 + 50 - greatest(1, place - 50)) as context from "
+    "(select page_id, html, cast(unnest(hits) as bigint) as place, unnest(range(1, len(hits) + 1)) as occurrence from (select page_id, html, [list_sum([len(t) for t in parts[1:i]]) + 4 * (i - 1) + 1 for i in range(1, len(parts))] as hits from "
+    "(select page_id, html, string_split(html, '</p>') as parts from s)))",
+)
+def page_contexts(spark, folder):
+    """Every end of a paragraph, the text around it included."""
+    return P.page_contexts(_pages(spark, folder), "</p>", ["page_id"])
+
+
+@query(
+    "page_sections",
+    _source() + "select page_id, keyword, count(*) as sections from (select page_id, unnest(regexp_extract_all(html, '(?s)<nav>.*?</nav>')) as section from s), (select unnest(['the', 'En', 'is']) as keyword) "
+    "where contains(regexp_replace(section, '<[^>]*>', '', 'g'), keyword) group by all",
+)
+def page_sections(spark, folder):
+    """Sections found by a word in their text."""
+    return M.section_counts(_pages(spark, folder), "nav", ["the", "En", "is"])
+
+
 @query(
     "markup_fields",
     _source() + r"select page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<br\s*/?>', ' ', 'g'), '<[^>]*>', '', 'g'), "

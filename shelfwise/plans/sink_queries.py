@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.functions.clock import batch_id
+from shelfwise.functions.clock import batch_id, strdatetime
 from shelfwise.operators.listing import union_feeds
 from shelfwise.plans.registry import query
 from shelfwise.plans.views import check_sql, view
-from shelfwise.schema import align
+from shelfwise.schema import ACCOUNTS, align
 from shelfwise.session import shared_dir
 from shelfwise.sources import sinks
 from shelfwise.sources.readers import read_page_urls, read_pages
@@ -94,18 +94,20 @@ def reload(spark, folder):
 @query(
     "dual_write",
     check_sql(
-        "select id, account_name, product_url, final_sku_price, cast(null as varchar) as page_type from v_detail where account_name = 'Amazon'", "detail"
+        "select account_name, product_url, final_sku_price, crawl_strdatetime, count(*) as detail_rows, count(*) as unified_rows from v_detail group by all", "detail"
     ),
 )
 def dual_write(spark, folder):
-    detail = view(spark, folder, "detail").where("account_name = 'Amazon'")
+    """Rows of all shops in both tables, counted by what the tables share."""
+    detail = view(spark, folder, "detail")
     detail_path, unified_path = shared_dir(spark, "detail"), shared_dir(spark, "unified")
-    sinks.write_both(detail, align(detail, "Amazon"), detail_path, unified_path)
+    for account in ACCOUNTS:
+        own = detail.where(F.col("account_name") == account)
+        sinks.write_both(own, align(own, account), detail_path, unified_path)
     keys = ["account_name", "product_url", "final_sku_price", "crawl_strdatetime"]
-    unified = spark.read.parquet(unified_path).select(*keys, "page_type").distinct()
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
-    both = spark.read.parquet(detail_path).alias("d").join(unified.alias("u"), same)
-    return both.select("d.id", "d.account_name", "d.product_url", "d.final_sku_price", "u.page_type")
+    unified = spark.read.parquet(unified_path).withColumn("crawl_strdatetime", strdatetime("crawl_strdatetime"))
+    both = spark.read.parquet(detail_path).select(*keys, F.lit(1).alias("d")).unionByName(unified.select(*keys, F.lit(0).alias("d")))
+    return both.groupBy(*keys).agg(F.count_if(F.col("d") == 1).alias("detail_rows"), F.count_if(F.col("d") == 0).alias("unified_rows"))
 
 
 @query("page_list_file", "select cast(page_id as int) as page_number, url from pages")

@@ -509,6 +509,29 @@ scalar(
     lambda: {"there": locale.in_stock("t", "it")},
     {"there": "not coalesce(regexp_matches(lower(t), 'non disponibile|esaurito|unavailable|out of stock'), false)"},
 )
+_STOCK_INPUT = (
+    "case p_size % 8 when 0 then 'NICHT verfügbar' when 1 then 'Rupture de stock ' || p_name when 2 then null when 3 then 'out of stock' when 4 then 'Agotado, no disponible' when 5 then 'Currently not available' "
+    "when 6 then 'auf Lager' else 'nur ' || p_name end"
+)
+scalar(
+    "in_stock_by_country", PART, {"t": _STOCK_INPUT},
+    lambda: {cc: locale.in_stock("t", cc) for cc in ("de", "fr", "es", "in")},
+    {
+        "de": "not coalesce(t in ('NICHT verfügbar', 'out of stock'), false)", "fr": "not coalesce(t like 'Rupture de stock%' or t = 'out of stock', false)",
+        "es": "not coalesce(t in ('Agotado, no disponible', 'out of stock'), false)", "in": "not coalesce(t in ('Currently not available', 'out of stock'), false)",
+    },
+)
+_SOLD_INPUT = "case p_size % 4 when 0 then 'Sold by ' || p_brand when 1 then '{}' when 2 then 'x {} ' || p_brand else p_brand end"
+_SHIP_INPUT = "case p_size % 4 when 0 then 'Ships from ' || p_brand when 1 then '{}' when 2 then 'x {} ' || p_brand else p_brand end"
+scalar(
+    "strip_label_by_country", PART,
+    {"it_sold": _SOLD_INPUT.format("Venduto da", "venduto da"), "fr_sold": _SOLD_INPUT.format("Vendu par", "vendu par"), "fr_ships": _SHIP_INPUT.format("Expédié par", "expédié par"),
+     "de_ships": _SHIP_INPUT.format("Versand durch", "versand durch")},
+    lambda: {c: locale.strip_label(c, c[3:], c[:2]) for c in ("it_sold", "fr_sold", "fr_ships", "de_ships")},
+    # German labels count at the start only.
+    {c: f"case when {c} in ('Venduto da', 'Vendu par', 'Expédié par', 'Versand durch') then null when '{c}' = 'de_ships' and {c} like 'x %' then {c} else regexp_replace({c}, '^(Sold by|Ships from|x [a-zé]+ [a-z]+) ', '') end"
+     for c in ("it_sold", "fr_sold", "fr_ships", "de_ships")},
+)
 scalar(
     "page_in_stock", ("pages", "page_id"),
     {"t": "html || case when page_id % 4 = 0 then '<b>Sold Out</b>' when page_id % 4 = 1 then 'sold out' else '' end"},

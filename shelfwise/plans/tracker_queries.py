@@ -65,6 +65,22 @@ def retry_targets(spark, folder):
     return tracker.retry_targets(targets, _log(spark, folder), NOW, max_fail=2)
 
 
+@query(
+    "retry_targets_by_country",
+    check_sql(
+        "select distinct t.url, t.country, t.brand, coalesce(f.fail_count, 0) as fail_count from v_targets t left join (select url, case attempt_id % 3 when 0 then 'nl' when 1 then 'it' else 'de' end as country, "
+        f"count(*) as fail_count from v_log where retailprice is null and ts >= timestamp '{NOW}' - interval 240 hour group by all) f on f.url = t.url and f.country = t.country "
+        "where is_active and coalesce(f.fail_count, 0) < 2",
+        "targets", "log",
+    ),
+)
+def retry_targets_by_country(spark, folder):
+    """Failures count for their own country's target only."""
+    targets = view(spark, folder, "targets").where("is_active").select("url", "country", "brand")
+    log = _log(spark, folder).withColumn("country", F.expr("case attempt_id % 3 when 0 then 'nl' when 1 then 'it' else 'de' end"))
+    return tracker.retry_targets(targets, log, NOW, hours=240, max_fail=2, by=("url", "country"))
+
+
 OBSERVED = (
     "observed as (select * from (select *, row_number() over (partition by url order by ts desc, attempt_id desc) as rn from v_log) where rn = 1)"
 )

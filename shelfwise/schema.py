@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.clock import crawl_time
+
 # The unified table, in its column order.
 UNIFIED = """
     item string, account_name string, page_type string, count_of_reviews int, retailer_sku_name string,
@@ -19,20 +21,25 @@ UNIFIED = """
     top_mentions string, recommendation_intent string, main_rank int, bsr_rank int, rank_1 string, rank_2 string,
     promotion_rank int, trend_rank int, number_of_ppl_purchased_yesterday int, number_of_ppl_added_to_carts int,
     retailer_sku_name_similar string, estimated_annual_electricity_use string, promotion_type string,
-    calendar_week string, crawl_strdatetime string
+    calendar_week string, crawl_strdatetime timestamp
 """
 UNIFIED_COLUMNS = [tuple(part.split()) for part in UNIFIED.replace("\n", " ").split(",")]
 ACCOUNTS = ["Amazon", "Bestbuy", "Walmart"]
 
 
 def align(df: DataFrame, account: str, rename: dict[str, str] | None = None) -> DataFrame:
-    """Project a shop's table onto the unified schema: rename, reorder, cast, NULL-fill."""
+    """Project a shop's table onto the unified schema: rename, reorder, cast, NULL-fill.
+
+    Crawl times, digits in the shops' tables, become timestamps.
+    """
     df = df.withColumnsRenamed(rename or {})
     have = set(df.columns)
     out = []
     for name, kind in UNIFIED_COLUMNS:
         if name == "account_name":
             out.append(F.lit(account).alias(name))
+        elif name == "crawl_strdatetime" and name in have and dict(df.dtypes)[name] == "string":
+            out.append(F.coalesce(crawl_time(name), F.col(name).try_cast(kind)).alias(name))
         elif name in have:
             out.append(F.col(name).try_cast(kind).alias(name))
         else:
@@ -71,6 +78,29 @@ def evolve(df: DataFrame, change: Evolution) -> DataFrame:
     return out
 
 
+def read_evolved(spark: SparkSession, folders: list[str], change: Evolution, key: str = "generation") -> DataFrame:
+    """Files written under several schemas, as one table of the newest, without rewriting any.
+
+    Each folder is one generation of the table. The generations are read together by name, columns that only some have are NULL in the
+    others, and a renamed column takes its old name's value where the new one is not there. Columns whose type changed are cast as
+    ``change.cast`` says before they meet; columns named in ``change.drop`` go. ``key`` numbers the generations from 1, in the order of ``folders``; a
+    filter on it or on any column reaches the files.
+    """
+    parts = []
+    for number, folder in enumerate(folders, 1):
+        rows = spark.read.option("mergeSchema", True).parquet(folder)
+        for old, new in change.rename.items():
+            if old in rows.columns and new in rows.columns:
+                rows = rows.withColumn(new, F.coalesce(F.col(new), F.col(old))).drop(old)
+            elif old in rows.columns:
+                rows = rows.withColumnRenamed(old, new)
+        known = {c: t for c, t in change.cast.items() if c in rows.columns}
+        digits = [c for c, t in known.items() if t == "timestamp" and dict(rows.dtypes)[c] == "string"]
+        rows = rows.withColumns({c: F.coalesce(crawl_time(c), F.col(c).try_cast(t)) if c in digits else F.col(c).try_cast(t) for c, t in known.items()})
+        parts.append(rows.drop(*change.drop).withColumn(key, F.lit(number)))
+    return evolve(unify(*parts), Evolution(add=change.add, order=(*change.order,)))
+
+
 def describe_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Table, column, type and nullability; reads schemas only, no data."""
     rows = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,43 @@ def failure_stream(
     )
 
 
+def failure_panes(
+    stream: DataFrame, by: tuple[str, ...] = ("url",), at: str = "crawl_datetime", value: str = "retailprice", delay: str = "1 hour", pane: str = "1 hour",
+) -> DataFrame:
+    """Failures per group and pane of time, for sums over the last panes when they are read (``failures_since``).
+
+    A row updates one state row, that of its pane, where sliding windows update one for each window around it (24 for a day
+    that slides by the hour). Write it with ``log_updates``, which also gives the pane that is still open.
+    """
+    failed = stream.where(F.col(value).isNull()).withWatermark(at, delay)
+    counts = failed.groupBy(F.window(at, pane), *by).agg(F.count(F.lit(1)).alias("fail_count"))
+    return counts.select(F.col("window.start").alias("pane_start"), F.col("window.end").alias("pane_end"), *by, "fail_count")
+
+
+def failures_since(updates: DataFrame, now: Column, hours: int = 24, by: tuple[str, ...] = ("url",)) -> DataFrame:
+    """Failures per group in the ``hours`` before ``now``, from logged panes; panes that the period cuts count whole where they end in it.
+
+    Exact where ``now`` is the end of a pane. A pane's newest count is its last one.
+    """
+    panes = newest_counts(updates, [*by, "pane_start", "pane_end"], "fail_count")
+    since = now - F.make_interval(hours=F.lit(hours))
+    inside = panes.where((F.col("pane_end") > since) & (F.col("pane_start") < now))
+    return inside.groupBy(*by).agg(F.sum("fail_count").alias("fail_count"))
+
+
+def new_only_stream(stream: DataFrame, stored: DataFrame, keys: list[str], at: str, row: list[str], delay: str = "2 days") -> DataFrame:
+    """Rows of a stream whose key is not stored yet, each key once.
+
+    Keys that repeat within the stream are skipped by their state while they are within ``delay`` of their first appearance (one state
+    row a key), keys of the stored table by a stream-static anti join, which drops them before any state is kept. A key with a
+    NULL in it equals no other: such rows are all new, told apart by ``row`` columns. The stored table is read as it is when the query
+    starts; a query that runs for longer than ``delay`` has to be started again to see what others stored meanwhile.
+    """
+    fresh = stream.join(stored.select(*keys), keys, "left_anti").select(stream.columns)
+    own = F.when(F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x), F.to_json(F.struct(*row)))
+    return dedupe_stream(fresh.withColumn("_row", own), [*keys, "_row"], at, delay).drop("_row")
+
+
 def log_updates(stream: DataFrame, path: str, checkpoint: str, every: str | None = None):
     """Append each micro-batch's changed counts with the batch's number: windows that are still open come out at once."""
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def col(c: Column | str) -> Column:
@@ -272,6 +271,3 @@ def promo_label(h2: Column | str, p: Column | str, text: Column | str) -> Column
         col(h2).isNotNull(), F.trim(col(h2))
     ).otherwise(two_lines)
     return blank_to_null(squeeze(label))
-
-
-STRING_LIST = T.ArrayType(T.StringType())

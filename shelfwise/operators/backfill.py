@@ -154,14 +154,14 @@ def _accounts(rules: list[AccountRule], keep) -> Column:
 
 def find_prices(
     missing: DataFrame, detail: DataFrame, listing: DataFrame, prefer: list[str], rules: list[AccountRule] = RULES,
-    few: bool = False,
+    few: bool = False, zone: str | None = None,
 ) -> DataFrame:
     """Prices found for rows that lack one: (id, found_final_sku_price, found_original_sku_price).
 
     All accounts and feeds go through the same joins: a row is repeated once per feed of its
     account, looked up there, and folded back by id. The number of shuffles therefore does not grow
     with accounts or feeds. ``few`` says that the rows cover a short period: listing rows are then
-    cut to the batches and times in question before they are sorted and shuffled.
+    cut to the batches and times in question before they are sorted and shuffled. ``zone`` is the zone that dated batch ids are written in.
     """
     by_detail = _accounts(rules, lambda r: r.probe == "detail")
     by_name = _accounts(rules, lambda r: r.by_name)
@@ -171,51 +171,59 @@ def find_prices(
     sources = sorted({source for rule in rules for source in rule.chain})
     hours = max(rule.hours for rule in rules)
 
+    # A row's detail batch is looked up once, before the row is repeated per feed, by the time the batch id stands for.
+    batches = detail.where(by_detail & F.col("crawl_strdatetime").isNotNull())
+    batches = batches.groupBy("account_name", "crawl_strdatetime").agg(
+        F.max(batch_seconds("batch_id", zone)).alias("_detail_at"), F.lit(True).alias("_has_detail")
+    )
     base = missing.where(_accounts(rules, lambda r: True)).select(
         "id", "account_name", "product_url", "retailer_sku_name", "crawl_strdatetime",
         crawl_seconds("crawl_strdatetime").alias("_crawled"), band_key.alias("_band_key"),
-        F.explode(_steps(rules)).alias("_step"),
-    ).select("*", "_step.*").drop("_step")
-
-    batches = detail.where(by_detail & F.col("crawl_strdatetime").isNotNull())
-    batches = batches.groupBy("account_name", "crawl_strdatetime").agg(
-        F.max("batch_id").alias("_detail_batch"), F.lit(True).alias("_has_detail")
     )
-    rows = join_one(base, batches, ["account_name", "crawl_strdatetime"])
-    rows = rows.where(~_accounts(rules, lambda r: r.need_detail) | F.col("_has_detail"))
-    rows = rows.withColumn("_probe", F.when(by_detail, batch_seconds("_detail_batch")).otherwise(F.col("_crawled")))
+    base = join_one(base, batches, ["account_name", "crawl_strdatetime"])
+    base = base.where(~_accounts(rules, lambda r: r.need_detail) | F.col("_has_detail"))
+    base = base.withColumn("_probe", F.when(by_detail, F.col("_detail_at")).otherwise(F.col("_crawled")))
+    base = cut_lineage(base.drop("crawl_strdatetime", "_detail_at", "_has_detail"), "backfill-rows")
+    rows = base.select("*", F.explode(_steps(rules)).alias("_step")).select("*", "_step.*").drop("_step")
 
     feeds = listing.where(_accounts(rules, lambda r: True) & F.col("source").isin(sources)).select(
         "account_name", "source", "batch_id", "product_url", "retailer_sku_name", *PRICES,
         *[c for c in prefer if c not in PRICES],
         crawl_seconds("crawl_strdatetime").alias("_seen"), band_key.alias("_band_key"),
     )
-    feeds = feeds.withColumn("_at", F.when(by_detail, batch_seconds("batch_id")).otherwise(F.col("_seen")))
+    feeds = cut_lineage(feeds.withColumn("_at", F.when(by_detail, batch_seconds("batch_id", zone)).otherwise(F.col("_seen"))), "backfill-feeds")
 
     on = ["account_name", "source"]
-    near = nearest_batch(rows, feeds, on, "_probe", "_at", "batch_id", hours)
-    rows = rows.join(near, [*on, "_probe"], "left")
+    near = nearest_batch(rows.where("_probe is not null"), feeds, on, "_probe", "_at", "batch_id", hours)
+    # Probes and batches are few next to rows; what is found for them is written once for its three uses.
+    near = cut_lineage(near, "backfill-near")
     in_batches = feeds
     if few:
         in_batches = feeds.join(near.select(*on, "batch_id").distinct(), [*on, "batch_id"], "left_semi")
     lookup = lambda key, kept: one_per_key(kept.where(F.col(key).isNotNull()), [*on, "batch_id", key], PRICES, prefer)
     url_rows = lookup("product_url", in_batches).withColumnRenamed("_row", "_by_url")
     name_rows = lookup("retailer_sku_name", in_batches.where(by_name)).withColumnRenamed("_row", "_by_name")
-    rows = join_one(rows, url_rows, [*on, "batch_id", "product_url"])
-    rows = join_one(rows, name_rows, [*on, "batch_id", "retailer_sku_name"])
+    # Only rows that have a batch to look into go through the joins.
+    chained = join_one(rows.where("_probe is not null"), near, [*on, "_probe"], "inner").select(
+        "id", *on, "batch_id", "product_url", "retailer_sku_name", "_pos", *[f"_chain_{p}" for p in PRICES]
+    )
+    chained = join_one(chained, url_rows, [*on, "batch_id", "product_url"])
+    chained = join_one(chained, name_rows, [*on, "batch_id", "retailer_sku_name"])
     # A URL row counts as found even where its prices are NULL.
-    rows = rows.withColumn("_hit", F.coalesce("_by_url", "_by_name"))
+    chained = chained.select("id", "_pos", F.coalesce("_by_url", "_by_name").alias("_hit"), *[f"_chain_{p}" for p in PRICES]).where("_hit is not null")
 
     in_band = reduce(lambda a, b: a | b, [F.col(f"_band_{p}") for p in PRICES])
-    # The search starts from the rows as they came, so that the lookups above are not run twice.
-    searched = base.where(in_band & F.col("_band_key").isNotNull()).select(*on, "_band_key", "_crawled")
+    searched = rows.where(in_band & F.col("_band_key").isNotNull())
     in_reach = feeds.where(F.col("_band_key").isNotNull())
     if few:
         edge = lambda pick, shift: base.agg((pick("_crawled") + F.lit(shift)).alias("edge")).scalar()
         in_reach = in_reach.where(F.col("_seen").between(edge(F.min, -BAND_REACH), edge(F.max, BAND_REACH)))
-    bands = band_nearest(searched, in_reach, [*on, "_band_key"], "_crawled", "_seen", PRICES, prefer)
-    bands = bands.select(*on, "_band_key", "_crawled", F.struct(*PRICES).alias("_near"))
-    rows = join_one(rows, bands, [*on, "_band_key", "_crawled"])
+    key = [*on, "_band_key"]
+    bands = band_nearest(searched.select(*key, "_crawled"), in_reach, key, "_crawled", "_seen", PRICES, prefer)
+    bands = bands.select(*key, "_crawled", F.struct(*PRICES).alias("_near"))
+    banded = join_one(searched, bands, [*key, "_crawled"], "inner").select("id", "_pos", "_near", *[f"_band_{p}" for p in PRICES])
+    # Both kinds of finds are folded by id together.
+    rows = chained.unionByName(banded, allowMissingColumns=True)
 
     def first(step: str, source: str, price: str) -> Column:
         value = F.col(f"{source}.{price}")
@@ -255,6 +263,7 @@ def backfill_prices(
     prefer: list[str],
     rules: list[AccountRule] = RULES,
     rng: tuple[str, str] | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Fill missing prices of every account; the result has all rows and a ``backfilled`` flag.
 
@@ -265,7 +274,7 @@ def backfill_prices(
     clean = lambda df: df.withColumns({p: blank_to_null(p) for p in PRICES})
     unified, listing = clean(unified), clean(listing)
     missing = null_price_rows(unified, rng=rng)
-    found = find_prices(missing, detail, listing, prefer, rules, few=rng is not None)
+    found = find_prices(missing, detail, listing, prefer, rules, few=rng is not None, zone=zone)
     return apply_backfill(unified, found, [r.account for r in rules if r.savings])
 
 

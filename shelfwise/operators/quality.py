@@ -1,4 +1,7 @@
-"""Validation rules; one pass over the rows, one issue per rule and row."""
+"""Validation rules; one pass over the rows, one issue per rule and row.
+
+Issue types are the source system's; the texts of what was expected are the library's own wording.
+"""
 
 from __future__ import annotations
 

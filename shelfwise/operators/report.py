@@ -7,58 +7,64 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import cut_lineage
+
 PRICE = "decimal(12,2)"
 BUCKET = 1000
 
 
-def exact_median(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Exact median per group, as decimal(14,3), without holding a group's values in one task.
+def amount_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """``by, _v, _b, _n``: how often each amount occurs in each group, and the amount's bucket of 1000; written once for its several uses.
 
-    Values are counted per distinct amount, amounts are summed per bucket of 1000, the bucket of
-    the middle rank is found from the (few) bucket totals, and only that bucket is looked into.
-    decimal(12,2) bounds both steps: 100,000 amounts per bucket, and one bucket per 1000 of range.
+    decimal(12,2) bounds it: 100,000 amounts per bucket, and one bucket per 1000 of range, whatever the number of rows.
     """
     amount = F.col(value).cast(PRICE)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, amount.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_b", F.floor(F.col("_v") / BUCKET).cast("bigint"))
-    group = Window.partitionBy(*by)
-    totals = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_n"))
-    totals = totals.withColumn("_total", F.sum("_n").over(group)).withColumn(
-        "_upto", F.sum("_n").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    )
+    return cut_lineage(counts.withColumn("_b", F.floor(F.col("_v") / BUCKET).cast("bigint")), "amounts")
+
+
+def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Mean, minimum, maximum, exact median and row count per group, from one pass over the rows.
+
+    The rows become counts of amounts (``amount_counts``); those are summed per bucket, and the buckets per group. The bucket of the
+    middle rank is found from the (few) bucket totals, and only that bucket is looked into. NULL is a group.
+    """
+    keys = by or ["_all"]
+    counts = amount_counts(df if by else df.withColumn("_all", F.lit(1)), value, keys)
+    weight = F.col("_v").cast("decimal(20,2)") * F.col("_n").cast("decimal(18,0)")
+    buckets = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"), F.sum(weight).alias("_sum"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    over = {"_total": F.sum("_n"), "_all_sum": F.sum("_sum"), "_least": F.min("_min"), "_most": F.max("_max")}
+    totals = buckets.withColumns({"_upto": upto, **{name: total.over(group) for name, total in over.items()}})
     lower = F.floor((F.col("_total") + 1) / 2)
     upper = F.floor(F.col("_total") / 2) + 1
     holds = lambda rank: (rank > F.col("_upto") - F.col("_n")) & (rank <= F.col("_upto"))
     middle = totals.where(holds(lower) | holds(upper)).select(
-        *by, "_b", (F.col("_upto") - F.col("_n")).alias("_before"), lower.alias("_lower"), upper.alias("_upper")
+        *[F.col(c).alias(f"_of_{c}") for c in [*keys, "_b"]], (F.col("_upto") - F.col("_n")).alias("_before"), lower.alias("_lower"), upper.alias("_upper"), *over,
     )
-    in_bucket = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    match = counts["_b"] == middle["_b"]
-    for c in by:
-        match &= counts[c].eqNullSafe(middle[c])
-    ranked = counts.join(middle, match).drop(*[middle[c] for c in [*by, "_b"]]).withColumn("_rank", F.col("_before") + F.sum("_n").over(in_bucket))
+    match = F.col("_b") == F.col("_of__b")
+    for c in keys:
+        match &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(middle, match).withColumn("_rank", F.col("_before") + F.sum("_n").over(in_bucket))
     at = lambda rank: F.min(F.when(F.col("_rank") >= F.col(rank), F.col("_v")))
     # A group has one or two middle buckets; the smallest amount at or past the rank is the answer.
-    return ranked.groupBy(*by).agg(((at("_lower") + at("_upper")) / 2).cast("decimal(14,3)").alias("median_price"))
-
-
-def price_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Mean, minimum, maximum, exact median and row count per group."""
-    price = F.col(value)
-    plain = df.where(price.isNotNull()).groupBy(*by).agg(
-        (F.sum(price).cast("double") / F.count(price)).alias("mean_price"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-        F.count(price).alias("priced"),
+    out = ranked.groupBy(*keys).agg(
+        (F.first("_all_sum").cast("double") / F.first("_total")).alias("mean_price"),
+        F.first("_least").alias("min_price"), F.first("_most").alias("max_price"), F.first("_total").alias("priced"),
+        ((at("_lower") + at("_upper")) / 2).cast("decimal(14,3)").alias("median_price"),
     )
     if by:
-        median = exact_median(df, value, by).withColumnsRenamed({c: f"_by_{c}" for c in by})
-        match = F.lit(True)
-        for c in by:
-            match &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-        return plain.join(median, match).drop(*[f"_by_{c}" for c in by])
-    median = exact_median(df.withColumn("_all", F.lit(1)), value, ["_all"]).select("median_price")
-    return plain.withColumn("median_price", median.scalar())
+        return out
+    # A table without prices has one row, of NULLs and a count of 0.
+    out = out.drop("_all")
+    return out.groupBy().agg(*[F.max(c).alias(c) for c in out.columns if c != "priced"], F.coalesce(F.max("priced"), F.lit(0)).alias("priced"))
+
+
+def exact_median(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Exact median per group, as decimal(14,3), without holding a group's values in one task."""
+    return price_stats(df, value, by).select(*by, "median_price")
 
 
 def daily_history(df: DataFrame, now, days: int, value: str = "retailprice", at: str = "crawl_datetime") -> DataFrame:

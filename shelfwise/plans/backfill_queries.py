@@ -52,8 +52,9 @@ def null_price_rows(spark, folder):
 )
 def nearest_batch(spark, folder):
     missing = backfill.null_price_rows(_clean(view(spark, folder, "unified")))
-    feeds = F.explode(F.array(*[F.lit(f) for f in ("main", "bsr", "promotion", "trend")])).alias("source")
-    probes = missing.select("account_name", crawl_seconds("crawl_strdatetime").alias("crawled_at"), feeds)
+    # Rows shrink to shops and seconds before they are repeated per feed.
+    times = missing.select("account_name", crawl_seconds("crawl_strdatetime").alias("crawled_at")).distinct()
+    probes = times.select("*", F.explode(F.array(*[F.lit(f) for f in ("main", "bsr", "promotion", "trend")])).alias("source"))
     batches = view(spark, folder, "listing").withColumn("batch_at", batch_seconds("batch_id"))
     return nearest.nearest_batch(probes, batches, ["account_name", "source"], "crawled_at", "batch_at", "batch_id")
 

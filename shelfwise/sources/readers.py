@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table of a data folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def split_page_urls(lines: DataFrame, value: str = "value") -> DataFrame:
     """'page,url' lines; only the first comma separates, lines without a page number are left out."""
     parts = F.split(F.col(value), ",", 2)

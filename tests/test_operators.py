@@ -291,6 +291,12 @@ def test_exact_median(spark, n):
     assert float(report.price_stats(df, "p", []).first().median_price) == pytest.approx(statistics.median(amounts), abs=1e-6)
 
 
+def test_price_stats_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "g string, p decimal(12,2)")
+    assert report.price_stats(empty, "p", ["g"]).collect() == []
+    assert report.price_stats(empty, "p", []).first().asDict() == {"mean_price": None, "min_price": None, "max_price": None, "median_price": None, "priced": 0}
+
+
 def test_rates_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "retailprice decimal(12,2)")
     assert report.success_rate(empty).first()[0] == 0.0

@@ -78,7 +78,7 @@ def _best_pattern(sizes: list[int], prices, capacity: int) -> tuple[float, tuple
     return value, tuple(sorted(items))
 
 
-def configurations(demand: dict[int, int], capacity: int, steps: int = 2000) -> list[tuple[tuple[int, ...], int]]:
+def configurations(demand: dict[int, int], capacity: int, steps: int = 20_000) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of few sizes with whole multiplicities that use up most of ``demand`` (size to count).
 
     The linear program over all patterns is solved by column generation: the dual prices of the present
@@ -170,6 +170,28 @@ def best_fit(room: dict[int, int], items: dict[int, int], capacity: int) -> list
     return [(first, n, added) for entries in classes.values() for first, n, added in entries]
 
 
+def kept_rooms(rooms: Counter, pieces: Counter, over: dict[int, int], capacity: int) -> tuple[int, dict[int, int], dict[int, int]]:
+    """Which sequences stay as they were configured: (highest level of room, rooms of those that stay, lengths for best fit).
+
+    ``rooms``: (level, room) to sequences; ``pieces``: (level, length) to their pieces; ``over``: length to other pieces. Sequences whose pieces
+    leave more room than short pieces can fill are taken apart again. Each level is tried on counts by best fit and the one with the fewest
+    sequences wins, the highest of several; none may stay, so there are never more than by best fit on all pieces.
+    """
+    best = None
+    for most in sorted({-1, *(level for level, _ in rooms)}, reverse=True):
+        room, left = Counter(), Counter(over)
+        for (level, free), n in rooms.items():
+            if level <= most:
+                room[free] += n
+        for (level, length), n in pieces.items():
+            if level > most:
+                left[length] += n
+        used = sum(n for _, n, _ in best_fit(dict(room), dict(left), capacity))
+        if best is None or used < best[0]:
+            best = used, most, dict(room), dict(left)
+    return best[1:]
+
+
 def _intervals(spark: SparkSession, plan: list[tuple[int | None, int, tuple[int, ...]]]) -> tuple[DataFrame, DataFrame]:
     """Rank intervals of a plan [(room, sequences, lengths)]: where pieces go, and which sequences they go to.
 
@@ -202,7 +224,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, small: int = 256, groups: int
     Linear grouping: pieces longer than ``small`` fall into ``groups`` groups of about equal cardinality
     and round up to the longest of their group; a linear program finds the best
     configurations of the few sizes, whose multiplicities are rounded down. Actual pieces take the
-    places of their group. What is over and the small pieces are then put by best fit, longest first, into the
+    places of their group. Sequences whose actual pieces leave more room than short ones can fill are taken apart
+    (``kept_rooms``). What is over and the small pieces are then put by best fit, longest first, into the
     room that the actual lengths leave, and into new sequences.
 
     The driver plans on counts by length (``capacity`` numbers at most, whatever the input); rows are
@@ -230,9 +253,17 @@ def pack(pieces: DataFrame, capacity: int = 2048, small: int = 256, groups: int
     rows = stage(rows.select(*pieces.columns, number.cast("long").alias("_sequence")), "pack-first")
 
     large, rest = rows.where("_sequence is not null"), rows.where("_sequence is null").drop("_sequence")
-    opened = stage(large.groupBy("_sequence").agg((F.lit(capacity) - F.sum("length")).cast("long").alias("_room")), "pack-rooms")
-    room = {r["_room"]: r["n"] for r in opened.groupBy("_room").agg(F.count("*").alias("n")).collect()}
-    left = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # The room that a sequence's actual pieces leave, and its order of magnitude: 0, 1, 2 to 3, 4 to 7, ...
+    opened = large.groupBy("_sequence").agg((F.lit(capacity) - F.sum("length")).cast("long").alias("_room"), F.collect_list("length").alias("_lengths"))
+    opened = stage(opened.withColumn("_level", F.length(F.when(F.col("_room") > 0, F.bin("_room")).otherwise(F.lit("")))), "pack-rooms")
+    rooms_of = Counter({(r["_level"], r["_room"]): r["n"] for r in opened.groupBy("_level", "_room").agg(F.count("*").alias("n")).collect()})
+    pieces_of = opened.select("_level", F.explode("_lengths").alias("length")).groupBy("_level", "length").agg(F.count("*").alias("n"))
+    pieces_of = Counter({(r["_level"], r["length"]): r["n"] for r in pieces_of.collect()})
+    over = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    most, room, left = kept_rooms(rooms_of, pieces_of, over, capacity)
+    large = large.join(opened.select("_sequence", "_level"), "_sequence")
+    rest = rest.unionByName(large.where(F.col("_level") > most).drop("_sequence", "_level"))
+    large, opened = large.where(F.col("_level") <= most).drop("_level"), opened.where(F.col("_level") <= most).select("_sequence", "_room")
     cells, rooms = _intervals(spark, best_fit(room, left, capacity))
     rest = ranked(rest.withColumn("_size", F.col("length")), order, ["_size"], purpose="pack-rest")
     rest = _placed(rest, cells, "_size").withColumn("_sequence", F.col("_base") + F.floor((F.col("_rank") - F.col("_low")) / F.col("_each")))

@@ -1,5 +1,6 @@
 import random
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -24,6 +25,29 @@ def sound(rows, capacity):
     return len(sequences)
 
 
+def fitted(counts, capacity):
+    """Sequences by plain best fit, longest first, one piece at a time."""
+    rooms, used = [], 0
+    for length in sorted(counts.elements(), reverse=True):
+        at = bisect_left(rooms, length)
+        if at == len(rooms):
+            used += 1
+            insort(rooms, capacity - length)
+        else:
+            insort(rooms, rooms.pop(at) - length)
+    return used
+
+
+def test_never_more_than_best_fit(spark):
+    r = random.Random(8)
+    for shape in (lambda: r.randint(1, 512), lambda: int(r.betavariate(2, 3) * 511) + 1, lambda: r.choice((170, 171, 172, 256, 257)), lambda: r.randint(150, 200)):
+        lengths = [shape() for _ in range(1500)]
+        table = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+        rows = pack(table, 512, 64, 12).collect()
+        assert sorted(x["length"] for x in rows) == sorted(lengths)
+        assert sound(rows, 512) <= fitted(Counter(lengths), 512)
+
+
 def test_all_documents(spark):
     rows = op7_pack_documents(spark, FOLDER).collect()
     tool, pieces = Encoder(PATH), defaultdict(list)
@@ -42,7 +66,7 @@ def test_all_documents(spark):
         assert at == len(ids) and all(r["length"] == 2048 for r in mine[1:]) and len(mine) == -(-len(ids) // 2048)
         total += at
     used = sound(rows, 2048)
-    assert used <= 1.06 * -(-total // 2048) + 1
+    assert used >= -(-total // 2048) and used <= fitted(Counter(r["length"] for r in rows), 2048)
 
 
 def test_configurations_cover_their_demand():

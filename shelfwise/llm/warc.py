@@ -16,6 +16,8 @@ from shelfwise.session import shared_dir
 VERSION = b"WARC/1.1"
 #: Profile of a revisit with the same payload as an earlier response (a fixed value of the format).
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes of payload of an archive, about.
+ARCHIVE_BYTES = 256 << 20
 #: Each capture's bytes end in the last byte of a gzip member, the high byte of its length: zero for
 #: records below 16 MiB, as metadata records are. The text writer's line separator supplies it.
 _LAST = "\x00"
@@ -75,7 +77,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     are revisits of it without payload; smaller ones are all responses. Digests and the first row of
     each are found on narrow rows, summed before the shuffle; the payload is shuffled once, by a key of its
     row, so that no group of equal payloads meets. Files are written by Spark's writer (its
-    commit protocol; any file system), one per partition.
+    commit protocol; any file system), of about ``ARCHIVE_BYTES`` of payload at most.
 
     Defined cases: null payloads are empty; null ids come last; rows that repeat id, URL and payload are
     captures of their own, the first of them the response; a null URL is written empty.
@@ -87,10 +89,13 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     narrow = stage(rows.groupBy("_key", "_digest", "_size", "_id").agg(F.count("*").alias("_n")), "warc-keys")
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_key").alias("key"))
     first = stage(narrow.where(F.col("_size") >= least).groupBy("_digest").agg(F.min(order).alias("_first")), "warc-first")
-    plan = join_one(narrow, first, ["_digest"]).select("_key", F.coalesce("_first.key", "_key").alias("_first"), F.coalesce("_first.id", "_id").alias("_first_id"), (F.col("_size") >= least).alias("_joined"))
+    plan = join_one(narrow, first, ["_digest"]).select("_key", F.coalesce("_first.key", "_key").alias("_first"), (F.col("_size") >= least).alias("_joined"))
     plan = stage(plan, "warc-plan")
     # Rows of one key have to meet, however the plan is joined: they are numbered below.
     rows = rows.repartition("_key").join(plan, "_key").sortWithinPartitions("_key")
+    # Files of about ARCHIVE_BYTES of payload, so that a reader never holds more of one.
+    sums = narrow.agg(F.sum(F.col("_size") * F.col("_n")).alias("bytes"), F.sum("_n").alias("rows")).first()
+    each = max(1, ARCHIVE_BYTES * (sums["rows"] or 1) // ((sums["bytes"] or 0) + 1000 * (sums["rows"] or 1)))
 
     def write(batches):
         import pandas as pd
@@ -104,7 +109,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
                 body = r.payload.encode("utf-8", "replace")
                 digest = digest_of(body)
                 revisit = r.joined and (r.key != r.first or nth > 0)
-                fields = {"page-id": r.id, "payload-bytes": str(len(body)), "refers-to-page": r.first_id if revisit else None}
+                fields = {"page-id": r.id, "payload-bytes": str(len(body))}
                 fields = {k: v for k, v in fields.items() if v is not None}
                 unit = f"{r.key}.{nth}"
                 data = capture_members(unit, _line(r.url), None if revisit else body, len(body), digest, f"{r.first}.0", fields, date)
@@ -113,10 +118,10 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
     text = rows.select(
         F.col("_key").alias("key"), F.col("_id").cast("string").alias("id"), F.col("_url").alias("url"), F.col("_payload").alias("payload"),
-        F.col("_first").alias("first"), F.col("_first_id").cast("string").alias("first_id"), F.col("_joined").alias("joined"),
+        F.col("_first").alias("first"), F.col("_joined").alias("joined"),
     ).mapInPandas(write, "value binary")
     # A string column holds any bytes; the cast changes none of them.
-    text.select(F.col("value").cast("string")).write.option("lineSep", _LAST).text(path)
+    text.select(F.col("value").cast("string")).write.option("lineSep", _LAST).option("maxRecordsPerFile", each).text(path)
 
 
 def parse_members(data: bytes):
@@ -200,6 +205,18 @@ def assemble(records: DataFrame) -> DataFrame:
     return rows.where("response is not null").select(F.col("_capture").alias("capture_id"), F.col("response.target_uri").alias("target_uri"), "response", "request", "metadata")
 
 
+def with_referred(captures: DataFrame, capture: str = "capture_id", refers_to: str = "refers_to", page: str = "page_id") -> DataFrame:
+    """``captures`` (a row each, with its response's record id) with ``referred``: the page id of the response that a revisit's WARC-Refers-To names.
+
+    Record ids are resolved against the responses that were read, so archives of any writer will do. Many revisits of one response are spread
+    over tasks. Defined cases: a response, and a revisit whose response was not read, have null; repeated rows stay; no rows give none.
+    """
+    known = captures.where("record_type = 'response'").groupBy(F.col(capture).alias(refers_to)).agg(F.min(page).alias("referred"))
+    revisits = join_one(captures.where("record_type <> 'response'"), known, [refers_to])
+    others = captures.where("record_type = 'response'").withColumn("referred", F.lit(None).cast(captures.schema[page].dataType))
+    return others.unionByName(revisits)
+
+
 def _field(record: str, name: str):
     return F.element_at(F.map_from_entries(F.col(f"{record}.fields")), name)
 
@@ -211,13 +228,14 @@ def op3_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     write_warc(pages, path)
     kind = pages.schema["page_id"].dataType
-    captures = assemble(read_records(spark, path, payload=False))
-    return captures.select(
+    captures = assemble(read_records(spark, path, payload=False)).select(
+        "capture_id", F.col("response.refers_to").alias("refers_to"),
         _field("metadata", "page-id").cast(kind).alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.when(F.col("response.type") == "revisit", _field("metadata", "refers-to-page").cast(kind)).alias("refers_to"),
         "target_uri",
         F.col("request.record_id").isNotNull().alias("has_request"),
     )
+    found = with_referred(stage(captures, "warc-captures"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("referred").alias("refers_to"), "target_uri", "has_request")

@@ -2,7 +2,7 @@ import base64
 import gzip
 import hashlib
 
-from shelfwise.llm.warc import assemble, digest_of, op3_warc_transactions, parse_members, read_records, write_warc
+from shelfwise.llm.warc import assemble, digest_of, op3_warc_transactions, parse_members, read_records, with_referred, write_warc
 from shelfwise.session import shared_dir
 from tests.test_queries import FOLDER
 
@@ -35,7 +35,8 @@ def test_nested_rows_and_odd_pages(spark):
     path, got = captures(spark, rows)
     assert len(got) == len(rows) and len({r["capture_id"] for r in got}) == len(rows)
     page = lambda r: dict(r["metadata"]["fields"]).get("page-id")
-    kinds = sorted((str(page(r)), r["response"]["type"], dict(r["metadata"]["fields"]).get("refers-to-page")) for r in got)
+    by_record = {r["response"]["record_id"]: page(r) for r in got}
+    kinds = sorted((str(page(r)), r["response"]["type"], by_record.get(r["response"]["refers_to"])) for r in got)
     assert kinds == [("1", "response", None), ("2", "revisit", "1"), ("2", "revisit", "1"), ("3", "response", None), ("4", "response", None), ("None", "revisit", "3"), ("None", "revisit", "3")]
     big = next(r for r in got if page(r) == "4")["response"]
     assert bytes(big["payload"]).decode() == rows[-1][2] and big["payload_digest"] == digest_of(rows[-1][2].encode())
@@ -44,6 +45,24 @@ def test_nested_rows_and_odd_pages(spark):
     assert all(r["response"]["refers_to"] in responses for r in got if r["response"]["type"] == "revisit")
 
 
+def test_revisits_are_resolved_by_record_ids(spark):
+    rows = [("a", None, "response", 1), ("b", "a", "revisit", 2), ("c", "gone", "revisit", 3), ("d", "a", "revisit", None), ("e", None, "revisit", 5), ("a", None, "response", 0)]
+    table = spark.createDataFrame(rows, "capture_id string, refers_to string, record_type string, page_id long")
+    got = sorted((r["capture_id"], r["referred"]) for r in with_referred(table).collect())
+    assert got == [("a", None), ("a", None), ("b", 0), ("c", None), ("d", 0), ("e", None)]
+    assert with_referred(table.limit(0)).collect() == []
+
+
+def test_archives_are_bounded(spark, monkeypatch):
+    import glob
+
+    from shelfwise.llm import warc
+
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 30_000)
+    path, got = captures(spark, [(i, f"http://h/{i}", f"body {i} " * 100, None) for i in range(100)])
+    assert len(got) == 100 and len(glob.glob(f"{path.removeprefix('file://')}/part-*")) >= 5
+
+
 def test_least_size(spark):
     _, got = captures(spark, [(1, "u", "ab", None), (2, "u", "ab", None), (3, "u", "abc", None), (4, "u", "abc", None)], least=3)
     assert sorted(r["response"]["type"] for r in got) == ["response"] * 3 + ["revisit"]

@@ -12,6 +12,8 @@ from shelfwise.llm.wordhash import mix
 
 #: Bytes of a repeated string, and bytes of the sampled suffixes' leading tokens.
 LENGTH, GRAM = 100, 32
+#: Suffixes that a task sorts at a time, about; some half a kilobyte each.
+RANGE_ROWS = 200_000
 #: Window starts handled at once; longer texts are cut into overlapping stretches.
 STRETCH = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -278,6 +280,11 @@ def _cut(as_text: bool):
     return run
 
 
+def ranges_for(rows: int) -> int:
+    """Ranges of ``RANGE_ROWS`` rows each, about, that so many suffixes take."""
+    return max(1, -(-rows // RANGE_ROWS))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """``docs`` (as struct ``_row``, its text as ``_text``) with ``n_bytes, n_removed, n_spans, kept_sha256, kept``.
 
@@ -314,7 +321,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = shared.join(long_enough, "_uid")
     around = raw.join(shared, "_key").select("_uid", "_raw", "_places").mapInArrow(_contexts, "_right binary, _left binary, _uid bigint, _low bigint")
     around = stage(around, "suffix-contexts")
-    ranged = around.repartitionByRange("_right", "_left", "_uid", "_low")
+    # A range is sorted in memory: with the rows, their number grows beyond the session's setting.
+    ranges, by = ranges_for(around.count()), ["_right", "_left", "_uid", "_low"]
+    ranged = around.repartitionByRange(ranges, *by) if ranges > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else around.repartitionByRange(*by)
     spans = stage(ranged.mapInArrow(_bucket, "_uid bigint, _start bigint, _end bigint, _window binary"), "suffix-spans")
     across = Window.partitionBy("_window").orderBy("_uid", "_start")
     edges = spans.where("_window is not null").withColumn("_nth", F.row_number().over(across)).where("_nth > 1")

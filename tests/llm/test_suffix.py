@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from shelfwise.llm import suffix
 from shelfwise.llm.suffix import common_prefixes, multikey_order, op2_suffix_dedup, padded, suffix_dedup
 from tests.llm.conftest import prose
 from tests.test_queries import FOLDER
@@ -104,3 +105,12 @@ def test_odd_rows(odd_docs, no_docs, all_null):
     assert by_id[11] == [(50_000, 49_999, 1)] and by_id[12][0] == by_id[12][1]
     assert suffix_dedup(no_docs).collect() == []
     assert [r["n_removed"] for r in suffix_dedup(all_null).collect()] == [0, 0, 0]
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    assert [suffix.ranges_for(n) for n in (0, 1, suffix.RANGE_ROWS, suffix.RANGE_ROWS + 1, 40 * suffix.RANGE_ROWS)] == [1, 1, 1, 2, 40]
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    columns = ["_row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    want = sorted(map(tuple, suffix_dedup(rows).select(*columns).collect()))
+    monkeypatch.setattr(suffix, "RANGE_ROWS", 50)
+    assert sorted(map(tuple, suffix_dedup(rows).select(*columns).collect())) == want

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query, stage
-from shelfwise.llm.parts import chunks, encode_parts, ranges, split, starts
+from shelfwise.llm.parts import Pieces, chunks, ranges, split, starts
 from shelfwise.llm.tokens import encoder, vocabulary
 from shelfwise.operators.skew import join_one
 
@@ -21,28 +21,6 @@ BLOCK_BYTES = 4 << 20
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
-class Pieces:
-    """Ids and bytes of parts by a sentence-piece vocabulary, which puts a space before a text."""
-
-    def __init__(self, path: str):
-        import numpy as np
-        from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_file=path)
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        one = [bytes([int(n[3:-1], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-        self.bytes = np.array(one, object)
-        self.lead = np.array([n.startswith("▁") for n in names])
-
-    def _ids(self, texts: list[str]) -> list:
-        from numpy import array
-
-        return [array(ids, "int64") for ids in self.model.encode(texts, num_threads=1)]
-
-    def spaced(self, words) -> tuple:
-        return encode_parts(words, self._ids, lambda p: self._ids([p])[0], self.lead)
-
-
 @lru_cache(maxsize=1)
 def tools(pairs: str, pieces: str) -> tuple:
     """Both encoders, the first one's token bytes, and the decimal names of ids with what may follow them."""

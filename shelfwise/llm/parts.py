@@ -15,6 +15,8 @@ from dataclasses import dataclass
 CHUNK_BYTES = 8 << 20
 #: Parts encoded in one call, and the most characters of a part that shares a call.
 JOINED, SHORT = 2000, 2000
+#: Bytes of parts and ids that a worker keeps for each vocabulary.
+KNOWN_BYTES = 24 << 20
 #: White space of Unicode and what Python counts as such, as a class of RE2.
 _BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 #: Texts in which a space stands first, last or beside other white space.
@@ -122,3 +124,69 @@ def encode_parts(words, together: Callable, alone: Callable, lead) -> tuple:
     place = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
     back, at = np.argsort(place, kind="stable"), starts(counts)
     return flat[ranges(at[back], counts[back])], starts(counts[back])
+
+
+class Known:
+    """Parts of earlier batches, their ids, and where each part's begin: three flat arrays of ``KNOWN_BYTES`` at most."""
+
+    def __init__(self):
+        self.table = None
+
+    def of(self, words, encode: Callable) -> tuple:
+        """Ids of distinct parts, flat, and their offsets: looked up, and by ``encode`` where a part is new."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known, known_ids, known_at = self.table or (words.slice(0, 0), np.zeros(0, "uint32"), np.zeros(1, "int64"))
+        place = np.asarray(pc.fill_null(pc.index_in(words, value_set=known), -1)).astype("int64")
+        new = place < 0
+        place[new] = len(known) + np.arange(int(new.sum()))
+        some = words.filter(pa.array(new))
+        ids, at = encode(some)
+        ids, at = np.concatenate([known_ids, ids]), np.concatenate([known_at, known_at[-1] + at[1:]])
+        sizes = np.diff(at)[place]
+        out = ids[ranges(at[place], sizes)], starts(sizes)
+        # Beyond the bound only the parts of this batch are kept, beyond it by themselves none.
+        for table in ((pa.concat_arrays([known, some]), ids, at), (pa.concat_arrays([words]), *out), None):
+            if table is None or sum(x.nbytes for x in table) <= KNOWN_BYTES:
+                self.table = table
+                break
+        return out
+
+
+class Pieces:
+    """Ids and bytes of parts by a sentence-piece vocabulary, which puts a space before a text."""
+
+    def __init__(self, path: str):
+        import numpy as np
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        one = [bytes([int(n[3:-1], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+        self.bytes = np.array(one, object)
+        self.lead = np.array([n.startswith("▁") for n in names])
+        self.known = Known()
+
+    def _ids(self, texts: list[str]) -> list:
+        from numpy import array
+
+        return [array(ids, "int64") for ids in self.model.encode(texts, num_threads=1)]
+
+    def spaced(self, words) -> tuple:
+        """Ids of distinct parts after a space, flat, and their offsets."""
+        return self.known.of(words, lambda some: encode_parts(some, self._ids, lambda p: self._ids([p])[0], self.lead))
+
+
+def word_codes(texts) -> tuple:
+    """Words of an array of strings: numbers, distinct words, and where each text's begin; words are cut at the six ASCII blanks."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    clean = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.string()), ""), r"[\x09-\x0d\x20]+", " ")
+    lists = pc.split_pattern(clean, " ")
+    words = np.asarray(pc.not_equal(lists.values, "")).astype(bool)
+    found = lists.values.filter(pa.array(words)).dictionary_encode()
+    return np.asarray(found.indices).astype("int64"), found.dictionary, starts(words)[np.asarray(lists.offsets).astype("int64")]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query
-from shelfwise.llm.parts import chunks, ranges, starts
+from shelfwise.llm.parts import chunks, starts, word_codes
 
 #: Words of a run at least, and periods of a run at least.
 LEAST_WORDS, LEAST_PERIODS = 24, 3
@@ -161,19 +161,6 @@ def dropped(runs: list[tuple[int, int, int]], n: int):
     return np.cumsum(cover[:n]) > 0
 
 
-def word_codes(texts) -> tuple:
-    """Words of an array of strings: numbers, distinct words, and where each text's begin; words are cut at the six ASCII blanks."""
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    clean = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.string()), ""), r"[\x09-\x0d\x20]+", " ")
-    lists = pc.split_pattern(clean, " ")
-    words = np.asarray(pc.not_equal(lists.values, "")).astype(bool)
-    found = lists.values.filter(pa.array(words)).dictionary_encode()
-    return np.asarray(found.indices).astype("int64"), found.dictionary, starts(words)[np.asarray(lists.offsets).astype("int64")]
-
-
 def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", transform=None) -> DataFrame:
     """``doc_id, n_words, runs, collapsed``: all runs of each whole text, and its words without repeated periods.
 

@@ -12,13 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query
-from shelfwise.llm.parts import chunks, encode_parts, ranges, split, starts
+from shelfwise.llm.parts import Known, chunks, encode_parts, ranges, split, starts
 from shelfwise.session import shared_dir
 
 #: Id that ends each document.
 END = 0
-#: Bytes of parts and ids that a worker keeps for each vocabulary.
-KNOWN_BYTES = 24 << 20
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary that is installed on every node."""
     import public_tokenizers
@@ -31,7 +29,7 @@ class Encoder:
 
     A byte-level vocabulary cuts text before a space that begins a word, so the text's ids are the
     ids of its parts (``parts.split``), of which a batch has few distinct ones. Vocabularies of
-    another kind encode whole texts. Parts and their ids are kept for the next batches up to ``KNOWN_BYTES``, which saves time only.
+    another kind encode whole texts. Parts and their ids are kept for the next batches up to a bound (``Known``), which saves time only.
     """
 
     def __init__(self, path: str):
@@ -54,8 +52,7 @@ class Encoder:
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.names = [self.full.id_to_token(i) or "" for i in range(self.full.get_vocab_size())]
         self.lead = np.array([t.startswith(self.letters[32]) for t in self.names])
-        # Parts of earlier batches, their ids, and where each part's begin: three flat arrays.
-        self.known = None
+        self.known = Known()
 
     def count(self, text: str) -> int:
         """Number of ids of a short text; nothing is kept."""
@@ -72,25 +69,7 @@ class Encoder:
 
     def spaced(self, words) -> tuple:
         """Ids of distinct parts after a space, flat, and their offsets; those of earlier batches are looked up."""
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        known, known_ids, known_at = self.known or (words.slice(0, 0), np.zeros(0, "uint32"), np.zeros(1, "int64"))
-        place = np.asarray(pc.fill_null(pc.index_in(words, value_set=known), -1)).astype("int64")
-        new = place < 0
-        place[new] = len(known) + np.arange(int(new.sum()))
-        some = words.filter(pa.array(new))
-        ids, at = encode_parts(some, lambda joined: self.whole([" " + t for t in joined]), lambda p: self.whole([" " + p])[0], self.lead)
-        ids, at = np.concatenate([known_ids, ids]), np.concatenate([known_at, known_at[-1] + at[1:]])
-        sizes = np.diff(at)[place]
-        out = ids[ranges(at[place], sizes)], starts(sizes)
-        both = pa.concat_arrays([known, some])
-        # Beyond the bound only the parts of this batch are kept.
-        self.known = (both, ids, at) if both.nbytes + ids.nbytes + at.nbytes <= KNOWN_BYTES else (pa.concat_arrays([words]), *out)
-        if self.known[0].nbytes + self.known[1].nbytes + self.known[2].nbytes > KNOWN_BYTES:
-            self.known = None
-        return out
+        return self.known.of(words, lambda some: encode_parts(some, lambda joined: self.whole([" " + t for t in joined]), lambda p: self.whole([" " + p])[0], self.lead))
 
     def batch(self, texts) -> tuple:
         """Ids of an array of strings, flat, and their offsets; null is empty."""

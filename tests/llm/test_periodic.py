@@ -8,7 +8,8 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfwise.llm.periodic import digests, op12_periodic_runs, periodic_runs, runs_of_batch, scan, segments_of, word_codes
+from shelfwise.llm.periodic import digests, op12_periodic_runs, periodic_runs, runs_of_batch, scan, segments_of
+from shelfwise.llm.parts import word_codes
 from tests.test_queries import FOLDER
 
 

@@ -2,7 +2,7 @@ from collections import Counter
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shelfwise.llm.fertility import production
+from shelfwise.llm.fertility import labels_of, production
 from tests.llm.test_jaccard import brute as components
 from tests.llm.test_suffix import brute as repeats
 from tests.test_queries import FOLDER
@@ -12,7 +12,7 @@ def test_stages_one_after_another(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, steps = docs.columns, dict(corpus_pipeline.STAGES)
     assert list(steps) == ["quality rules", "n-gram Jaccard join", "suffix-array dedup", "mixing sources", "best-fit packing"]
-    kept = {r["doc_id"] for r in production(docs).where("_quality.kept").collect()}
+    kept = {r["doc_id"] for r in production(docs, labels_of(spark, FOLDER)).where("_quality.kept").collect()}
     out = corpus_pipeline.stage(steps["quality rules"](spark, docs, FOLDER), "test")
     assert out.columns == columns and {r["doc_id"] for r in out.collect()} == kept
 
@@ -47,4 +47,4 @@ def test_odd_rows(spark, odd_docs, no_docs, all_null):
 
 def test_registered():
     names = [q for q in entry.queries() if q.startswith("op") or q == "pipeline"]
-    assert [n.split("_")[0] for n in names if n != "pipeline" and n[2].isdigit()] == [f"op{k}" for k in range(1, 11)] and "pipeline" in names
+    assert [n.split("_")[0] for n in names if n != "pipeline" and n[2].isdigit()] == [f"op{k}" for k in range(1, 14)] and "pipeline" in names

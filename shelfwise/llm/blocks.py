@@ -75,13 +75,15 @@ def _bucket(token: str, size: int) -> tuple[int, float]:
 
 
 def path_vector(path: Sequence[str]):
-    """Hashed vector of the elements around a block, nearer ones with more weight."""
+    """Hashed vector of the elements around a block, nearer ones with more weight: tags, names, and the kinds of area that either tell of."""
     import numpy as np
 
     out, weight = np.zeros(PATH, "float32"), 1.0
     for depth, key in enumerate(reversed(path)):
         tag, *names = key.lstrip("!").split()
-        for token in (tag, *("." + n for n in names), *(("=" + tag,) if depth == 0 else ())):
+        kinds = {"+" + _AREA_OF[w] for w in (tag, *names) if w in _AREA_OF}
+        kinds |= {"+area"} if kinds else {"+main" for w in (tag, *names) if w in _MAIN and tag != "body"}
+        for token in (tag, *("." + n for n in names), *(("=" + tag,) if depth == 0 else ()), *sorted(kinds)):
             k, sign = _bucket(token, PATH)
             out[k] += sign * weight
         weight = max(0.3, weight * 0.85)

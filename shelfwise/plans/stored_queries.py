@@ -388,6 +388,17 @@ def _mixed(rows):
     return rows.withColumn("batch_id", F.expr(MIXED.format("unix_timestamp(batch_id, 'yyyyMMdd_HHmmss')", "string")))
 
 
+@query(
+    "latest_batch_mixed",
+    check_sql(
+        f"select listing_id, account_name, source from (select *, {SEC} as b, max({SEC}) over (partition by account_name, source) as newest from v_listing) where b = newest", "listing",
+    ),
+)
+def latest_batch_mixed(spark, folder):
+    """The newest batch of each feed where one shop's ids changed from dates to epoch seconds within its feeds."""
+    return listing.latest_batch(_mixed(view(spark, folder, "listing"))).select("listing_id", "account_name", "source")
+
+
 LATEST_ALL = (
     "u as (select id, account_name as a, product_url as url, nullif(final_sku_price, '') as f, nullif(original_sku_price, '') as o, crawl_strdatetime as c from v_unified), "
     f"fd as (select listing_id, account_name as a, source as s, {SEC} as b, rank, product_url as url, nullif(final_sku_price, '') as f, nullif(original_sku_price, '') as o from v_listing), "

@@ -86,3 +86,39 @@ def test_no_page_travels_and_no_pairs_are_made(pages):
     for line in plan.splitlines():
         assert "Exchange" not in line or "_bare" not in line
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+# (country, page, its URL or None, status), by hand from the texts that shops show.
+STATUSES = [
+    ("es", "<title>TV</title><p>plain page</p>", None, "ok"),
+    ("es", "<p>Your request was throttled. Please wait a moment and refresh.</p>", None, "throttled"),
+    ("es", "<title>Just a moment...</title>", None, "challenge"),
+    ("es", "<p>Robot or human?</p>", None, "robot"),
+    ("es", "<title>Sorry! Something is missing</title>", None, "robot"),
+    ("es", "<script>say('sorry')</script><p>fine</p>", None, "ok"),
+    ("es", "<div class='review'>sorry, it broke</div><p>fine</p>", None, "ok"),
+    ("es", "<p>text</p><p>We are sorry</p>", None, "robot"),
+    ("es", "<p>Access denied</p>", None, "blocked"),
+    ("es", "<p>Access denied</p><a>Continue shopping</a>", None, "ok"),
+    ("es", "<title>503</title>", None, "blocked"),
+    ("es", "<p>algo salió mal</p>", None, "error"),
+    ("es", "<span id='productTitle'>TV</span><p>Access denied</p>", None, "ok"),
+    ("it", "<p>Accesso negato</p>", None, "ok"),
+    ("it", "<p>Ci dispiace</p><p>Accesso negato</p>", None, "blocked"),
+    ("it", "<title>Ci dispiace</title>", None, "blocked"),
+    ("es", "<p>fine</p>", "https://elsewhere.example.com/", "blocked"),
+    ("es", '<span id="productTitle">TV</span>', "https://elsewhere.example.com/", "ok"),
+    ("it", '<span id="productTitle">TV</span>', "https://elsewhere.example.com/", "blocked"),
+    ("it", '<span id="productTitle">TV</span>', "https://www.AMAZON.it/dp/B0", "ok"),
+]
+
+
+def test_status_of_pages(spark):
+    from shelfwise.operators.pages import with_status
+
+    for cc in ("es", "it"):
+        for given in (True, False):
+            some = [(k, page, url) for k, (c, page, url, _) in enumerate(STATUSES) if c == cc and (url is not None) == given]
+            table = spark.createDataFrame(some, "k int, html string, url string")
+            got = {r["k"]: r["status"] for r in with_status(table, cc=cc, url="url" if given else None).collect()}
+            assert got == {k: STATUSES[k][3] for k, _, _ in some}

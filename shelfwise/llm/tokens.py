@@ -104,6 +104,21 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def release() -> None:
+    """Give the memory of vocabularies and batches back: a worker is reused by later stages, which need it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    encoder.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def ended(texts, path: str) -> tuple:
     """Ids of an array of strings, each text's followed by the end id, flat, and their offsets."""
     import numpy as np

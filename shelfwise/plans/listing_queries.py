@@ -605,8 +605,7 @@ CHANNEL = "case event_id % 5 when 0 then 'Best Buy' when 1 then 'Amazon' when 2
 def channel_domain(spark, folder):
     rows = spark.read.parquet(f"{folder}/events.parquet").selectExpr("event_id", f"{CHANNEL} as raw")
     named = rows.select("event_id", dml.norm_channel("raw").alias("channel"))
-    good, bad = dml.in_domain(named, "channel", dml.CHANNEL_DOMAIN)
-    return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)))
+    return named.withColumn("valid", dml.valid_in("channel", dml.CHANNEL_DOMAIN))
 
 
 @query(

@@ -14,6 +14,9 @@ from shelfwise.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+#: Buckets up to which each task of a scan writes a file into each.
+FEW_BUCKETS = 64
+
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
 CHECKS: dict[str, str] = {}
@@ -45,12 +48,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 def text_table(df: DataFrame, key: str, purpose: str) -> DataFrame:
     """Stage rows with texts bucketed by ``key``: later joins on it move the other side only.
 
-    Written straight from the scan, each task adds a file to each bucket; above 256 buckets the
+    Written straight from the scan, each task adds a file to each bucket; above ``FEW_BUCKETS`` buckets the
     rows are shuffled first, which keeps the number of files at the number of buckets.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if buckets > 256:
+    if buckets > FEW_BUCKETS:
         df = df.repartition(buckets, key)
     name = f"llm_{purpose}_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").option("path", shared_dir(spark, purpose)).option("compression", "zstd")

@@ -264,13 +264,18 @@ def catalog(spark, folder):
 # --- files of pages and reports -----------------------------------------------------------------
 
 
+#: Folders over those of the pages: a shelf is written by one task, moved in one step and listed by one task.
+SHELVES = 256
+
+
 @query("page_file_folder", "select page_id, length(html) + 1 as size from pages")
 def page_file_folder(spark, folder):
     """Stored pages as a folder of files, one page each; Spark's text writer ends a file with a line feed."""
     path = shared_dir(spark, "page-folder")
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html")
-    pages.repartition("page_id").write.partitionBy("page_id").text(path)
-    found = read_pages(spark, f"{path}/page_id=*", form="files")
+    pages = pages.withColumn("shelf", F.pmod(F.xxhash64("page_id"), F.lit(SHELVES)))
+    pages.repartition("shelf").write.partitionBy("shelf", "page_id").text(path)
+    found = read_pages(spark, path, form="files")
     return found.select(F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"), F.length("html").cast("bigint").alias("size"))
 
 

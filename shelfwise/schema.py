@@ -112,6 +112,6 @@ def describe_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
 
 
 def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """The same for the tables of the session catalog."""
-    names = [t.name for t in spark.catalog.listTables(database)]
+    """The same for the tables of the session catalog; temporary views are in no named database."""
+    names = [t.name for t in spark.catalog.listTables(database) if not (database and t.isTemporary)]
     return describe_columns(spark, {n: spark.table(f"{database}.{n}" if database else n) for n in names})

@@ -23,9 +23,10 @@ def read_page_urls(spark: SparkSession, path: str) -> DataFrame:
 def read_pages(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
     """Stored pages: a Parquet page table, or a folder of one-page files (``form='files'``).
 
-    Files are read whole, one row each; ``path`` orders them.
+    Files are read whole, one row each; ``path`` orders them. Files in folders below count, at any depth; Spark lists
+    the folders directly below ``path`` in parallel, each in one task.
     """
     if form == "parquet":
         return spark.read.parquet(path)
-    files = spark.read.text(path, wholetext=True)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))

@@ -11,7 +11,7 @@ from shelfwise.operators import listing, metrics, pages
 from shelfwise.operators.dml import upsert
 from shelfwise.plans import stored_queries as S
 from shelfwise.plans.views import view
-from shelfwise.schema import Evolution, read_evolved
+from shelfwise.schema import Evolution, catalog_columns, read_evolved
 from shelfwise.session import shared_dir
 from shelfwise.sources import tables
 from shelfwise.streaming import jobs
@@ -190,3 +190,25 @@ def test_ranks_of_the_null_group_go_on(spark):
     second = spark.createDataFrame([(None, 1), (None, 2), (1, 1), (2, 1)], "g int, rank int")
     got = listing.continue_rank(first, second, ["g"], ["rank"]).collect()
     assert sorted((r["g"] or 0, r["continued_rank"]) for r in got) == [(0, 8), (0, 9), (1, 4), (2, 1)]
+
+
+def test_page_folders_are_shelved(spark, tmp_path, monkeypatch):
+    """The folder of one-page files has few folders at its top, and files in folders below are read."""
+    pages = [(i, "p" * i) for i in range(600)]
+    spark.createDataFrame(pages, "page_id bigint, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(S, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    found = S.page_file_folder(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [(i, i + 1) for i, _ in pages]
+    top = [p for p in (tmp_path / "page-folder").iterdir() if p.is_dir()]
+    assert len(top) <= S.SHELVES and len(list((tmp_path / "page-folder").glob("*/page_id=*/*.txt"))) == len(pages)
+
+
+def test_columns_of_a_database_without_the_sessions_views(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("view_of_the_session")
+    spark.sql(f"CREATE DATABASE columns_of_one LOCATION '{tmp_path}'")
+    try:
+        spark.range(1).write.option("path", str(tmp_path / "t")).saveAsTable("columns_of_one.t")
+        assert [(r.table_name, r.column_name) for r in catalog_columns(spark, "columns_of_one").collect()] == [("t", "id")]
+    finally:
+        spark.sql("DROP DATABASE columns_of_one CASCADE")
+        spark.catalog.dropTempView("view_of_the_session")

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from shelfwise.llm.fertility import LOSS, MEASURES, fit_bands, labels_of, op6_fertility, production, repeated_lines, repeated_words
+from shelfwise.llm.fertility import LOSS, MEASURES, bands_of, fit_bands, labels_of, op6_fertility, production, repeated_lines, repeated_words
 from shelfwise.llm.tokens import vocabulary
 from tests.test_queries import FOLDER
 
@@ -116,3 +116,17 @@ def test_odd_rows(odd_docs, no_docs, all_null):
     assert all(not r["_quality"]["kept"] for r in rows if not (r["text"] or "").split())
     assert production(no_docs).collect() == []
     assert [r["_quality"]["n_words"] for r in production(all_null).collect()] == [0, 0, 0]
+
+
+def test_bands_come_from_every_good_row(spark):
+    """More good rows than any sample took, the extreme ones few: bounds are the exact percentiles of all of them."""
+    n = 40_001
+    v = "cast(case when id % 1000 = 7 then id else id % 10 end as double)"
+    figures = ", ".join(f"'{m}', {v}" for m in MEASURES)
+    rows = spark.range(n).selectExpr("id as _id", "if(id % 4 = 0, 'de', 'en') as lang", f"named_struct('base_failed', id % 5 = 0, 'script', 'latin', {figures}) as _quality")
+    bands = bands_of(rows)
+    assert set(bands) == {"de", "en"}
+    for lang, own in bands.items():
+        mine = [float(i if i % 1000 == 7 else i % 10) for i in range(n) if i % 5 and ("de" if i % 4 == 0 else "en") == lang]
+        assert own["tokens_per_word"] == own["chars_per_token"] == pytest.approx(tuple(np.quantile(mine, [LOSS, 1 - LOSS])))
+    assert bands_of(rows, least=n) == {}

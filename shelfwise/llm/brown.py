@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, query, stage
 
-#: Most frequent words that the exchange assigns to classes, and the number of those classes.
-CLUSTERED, EXCHANGE = 4096, 48
-#: Classes of all other words, by their last two bytes.
+#: Words whose pairs are counted by word and moved in rounds (the most frequent); all others move by their pairs with classes.
+CLUSTERED = 4096
+#: Classes, all open to every word.
+EXCHANGE = 80
+#: Of these, the last ones, in which all words but the clustered begin, by their last two bytes.
 ENDINGS = 32
-#: Most frequent words whose counts every task holds; the counts of all others are joined.
+#: Most frequent words whose counts and classes every task holds; those of all others are joined.
 HEAD = 131_072
 ROUNDS, BLOCKS = 6, 12
 ADD = 0.1
-#: Ids: clustered words, then classes of other words, then the end of a text.
+#: Weight of a class's own frequency in transitions, for each class seen after the one before.
+BACK_OFF = 16
+#: Ids: clustered words, then the first classes of other words, then the end of a text.
 END_ID, IDS = CLUSTERED + ENDINGS, CLUSTERED + ENDINGS + 1
-END_CLASS, CLASSES = EXCHANGE + ENDINGS, EXCHANGE + ENDINGS + 1
+FIRST, END_CLASS, CLASSES = EXCHANGE - ENDINGS, EXCHANGE, EXCHANGE + 1
+#: A word's pairs: with each class after it, with each class before it, with itself.
+PAIRS = 2 * CLASSES + 1
+#: Place in a coded text of a word whose class is joined.
+OPEN = 255
 STRETCH = 1 << 20
 
 
@@ -158,7 +166,7 @@ def cluster(bigrams: DataFrame, rounds: int = ROUNDS) -> list[int]:
     import numpy as np
 
     spark = bigrams.sparkSession
-    classes = [i % EXCHANGE for i in range(CLUSTERED)] + [EXCHANGE + i for i in range(ENDINGS)] + [END_CLASS]
+    classes = [i % FIRST for i in range(CLUSTERED)] + [FIRST + i for i in range(ENDINGS)] + [END_CLASS]
     for turn in range(rounds):
         known = F.broadcast(spark.createDataFrame(list(enumerate(classes)), "_i int, _k int"))
         coded = bigrams.join(known.toDF("_a", "_ca"), "_a").join(known.toDF("_b", "_cb"), "_b")
@@ -188,8 +196,192 @@ def _class_table(coded: DataFrame):
     return table
 
 
-def _scores(model):
-    """A row per text with its sums over head words and transitions, and a row per other word of it.
+def _contexts(ids: dict[bytes, int], classes: list[int]):
+    """(word, pairs): how often a word that is not clustered has which class after and before it, and itself, summed within the task.
+
+    ``pairs`` holds n * PAIRS + kind of pair. Neighbours count by the class that they have before any of these words moves.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        pool: list[bytes] = []
+        lines, held = [], 0
+
+        def rows():
+            x, y, cx, cy = np.concatenate(lines, axis=1)
+            coded = pa.array(pool, "binary").dictionary_encode()
+            at = coded.indices.to_numpy().astype("int64")
+            right, left = x >= 0, y >= 0
+            same = right & left
+            same[same] = at[x[same]] == at[y[same]]
+            after, before = right & ~same, left & ~same
+            keys = [at[x[after]] * PAIRS + cy[after], at[y[before]] * PAIRS + CLASSES + cx[before], at[x[same]] * PAIRS + 2 * CLASSES]
+            keys, n = np.unique(np.concatenate(keys), return_counts=True)
+            word = keys // PAIRS
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            pairs = pa.ListArray.from_arrays(pa.array(np.append(starts, len(keys)).astype("int32")), pa.array(n * PAIRS + keys % PAIRS))
+            return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(word[starts])), pairs], names=["_word", "_pairs"])
+
+        get = ids.get
+        start = np.array(classes, "int64")
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                last, place = END_CLASS, -1
+                for words in [*word_lists(raw), None]:
+                    if words == []:
+                        continue
+                    mine = np.array([END_ID] if words is None else [get(w, -1) for w in words], "int64")
+                    places, far = np.full(len(mine), -1), np.flatnonzero(mine < 0)
+                    kinds = start[mine]
+                    if len(far):
+                        rare = [words[i] for i in far]
+                        kinds[far] = [FIRST + ending(w) for w in rare]
+                        places[far] = len(pool) + np.arange(len(far))
+                        pool += rare
+                    x, y = np.append(place, places[:-1]), places
+                    line = np.stack([x, y, np.append(last, kinds[:-1]), kinds])
+                    lines.append(line[:, (x >= 0) | (y >= 0)])
+                    held += len(mine)
+                    last, place = int(kinds[-1]), int(places[-1])
+                    if len(pool) > 500_000 or held > 4_000_000:
+                        kept = [pool[place]] if place >= 0 else []
+                        if pool:
+                            yield rows()
+                        pool, lines, held, place = kept, [], 0, len(kept) - 1
+        if any(line.shape[1] for line in lines):
+            yield rows()
+
+    return run
+
+
+def choose(word, kind, n, current, table):
+    """Class of each word by the greatest gain in likelihood, each judged on the same class table, which has all words in it.
+
+    ``word``, ``kind``, ``n``: pairs of the words, sorted by word number from 0, each kind once a word. The gains are found from the
+    cells that a word's pairs touch, and are the full changes of the likelihood (see ``exchange``).
+    """
+    import numpy as np
+
+    k, count = EXCHANGE, len(current)
+    a, b, self_pairs = np.zeros((count, CLASSES)), np.zeros((count, CLASSES)), np.zeros(count)
+    side = np.minimum(kind // CLASSES, 2)
+    a[word[side == 0], kind[side == 0]] = n[side == 0]
+    b[word[side == 1], kind[side == 1] - CLASSES] = n[side == 1]
+    self_pairs[word[side == 2]] = n[side == 2]
+    every, own = np.arange(count), np.arange(k)
+    gain = np.zeros((count, k))
+
+    # A pair's cell in each class, before the word is there: its own class has the word's pairs already.
+    cells = np.concatenate([table[:k].T, table[:, :k]])
+    linked = side < 2
+    w, j, m = word[linked], kind[linked], n[linked].astype("float64")
+    few = m <= 8
+    steps = np.stack([_log(cells + x) - _log(cells) for x in range(9)])
+    for some in (few, ~few):
+        for at in range(0, int(some.sum()), 16_384):
+            pick = np.flatnonzero(some)[at : at + 16_384]
+            i, c, x = w[pick], j[pick], m[pick]
+            up = steps[x.astype("int64"), c] if some is few else _log(cells[c] + x[:, None]) - _log(cells[c])
+            mine = cells[c, current[i]]
+            up[np.arange(len(pick)), current[i]] = _log(mine) - _log(mine - x)
+            first = np.flatnonzero(np.diff(i, prepend=-1))
+            gain[i[first]] += np.add.reduceat(up, first)
+
+    # Cells touched twice: the class's own, by the pairs on both sides and with the word itself ...
+    inner = np.tile(table[own, own], (count, 1))
+    inner[every, current] -= a[every, current] + b[every, current] + self_pairs
+    p, q, s = a[:, :k], b[:, :k], np.broadcast_to(self_pairs[:, None], (count, k))
+    i, c = np.nonzero(((p > 0) & (q > 0)) | (s > 0))
+    t, p, q, s = inner[i, c], p[i, c], q[i, c], s[i, c]
+    gain[i, c] += _log(t + p + q + s) - _log(t)
+    # ... which the sums above have taken as two cells, in the word's class without the other side.
+    here = c == current[i]
+    full = t + p + q + s
+    right = np.where(here, _log(full) - _log(full - p), _log(t + p) - _log(t))
+    left = np.where(here, _log(full) - _log(full - q), _log(t + q) - _log(t))
+    gain[i, c] -= right + left
+    # ... and those between a class and the word's, which lose the word's pairs from the other side first.
+    for one, other, cell in ((a, b, lambda i, c: table[c, current[i]]), (b, a, lambda i, c: table[current[i], c])):
+        i, c = np.nonzero((one[every, current] > 0)[:, None] & (other[:, :k] > 0))
+        away = c != current[i]
+        i, c = i[away], c[away]
+        t, x, less = cell(i, c), one[i, current[i]], other[i, c]
+        gain[i, c] += _log(t - less + x) - _log(t - less) - _log(t + x) + _log(t)
+
+    for margin, sums in ((table.sum(axis=1), a), (table.sum(axis=0), b)):
+        moved = (sums.sum(axis=1) + self_pairs)[:, None]
+        free = np.tile(margin[:k], (count, 1))
+        free[every, current] -= moved[:, 0]
+        gain -= _log(free + moved) - _log(free)
+    best = gain.argmax(axis=1)
+    return np.where(gain[every, best] > gain[every, current] + 1e-9, best, current)
+
+
+def _whole(batches, starts):
+    """Batches put together so that a group, which begins where ``starts`` says, is in one piece; rows are in order."""
+    import pyarrow as pa
+
+    kept = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = starts(batch, kept[-1] if kept else None)
+        if len(cuts):
+            done = [b for b in [*kept, batch.slice(0, cuts[-1])] if b.num_rows]
+            if done:
+                yield pa.Table.from_batches(done).combine_chunks()
+            kept = [batch.slice(cuts[-1])]
+        else:
+            kept.append(batch)
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _words_begin(batch, before):
+    """Rows whose word is another than the row's before."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    column = batch.column(0)
+    other = np.flatnonzero(pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)) + 1
+    first = before is None or column[0].as_py() != before.column(0)[before.num_rows - 1].as_py()
+    return np.concatenate(([0], other)) if first else other
+
+
+def _assign(table):
+    """(word, n, class) from words' pairs in the order of the words."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for rows in _whole(batches, _words_begin):
+            column = rows.column(0).combine_chunks()
+            lists = rows.column(1).combine_chunks()
+            coded = column.dictionary_encode()
+            sizes = np.diff(lists.offsets.to_numpy())
+            of, pairs = np.repeat(coded.indices.to_numpy(), sizes).astype("int64"), lists.flatten().to_numpy()
+            keys, at = np.unique(of * PAIRS + pairs % PAIRS, return_inverse=True)
+            n = np.bincount(at, pairs // PAIRS).astype("int64")
+            word, kind = keys // PAIRS, keys % PAIRS
+            names = coded.dictionary
+            current = np.array([FIRST + ending(w) for w in names.to_pylist()], "int64")
+            ahead = (kind < CLASSES) | (kind == 2 * CLASSES)
+            total = np.bincount(word[ahead], n[ahead], minlength=len(names)).astype("int64")
+            found = current.copy()
+            for a in range(0, len(names), 2000):
+                b = min(a + 2000, len(names))
+                some = slice(*np.searchsorted(word, (a, b)))
+                found[a:b] = choose(word[some] - a, kind[some], n[some], current[a:b], table)
+            yield pa.RecordBatch.from_arrays([names, pa.array(total), pa.array(found.astype("int32"))], names=["_word", "_n", "_c"])
+
+    return run
+
+
+def _coded(model):
+    """A row per text with its words' classes, a byte each, and its sums over head words; a row per other word of it.
 
     Text rows have a word that no text has (it begins with a blank), different for each, so that they do not meet anywhere.
     """
@@ -198,43 +390,115 @@ def _scores(model):
         import numpy as np
         import pyarrow as pa
 
-        head, group, emit, unit, step, rest, seen = model.value
+        head, group, unit, seen = model.value
         get = head.get
+        kinds = ("int64", "int64", "binary", "binary", "int64", "int64", "float64", "int64")
+        names = ["_at", "_pos", "_word", "_seq", "_tokens", "_known", "_base", "_id", "_held"]
+
+        def rows(out, ids, held):
+            *columns, texts = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, ids.take(texts), held.take(texts)], names=names)
+
         for batch in batches:
             out = []
             ids_, held = batch.column(2), batch.column(3)
             for at, (key, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                last, tokens, known, score, base = END_CLASS, 1, seen, 0.0, unit[-1]
-                others: Counter = Counter()
+                tokens, known, base, seq = 1, seen, float(unit[-1]), []
                 for words in word_lists(raw):
                     if not words:
                         continue
                     ids = np.array([get(w, -1) for w in words], "int64")
-                    kinds, far = group[ids], np.flatnonzero(ids < 0)
-                    if len(far):
-                        rare = [words[i] for i in far]
-                        kinds[far] = [EXCHANGE + ending(w) for w in rare]
-                        others.update(rare)
+                    far = np.flatnonzero(ids < 0)
+                    seq.append(group[ids].tobytes())
+                    out += [(key, tokens - 1 + i, words[i], None, None, None, None, None) for i in far.tolist()]
                     tokens += len(words)
                     known += len(words) - len(far)
-                    near = ids[ids >= 0]
-                    score += float(emit[near].sum() - rest[kinds[far]].sum() + step[np.concatenate(([last], kinds[:-1])), kinds].sum())
-                    base += float(unit[near].sum())
-                    last = int(kinds[-1])
-                score += float(step[last, END_CLASS] + emit[-1])
-                out.append((key, b" %d" % key, None, tokens, known, score, base, at))
-                out += [(key, w, n, None, None, None, None, None) for w, n in others.items()]
-                if len(out) > 50_000:
-                    yield _scored(pa, out, ids_, held)
-                    out = []
+                    base += float(unit[ids[ids >= 0]].sum())
+                    if len(out) > 50_000:
+                        yield rows(out, ids_, held)
+                        out = []
+                out.append((key, -1, b" %d" % key, b"".join(seq), tokens, known, base, at))
             if out:
-                yield _scored(pa, out, ids_, held)
+                yield rows(out, ids_, held)
+
+    return run
+
+
+def _complete(batches):
+    """Rows per text with the classes and counts of all its words, from a text's row and those of its joined words, in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    def begin(batch, _):
+        return np.flatnonzero(batch.column(0).to_numpy() < 0)
+
+    for rows in _whole(batches, begin):
+        pos, kind, n = (rows.column(i).to_numpy() for i in range(3))
+        starts = np.flatnonzero(pos < 0)
+        ends = np.append(starts[1:], len(pos))
+        logs = np.where(pos < 0, 0.0, np.log10(n + ADD))
+        texts = rows.take(pa.array(starts))
+        seqs = []
+        for seq, a, b in zip(texts.column(3).to_pylist(), starts, ends, strict=True):
+            full = np.frombuffer(seq, "uint8").copy()
+            full[pos[a + 1 : b]] = kind[a + 1 : b]
+            seqs.append(full.tobytes())
+        known = texts.column(5).to_numpy() + np.add.reduceat(((n > 0) & (pos >= 0)).astype("int64"), starts)
+        base = texts.column(6).to_numpy() + np.add.reduceat(logs, starts)
+        flat = lambda i: texts.column(i).combine_chunks()
+        yield pa.RecordBatch.from_arrays([flat(7), flat(8), flat(4), pa.array(known), pa.array(base), pa.array(seqs, "binary")], names=["_id", "_held", "_tokens", "_known", "_base", "_seq"])
+
+
+def _steps(seq: bytes):
+    """Cells of the class table that a text's words pass, from its end before its first word to its end."""
+    import numpy as np
+
+    line = np.frombuffer(b"%c%b%c" % (END_CLASS, seq, END_CLASS), "uint8").astype("int64")
+    return line[:-1] * CLASSES + line[1:]
+
+
+def _transitions(batches):
+    """(cell, n): neighbouring classes, summed within the task."""
+    import numpy as np
+    import pyarrow as pa
+
+    table = np.zeros(CLASSES * CLASSES, "int64")
+    for batch in batches:
+        for seq in batch.column(0).to_pylist():
+            table += np.bincount(_steps(seq), minlength=len(table))
+    cells = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["_pair", "_n"])
+
+
+def smoothed(table):
+    """p(class | class before), mixed with the classes' own frequencies (Witten and Bell) with a weight of ``BACK_OFF`` for each class seen after.
+
+    Rare words' classes are chosen by the few pairs that are counted here, so that the counts alone look surer than they are.
+    """
+    alone = (table.sum(axis=0) + ADD) / (table.sum() + ADD * CLASSES)
+    weight = BACK_OFF * (table > 0).sum(axis=1, keepdims=True) + 1.0
+    return (table + weight * alone) / (table.sum(axis=1, keepdims=True) + weight)
+
+
+def _scores(step, rest):
+    """(id, split, counts, base, score) of coded texts."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        cells = (step - rest[None, :]).ravel()
+        for batch in batches:
+            # The end is the only word of its class: its own sum is taken off like any other's.
+            scores = [float(cells[_steps(seq)].sum()) for seq in batch.column(5).to_pylist()]
+            base = batch.column(4).to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(base + np.array(scores, "float64"))], names=["_id", "_held", "_tokens", "_known", "_base", "_score"])
 
     return run
 
 
-def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """Words by falling count, ``most`` at most: all whose count is above the one at which there would be more.
+def most_frequent(counts: DataFrame, most: int, *more: str) -> list[tuple]:
+    """Words by falling count, ``most`` at most: all whose count is above the one at which there would be more; with their values of ``more``.
 
     The bound comes from the numbers of words per count, so that no more than ``most`` rows reach the
     driver, however many tasks hold the counts.
@@ -243,14 +507,7 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     sizes = counts.groupBy("_n").agg(F.count("*").alias("_words")).withColumn("_run", F.sum("_words").over(run))
     least = sizes.where(F.col("_run") <= most).agg(F.min("_n")).first()[0]
     rows = [] if least is None else counts.where(F.col("_n") >= least).collect()
-    return sorted(((bytes(r["_word"]), r["_n"]) for r in rows), key=lambda r: (-r[1], r[0]))
-
-
-def _scored(pa, rows, ids, held):
-    kinds = ("int64", "binary", "int64", "int64", "int64", "float64", "float64", "int64")
-    *columns, texts = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-    columns += [ids.take(texts), held.take(texts)]
-    return pa.RecordBatch.from_arrays(columns, names=["_at", "_word", "_m", "_tokens", "_known", "_score", "_base", "_id", "_held"])
+    return sorted(((bytes(r["_word"]), r["_n"], *(r[c] for c in more)) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,13 +515,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts whose crc32 of the id (as text; null: empty) leaves 0 modulo 10 are held out; the model learns from
     the others. Tokens are lower-case words and an end. The model is p(class | class before) * p(word | class):
-    the ``CLUSTERED`` most frequent words get one of ``EXCHANGE`` classes by exchange clustering over all pair
-    counts, every other word one of ``ENDINGS`` classes by its last two bytes, the end its own. Transitions and
+    every word of the training texts gets one of ``EXCHANGE`` classes by exchange clustering over all its pairs, the end its own.
+    The ``CLUSTERED`` most frequent words move in rounds, the others in classes by their endings meanwhile; then all
+    others move, each to the class that raises the likelihood most. A word that no training text has is
+    taken into the class with most of the words of its ending. Transitions back off to the classes' frequencies (see ``smoothed``),
     emissions are smoothed by 0.1; a class keeps the mass of one unseen word. ``base_score`` is the unigram model's.
 
-    Counts of all words, summed in the tasks first, are gathered from the whole corpus; tasks hold
-    the ``HEAD`` most frequent words at most (a bounded table), the counts of all other words are joined to the texts'
-    words, and a text's sums meet again by its row number.
+    Counts and pairs of all words, summed in the tasks first, are gathered from the whole corpus; tasks hold
+    the ``HEAD`` most frequent words at most (a bounded table), the counts and classes of all other words are joined to the
+    texts' words and put in their places, so that every transition is one of learned classes.
 
     Defined cases: null and empty texts consist of the end; null ids are held out; repeated rows are separate
     texts; without training texts every count is 0; no rows give no rows; other columns are left out, and cannot clash.
@@ -277,52 +536,58 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     train = rows.where("not _held").select("_raw")
     counts = stage(train.mapInArrow(_counts, "_word binary, _n bigint").groupBy("_word").agg(F.sum("_n").alias("_n")), "brown-counts")
     ends = train.count()
-    head = most_frequent(counts, HEAD)
-    ids = {w: i for i, (w, _) in enumerate(head[:CLUSTERED])}
+    first = most_frequent(counts, HEAD)[:CLUSTERED]
+    ids = {w: i for i, (w, _) in enumerate(first)}
     pairs = train.mapInArrow(_bigrams(ids), "_pair bigint, _n bigint").groupBy("_pair").agg(F.sum("_n").alias("_n"))
     pairs = stage(pairs.select(F.floor(F.col("_pair") / IDS).cast("int").alias("_a"), (F.col("_pair") % IDS).cast("int").alias("_b"), "_n"), "brown-pairs")
     classes = cluster(pairs)
 
     known = F.broadcast(spark.createDataFrame(list(enumerate(classes)), "_i int, _k int"))
     table = _class_table(pairs.join(known.toDF("_a", "_ca"), "_a").join(known.toDF("_b", "_cb"), "_b"))
-    # Words and occurrences of each class: clustered words from the head, others from all counts less those.
+    moving = train.mapInArrow(_contexts(ids, classes), "_word binary, _pairs array<bigint>")
+    moving = moving.repartition("_word").sortWithinPartitions("_word").mapInArrow(_assign(table), "_word binary, _n bigint, _c int")
+    others = stage(moving, "brown-classes")
+
+    # Words and occurrences of each class, and the class that has most words of an ending.
     size, words = np.zeros(CLASSES), np.zeros(CLASSES)
+    by_ending = np.zeros((ENDINGS, EXCHANGE), "int64")
     last_two = F.crc32(F.expr("substring(_word, -2, 2)")) % ENDINGS
-    for r in counts.groupBy(last_two.alias("_e")).agg(F.sum("_n").alias("n"), F.count("*").alias("v")).collect():
-        size[EXCHANGE + r["_e"]], words[EXCHANGE + r["_e"]] = r["n"], r["v"]
+    for r in others.groupBy(last_two.cast("int").alias("_e"), "_c").agg(F.sum("_n").alias("n"), F.count("*").alias("v")).collect():
+        size[r["_c"]] += r["n"]
+        words[r["_c"]] += r["v"]
+        by_ending[r["_e"], r["_c"]] = r["v"]
+    for (_, n), c in zip(first, classes, strict=False):
+        size[c] += n
+        words[c] += 1
     total, distinct = int(size.sum()) + ends, int(words.sum()) + (ends > 0)
-    group = []
-    for i, (w, n) in enumerate(head):
-        group.append(classes[i] if i < CLUSTERED else EXCHANGE + ending(w))
-        if i < CLUSTERED:
-            size[EXCHANGE + ending(w)] -= n
-            words[EXCHANGE + ending(w)] -= 1
-            size[group[i]] += n
-            words[group[i]] += 1
     size[END_CLASS], words[END_CLASS] = ends, 1
-    rest = np.log10(size + ADD * (words + 1))
-    step = np.log10((table + ADD) / (table.sum(axis=1, keepdims=True) + ADD * CLASSES))
-    n = np.array([n for _, n in head] + [ends], "float64")
-    group = np.array([*group, END_CLASS], "int64")
-    model = ({w: i for i, (w, _) in enumerate(head)}, group, np.log10(n + ADD) - rest[group], np.log10(n + ADD), step, rest, int(ends > 0))
-    shared = spark.sparkContext.broadcast(model)
+    unseen = [int(c) for c in by_ending.argmax(axis=1)]
 
+    spare = most_frequent(others, HEAD - len(first), "_c")
+    head = [(w, n, classes[i]) for i, (w, n) in enumerate(first)] + spare
+    group = np.array([*(c for _, _, c in head), OPEN], "uint8")
+    unit = np.log10(np.array([*(n for _, n, _ in head), ends], "float64") + ADD)
+    shared = spark.sparkContext.broadcast(({w: i for i, (w, _, _) in enumerate(head)}, group, unit, int(ends > 0)))
     texts = rows.withColumn("_at", F.monotonically_increasing_id())
     # The id and the split travel with the text's own row.
-    kinds = f"_at bigint, _word binary, _m bigint, _tokens bigint, _known bigint, _score double, _base double, _id {rows.schema['_id'].dataType.simpleString()}, _held boolean"
-    scored = texts.select("_at", "_raw", "_id", "_held").mapInArrow(_scores(shared), kinds)
-    joined = scored.join(counts.withColumnRenamed("_n", "_c"), "_word", "left")
-    log = F.log10(F.coalesce("_c", F.lit(0)) + F.lit(ADD)) * F.col("_m")
-    out = joined.groupBy("_at").agg(
-        F.max("_id").alias("_id"),
-        F.max("_held").alias("_held"),
-        F.max("_tokens").alias("n_tokens"),
-        (F.max("_known") + F.coalesce(F.sum(F.when(F.col("_c").isNotNull(), F.col("_m"))), F.lit(0))).alias("n_known"),
-        (F.sum("_base") + F.coalesce(F.sum(log), F.lit(0.0))).alias("_base"),
-        (F.sum("_score") + F.coalesce(F.sum(log), F.lit(0.0))).alias("score"),
-    )
-    base = F.col("_base") - F.col("n_tokens") * F.lit(float(np.log10(total + ADD * (distinct + 1))))
-    return out.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    kind = rows.schema["_id"].dataType.simpleString()
+    sums = "_seq binary, _tokens bigint, _known bigint, _base double"
+    coded = texts.select("_at", "_raw", "_id", "_held").mapInArrow(_coded(shared), f"_at bigint, _pos bigint, _word binary, {sums}, _id {kind}, _held boolean")
+    joined = coded.join(others, "_word", "left")
+    by_word = F.element_at(F.array(*map(F.lit, unseen)), (last_two + 1).cast("int"))
+    joined = joined.select("_at", "_pos", F.coalesce("_c", by_word).alias("_c"), F.coalesce("_n", F.lit(0)).alias("_n"), "_seq", "_tokens", "_known", "_base", "_id", "_held")
+    joined = joined.repartition("_at").sortWithinPartitions("_at", "_pos").drop("_at")
+    whole = stage(joined.mapInArrow(_complete, f"_id {kind}, _held boolean, _tokens bigint, _known bigint, _base double, _seq binary"), "brown-coded")
+
+    table = np.zeros(CLASSES * CLASSES)
+    for r in whole.where("not _held").select("_seq").mapInArrow(_transitions, "_pair bigint, _n bigint").groupBy("_pair").agg(F.sum("_n").alias("_n")).collect():
+        table[r["_pair"]] = r["_n"]
+    table = table.reshape(CLASSES, CLASSES)
+    rest = np.log10(size + ADD * (words + 1))
+    step = np.log10(smoothed(table))
+    out = whole.mapInArrow(_scores(step, rest), f"_id {kind}, _held boolean, _tokens bigint, _known bigint, _base double, _score double")
+    base = F.col("_base") - F.col("_tokens") * F.lit(float(np.log10(total + ADD * (distinct + 1))))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.col("_tokens").alias("n_tokens"), F.col("_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), F.col("_score").alias("score"))
 
 
 @query("op8_brown_scores")

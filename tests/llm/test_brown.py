@@ -89,3 +89,63 @@ def test_odd_rows(odd_docs, no_docs, all_null):
     assert score_documents(no_docs).collect() == []
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_documents(all_null).collect()] == [(1, 0, 0)] * 3
     assert brown.ending(b"a") == zlib.crc32(b"a") % brown.ENDINGS
+
+
+def test_choose_finds_the_best_class():
+    """Classes chosen for many words at once on one table are those with the greatest likelihood, computed in full."""
+    r = np.random.default_rng(5)
+    count = 12
+    after, before = (np.where(r.random((count, CLASSES)) < 0.1, r.integers(1, 30, (count, CLASSES)), 0) for _ in range(2))
+    own, current = np.where(r.random(count) < 0.3, 4, 0), r.integers(0, EXCHANGE, count)
+    after[:4, current[:4]] += 2
+    before[2:6, current[2:6]] += 3
+    table = r.integers(0, 6, (CLASSES, CLASSES)).astype(float)
+    for a, b, s, c in zip(after, before, own, current, strict=True):
+        table[c] += a
+        table[:, c] += b
+        table[c, c] += s
+
+    def likelihood(w, to):
+        t = table.copy()
+        for k, sign in ((current[w], -1), (to, 1)):
+            t[k] += sign * after[w]
+            t[:, k] += sign * before[w]
+            t[k, k] += sign * own[w]
+        f = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
+        return f(t) - f(t.sum(axis=0)) - f(t.sum(axis=1))
+
+    all_pairs = np.hstack([after, before, own[:, None]])
+    word, kind = np.nonzero(all_pairs)
+    got = brown.choose(word, kind, all_pairs[word, kind], current, table)
+    assert list(got) == [max(range(EXCHANGE), key=lambda k: likelihood(w, k)) for w in range(count)]
+
+
+@pytest.fixture(scope="module")
+def sentences(spark):
+    """Texts of `the noun verb`, with more nouns and verbs than words move in rounds, all of one ending; two held-out texts of words seen once."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    pairs = [*[(i, i * 7 % 2100) for i in range(2100)] * 2, *((i, i % 900) for i in range(2100, 2400)), *((i % 900, i) for i in range(2100, 2400))]
+    texts = [" ".join(f"the n{a:05d}xx v{b:05d}xx" for a, b in pairs[i : i + 50]) for i in range(0, len(pairs), 50)]
+    rows = list(zip((i for i in range(10_000) if not held(i)), texts, strict=False))
+    ids = [i for i in range(20_000, 21_000) if held(i)][:2]
+    rows += zip(ids, ["the n02200xx v02300xx", "the v02300xx n02200xx"], strict=True)
+    return spark.createDataFrame(rows, "doc_id bigint, text string"), ids
+
+
+def scores(docs):
+    return {r["doc_id"]: r["score"] for r in score_documents(docs).collect()}
+
+
+def test_rare_words_have_learned_classes(sentences):
+    """Beyond the words that move in rounds, classes come from a word's neighbours, not from its ending."""
+    docs, (right, wrong) = sentences
+    found = scores(docs)
+    assert found[right] > found[wrong] + 1
+
+
+def test_joined_words_score_like_held_ones(sentences, monkeypatch):
+    docs, _ = sentences
+    want = scores(docs)
+    monkeypatch.setattr(brown, "HEAD", brown.CLUSTERED + 204)
+    got = scores(docs)
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-6) for i in want)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
-from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,45 +29,137 @@ FIRST, END_CLASS, CLASSES = EXCHANGE - ENDINGS, EXCHANGE, EXCHANGE + 1
 PAIRS = 2 * CLASSES + 1
 #: Place in a coded text of a word whose class is joined.
 OPEN = 255
-STRETCH = 1 << 20
+#: What a text's row holds in ``_coded``.
+TEXT = ["_seq", "_tokens", "_known", "_base", "_id", "_held"]
+#: Bytes of text taken at a time; words, and words to be moved, that a task holds before it gives their sums; rows that it gives at a time.
+STRETCH, HELD, MOVING, SLICE = 1 << 21, 2_000_000, 600_000, 100_000
 
 
 def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
 
 
-def word_lists(raw: bytes | None):
-    """Lower-case words (A to Z only are lowered) of a text, about a megabyte at a time, cut at blanks."""
-    raw, at = raw or b"", 0
-    while at < len(raw):
-        to = at + STRETCH
-        while to < len(raw) and raw[to] not in b"\t\n\x0b\x0c\r ":
-            to += 1
-        yield raw[at:to].lower().split()
-        at = to
+@functools.cache
+def _endings():
+    """``ending`` by a word's last two bytes, after these by the byte of a word of one."""
+    import numpy as np
+
+    return np.array([ending(bytes((a, b))) for a in range(256) for b in range(256)] + [ending(bytes((a,))) for a in range(256)], "int64")
+
+
+def endings(words):
+    """``ending`` of each word."""
+    import numpy as np
+
+    if not len(words):
+        return np.zeros(0, "int64")
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, "int32")[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, "uint8")
+    last = data[at[1:] - 1].astype("int64")
+    return _endings()[np.where(np.diff(at) == 1, 65_536 + last, data[at[1:] - 2] * np.int64(256) + last)]
+
+
+def _split(texts):
+    """Lower-case words (A to Z only are lowered) of texts, one after another, and how many each text has."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, at = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    return words.filter(full), np.diff(before[at])
+
+
+def pieces(texts):
+    """(words, sizes, ended): words of texts in order, a few megabytes at a time, and how many each text has; the last text of a piece
+    that has not ended goes on in the next. Null texts are empty, long ones are cut at blanks."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    texts = texts.fill_null(b"") if texts.null_count else texts
+    to = np.cumsum(pc.binary_length(texts).to_numpy().astype("int64"))
+    a = 0
+    while a < len(to):
+        start = to[a - 1] if a else 0
+        b = int(np.searchsorted(to, start + STRETCH, side="right"))
+        if b > a:
+            yield *_split(texts.slice(a, b - a)), True
+            a = b
+            continue
+        raw, at = texts[a].as_py(), 0
+        while at < len(raw):
+            end = at + STRETCH
+            while end < len(raw) and raw[end] not in b"\t\n\x0b\x0c\r ":
+                end += 1
+            yield *_split(pa.array([raw[at:end]], "binary")), end >= len(raw)
+            at = end
+        a += 1
+
+
+def _word_array(words: list[bytes]):
+    import pyarrow as pa
+
+    return pa.array(words, "binary").view(pa.string())
+
+
+def _places(words, known):
+    """Place of each word in ``known``, -1 for others."""
+    import pyarrow.compute as pc
+
+    return pc.index_in(words, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _slices(rows):
+    """A batch in parts, so that the other side of the pipe need not hold it in one piece."""
+    for at in range(0, rows.num_rows, SLICE):
+        yield rows.slice(at, SLICE)
+
+
+def _release() -> None:
+    """Give back memory that the task no longer uses: the worker stays for other tasks."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
+def _line(last, values, sizes, ended, end):
+    """``last``, then the values of texts' words, with ``end`` after each text that has ended."""
+    import numpy as np
+
+    line = np.full(len(values) + len(sizes) + 1, end, values.dtype)
+    line[0] = last
+    line[np.arange(1, len(values) + 1) + np.repeat(np.arange(len(sizes)), sizes)] = values
+    return line if ended else line[:-1]
 
 
 def _counts(batches):
     """(word, n): words of training texts, summed within the task."""
     import pyarrow as pa
 
-    seen: Counter = Counter()
+    parts, held = [], 0
 
     def rows():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), "binary"), pa.array(list(seen.values()), "int64")], names=["_word", "_n"])
+        words, n = pa.chunked_array(parts, pa.string()).value_counts().flatten()
+        return pa.RecordBatch.from_arrays([words.view(pa.binary()), n], names=["_word", "_n"])
 
     for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            for words in word_lists(raw):
-                seen.update(words)
-            if len(seen) > 400_000:
-                yield rows()
-                seen.clear()
-    if seen:
-        yield rows()
-
-
-def _bigrams(ids: dict[bytes, int]):
+        for words, _, _ in pieces(batch.column(0)):
+            parts.append(words)
+            held += len(words)
+            if held > HELD:
+                yield from _slices(rows())
+                parts, held = [], 0
+    if held:
+        yield from _slices(rows())
+    parts.clear()
+    _release()
+
+
+def _bigrams(known):
     """(pair, n): pairs of ids of neighbours in training texts, the text's end before its first word, summed within the task."""
 
     def run(batches):
@@ -77,24 +169,27 @@ def _bigrams(ids: dict[bytes, int]):
         parts, held = [], 0
 
         def rows():
-            pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype("int64"))], names=["_pair", "_n"])
+            line = np.concatenate(parts)
+            parts.clear()
+            pairs, n = np.unique(line, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pairs.astype("int64")), pa.array(n.astype("int64"))], names=["_pair", "_n"])
 
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                last = END_ID
-                for words in [*word_lists(raw), None]:
-                    mine = [END_ID] if words is None else [ids[w] if w in ids else CLUSTERED + ending(w) for w in words]
-                    if mine:
-                        line = np.array([last, *mine], "int64")
-                        parts.append(line[:-1] * IDS + line[1:])
-                        held += len(mine)
-                        last = mine[-1]
-                if held > 4_000_000:
-                    yield rows()
-                    parts, held = [], 0
+            last = END_ID
+            for words, sizes, ended in pieces(batch.column(0)):
+                mine = _places(words, known).copy()
+                far = np.flatnonzero(mine < 0)
+                mine[far] = CLUSTERED + endings(words.take(pa.array(far)))
+                line = _line(last, mine, sizes, ended, END_ID)
+                parts.append(line[:-1] * np.int32(IDS) + line[1:])
+                held += len(mine)
+                last = line[-1]
+                if held > 2 * HELD:
+                    yield from _slices(rows())
+                    held = 0
         if parts:
-            yield rows()
+            yield from _slices(rows())
+        _release()
 
     return run
 
@@ -196,62 +291,63 @@ def _class_table(coded: DataFrame):
     return table
 
 
-def _contexts(ids: dict[bytes, int], classes: list[int]):
+def _contexts(known, classes: list[int]):
     """(word, pairs): how often a word that is not clustered has which class after and before it, and itself, summed within the task.
 
-    ``pairs`` holds n * PAIRS + kind of pair. Neighbours count by the class that they have before any of these words moves.
+    ``pairs`` holds n * PAIRS + kind of pair, four bytes each. Neighbours count by the class that they have before any of these words moves.
     """
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        pool: list[bytes] = []
-        lines, held = [], 0
+        pool, lines, size, held = [], [], 0, 0
 
         def rows():
             x, y, cx, cy = np.concatenate(lines, axis=1)
-            coded = pa.array(pool, "binary").dictionary_encode()
-            at = coded.indices.to_numpy().astype("int64")
+            lines.clear()
+            coded = pa.concat_arrays(pool).view(pa.binary()).dictionary_encode()
+            at = coded.indices.to_numpy()
             right, left = x >= 0, y >= 0
             same = right & left
             same[same] = at[x[same]] == at[y[same]]
             after, before = right & ~same, left & ~same
-            keys = [at[x[after]] * PAIRS + cy[after], at[y[before]] * PAIRS + CLASSES + cx[before], at[x[same]] * PAIRS + 2 * CLASSES]
-            keys, n = np.unique(np.concatenate(keys), return_counts=True)
+            # Words and pairs held are so few that these fit into four bytes.
+            keys = np.concatenate([at[x[after]] * PAIRS + cy[after], at[y[before]] * PAIRS + CLASSES + cx[before], at[x[same]] * PAIRS + 2 * CLASSES])
+            del x, y, cx, cy, right, left, same, after, before
+            keys, n = np.unique(keys, return_counts=True)
             word = keys // PAIRS
-            starts = np.flatnonzero(np.diff(word, prepend=-1))
-            pairs = pa.ListArray.from_arrays(pa.array(np.append(starts, len(keys)).astype("int32")), pa.array(n * PAIRS + keys % PAIRS))
+            starts = np.flatnonzero(np.diff(word, prepend=np.int32(-1)))
+            offsets = np.append(starts, len(keys)).astype("int32") * np.int32(4)
+            pairs = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer((n * PAIRS + keys % PAIRS).astype("int32"))])
             return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(word[starts])), pairs], names=["_word", "_pairs"])
 
-        get = ids.get
-        start = np.array(classes, "int64")
+        start = np.array(classes, "int32")
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                last, place = END_CLASS, -1
-                for words in [*word_lists(raw), None]:
-                    if words == []:
-                        continue
-                    mine = np.array([END_ID] if words is None else [get(w, -1) for w in words], "int64")
-                    places, far = np.full(len(mine), -1), np.flatnonzero(mine < 0)
-                    kinds = start[mine]
-                    if len(far):
-                        rare = [words[i] for i in far]
-                        kinds[far] = [FIRST + ending(w) for w in rare]
-                        places[far] = len(pool) + np.arange(len(far))
-                        pool += rare
-                    x, y = np.append(place, places[:-1]), places
-                    line = np.stack([x, y, np.append(last, kinds[:-1]), kinds])
-                    lines.append(line[:, (x >= 0) | (y >= 0)])
-                    held += len(mine)
-                    last, place = int(kinds[-1]), int(places[-1])
-                    if len(pool) > 500_000 or held > 4_000_000:
-                        kept = [pool[place]] if place >= 0 else []
-                        if pool:
-                            yield rows()
-                        pool, lines, held, place = kept, [], 0, len(kept) - 1
+            last, place = END_CLASS, -1
+            for words, sizes, ended in pieces(batch.column(0)):
+                mine = _places(words, known)
+                far = np.flatnonzero(mine < 0)
+                rare = words.take(pa.array(far))
+                kinds, places = start[mine], np.full(len(mine), -1, "int32")
+                kinds[far] = FIRST + endings(rare)
+                places[far] = size + np.arange(len(far))
+                pool.append(rare)
+                size += len(far)
+                kinds, places = _line(last, kinds, sizes, ended, END_CLASS), _line(place, places, sizes, ended, -1)
+                line = np.stack([places[:-1], places[1:], kinds[:-1], kinds[1:]])
+                lines.append(line[:, (line[0] >= 0) | (line[1] >= 0)])
+                held += len(mine)
+                last, place = int(kinds[-1]), int(places[-1])
+                if size > MOVING or held > 2 * HELD:
+                    kept = [pa.concat_arrays(pool).take(pa.array([place]))] if place >= 0 else []
+                    if any(line.shape[1] for line in lines):
+                        yield from _slices(rows())
+                    pool, lines, size, held, place = kept, [], len(kept), 0, len(kept) - 1
         if any(line.shape[1] for line in lines):
-            yield rows()
+            yield from _slices(rows())
+        pool.clear()
+        _release()
 
     return run
 
@@ -311,10 +407,11 @@ def choose(word, kind, n, current, table):
         gain[i, c] += _log(t - less + x) - _log(t - less) - _log(t + x) + _log(t)
 
     for margin, sums in ((table.sum(axis=1), a), (table.sum(axis=0), b)):
-        moved = (sums.sum(axis=1) + self_pairs)[:, None]
-        free = np.tile(margin[:k], (count, 1))
-        free[every, current] -= moved[:, 0]
-        gain -= _log(free + moved) - _log(free)
+        moved, free = sums.sum(axis=1) + self_pairs, margin[:k]
+        amounts, at = np.unique(moved, return_inverse=True)
+        change = (_log(free + amounts[:, None]) - _log(free))[at]
+        change[every, current] = _log(free[current]) - _log(free[current] - moved)
+        gain -= change
     best = gain.argmax(axis=1)
     return np.where(gain[every, best] > gain[every, current] + 1e-9, best, current)
 
@@ -350,6 +447,17 @@ def _words_begin(batch, before):
     return np.concatenate(([0], other)) if first else other
 
 
+def _content(column, kind: str):
+    """Places where the values of a binary column begin and the last ends, in numbers of a kind, and these numbers."""
+    import numpy as np
+
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, "int32")[column.offset : column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(data, "uint8")[at[0] : at[-1]] if at[-1] > at[0] else np.zeros(0, "uint8")
+    return (at - at[0]).astype("int64") // size, raw.view(kind)
+
+
 def _assign(table):
     """(word, n, class) from words' pairs in the order of the words."""
 
@@ -359,15 +467,14 @@ def _assign(table):
 
         for rows in _whole(batches, _words_begin):
             column = rows.column(0).combine_chunks()
-            lists = rows.column(1).combine_chunks()
             coded = column.dictionary_encode()
-            sizes = np.diff(lists.offsets.to_numpy())
-            of, pairs = np.repeat(coded.indices.to_numpy(), sizes).astype("int64"), lists.flatten().to_numpy()
+            offsets, pairs = _content(rows.column(1).combine_chunks(), "int32")
+            of = np.repeat(coded.indices.to_numpy(), np.diff(offsets)).astype("int64")
             keys, at = np.unique(of * PAIRS + pairs % PAIRS, return_inverse=True)
             n = np.bincount(at, pairs // PAIRS).astype("int64")
             word, kind = keys // PAIRS, keys % PAIRS
             names = coded.dictionary
-            current = np.array([FIRST + ending(w) for w in names.to_pylist()], "int64")
+            current = FIRST + endings(names)
             ahead = (kind < CLASSES) | (kind == 2 * CLASSES)
             total = np.bincount(word[ahead], n[ahead], minlength=len(names)).astype("int64")
             found = current.copy()
@@ -391,35 +498,42 @@ def _coded(model):
         import pyarrow as pa
 
         head, group, unit, seen = model.value
-        get = head.get
-        kinds = ("int64", "int64", "binary", "binary", "int64", "int64", "float64", "int64")
-        names = ["_at", "_pos", "_word", "_seq", "_tokens", "_known", "_base", "_id", "_held"]
+        names = ["_at", "_pos", "_word", "_text"]
+
+        def rows(at, pos, words, text):
+            return pa.RecordBatch.from_arrays([pa.array(at, "int64"), pa.array(pos, "int64"), words, text], names=names)
 
-        def rows(out, ids, held):
-            *columns, texts = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([*columns, ids.take(texts), held.take(texts)], names=names)
+        def text_rows(at, seq, sizes, near, base, *more):
+            sums = [seq, pa.array(sizes + 1), pa.array(near + seen), pa.array(base + unit[-1]), *more]
+            return rows(at, np.full(len(at), -1), pa.array([b" %d" % key for key in at.tolist()], "binary"), pa.StructArray.from_arrays(sums, TEXT))
 
         for batch in batches:
-            out = []
-            ids_, held = batch.column(2), batch.column(3)
-            for at, (key, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                tokens, known, base, seq = 1, seen, float(unit[-1]), []
-                for words in word_lists(raw):
-                    if not words:
+            keys, first = batch.column(0).to_numpy(), 0
+            # Of a text that goes on: its number of words, known words, base and classes.
+            size, known, base, seqs = 0, 0, 0.0, []
+            for words, sizes, ended in pieces(batch.column(1)):
+                ids = _places(words, head)
+                starts, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+                far = np.flatnonzero(ids < 0)
+                if len(far):
+                    blank = pa.nulls(len(far), pa.struct([("_seq", pa.binary()), ("_tokens", pa.int64()), ("_known", pa.int64()), ("_base", pa.float64()), ("_id", batch.column(2).type), ("_held", pa.bool_())]))
+                    yield rows(keys[first + of[far]], size + far - starts[of[far]], words.take(pa.array(far)).view(pa.binary()), blank)
+                near = np.bincount(of[ids >= 0], minlength=len(sizes))
+                sums = np.bincount(of, np.where(ids < 0, 0.0, unit[ids]), len(sizes))
+                codes = group[ids]
+                if seqs or not ended:
+                    size, known, base = size + len(ids), known + int(near[0]), base + float(sums[0])
+                    seqs.append(codes.tobytes())
+                    if not ended:
                         continue
-                    ids = np.array([get(w, -1) for w in words], "int64")
-                    far = np.flatnonzero(ids < 0)
-                    seq.append(group[ids].tobytes())
-                    out += [(key, tokens - 1 + i, words[i], None, None, None, None, None) for i in far.tolist()]
-                    tokens += len(words)
-                    known += len(words) - len(far)
-                    base += float(unit[ids[ids >= 0]].sum())
-                    if len(out) > 50_000:
-                        yield rows(out, ids_, held)
-                        out = []
-                out.append((key, -1, b" %d" % key, b"".join(seq), tokens, known, base, at))
-            if out:
-                yield rows(out, ids_, held)
+                    sizes, near, sums = np.array([size]), np.array([known]), np.array([base])
+                    starts, codes = np.zeros(1, "int64"), np.frombuffer(b"".join(seqs), "uint8")
+                    size, known, base, seqs = 0, 0, 0.0, []
+                offsets = np.append(starts, len(codes)).astype("int32")
+                seq = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
+                yield text_rows(keys[first : first + len(sizes)], seq, sizes, near, sums, *(batch.column(i).slice(first, len(sizes)) for i in (2, 3)))
+                first += len(sizes)
+        _release()
 
     return run
 
@@ -435,26 +549,25 @@ def _complete(batches):
     for rows in _whole(batches, begin):
         pos, kind, n = (rows.column(i).to_numpy() for i in range(3))
         starts = np.flatnonzero(pos < 0)
-        ends = np.append(starts[1:], len(pos))
-        logs = np.where(pos < 0, 0.0, np.log10(n + ADD))
-        texts = rows.take(pa.array(starts))
-        seqs = []
-        for seq, a, b in zip(texts.column(3).to_pylist(), starts, ends, strict=True):
-            full = np.frombuffer(seq, "uint8").copy()
-            full[pos[a + 1 : b]] = kind[a + 1 : b]
-            seqs.append(full.tobytes())
-        known = texts.column(5).to_numpy() + np.add.reduceat(((n > 0) & (pos >= 0)).astype("int64"), starts)
-        base = texts.column(6).to_numpy() + np.add.reduceat(logs, starts)
-        flat = lambda i: texts.column(i).combine_chunks()
-        yield pa.RecordBatch.from_arrays([flat(7), flat(8), flat(4), pa.array(known), pa.array(base), pa.array(seqs, "binary")], names=["_id", "_held", "_tokens", "_known", "_base", "_seq"])
-
-
-def _steps(seq: bytes):
-    """Cells of the class table that a text's words pass, from its end before its first word to its end."""
+        rare = np.flatnonzero(pos >= 0)
+        of = np.searchsorted(starts, rare) - 1
+        text = dict(zip(TEXT, rows.column(3).combine_chunks().take(pa.array(starts)).flatten(), strict=True))
+        offsets, codes = _content(text["_seq"], "uint8")
+        codes = codes.copy()
+        codes[offsets[of] + pos[rare]] = kind[rare]
+        seq = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype("int32")), pa.py_buffer(codes)])
+        known = text["_known"].to_numpy() + np.bincount(of[n[rare] > 0], minlength=len(starts))
+        base = text["_base"].to_numpy() + np.bincount(of, np.log10(n[rare] + ADD), len(starts))
+        yield pa.RecordBatch.from_arrays([text["_id"], text["_held"], text["_tokens"], pa.array(known), pa.array(base), seq], names=["_id", "_held", "_tokens", "_known", "_base", "_seq"])
+
+
+def _steps(column):
+    """(cells, starts): cells of the class table that texts' words pass, each text's from its end before its first word to its end; places where texts begin."""
     import numpy as np
 
-    line = np.frombuffer(b"%c%b%c" % (END_CLASS, seq, END_CLASS), "uint8").astype("int64")
-    return line[:-1] * CLASSES + line[1:]
+    offsets, codes = _content(column, "uint8")
+    line = _line(END_CLASS, codes, np.diff(offsets), True, END_CLASS).astype("int32")
+    return line[:-1] * CLASSES + line[1:], offsets[:-1] + np.arange(len(column))
 
 
 def _transitions(batches):
@@ -464,8 +577,8 @@ def _transitions(batches):
 
     table = np.zeros(CLASSES * CLASSES, "int64")
     for batch in batches:
-        for seq in batch.column(0).to_pylist():
-            table += np.bincount(_steps(seq), minlength=len(table))
+        if batch.num_rows:
+            table += np.bincount(_steps(batch.column(0))[0], minlength=len(table))
     cells = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["_pair", "_n"])
 
@@ -489,10 +602,13 @@ def _scores(step, rest):
 
         cells = (step - rest[None, :]).ravel()
         for batch in batches:
+            if not batch.num_rows:
+                continue
             # The end is the only word of its class: its own sum is taken off like any other's.
-            scores = [float(cells[_steps(seq)].sum()) for seq in batch.column(5).to_pylist()]
+            steps, starts = _steps(batch.column(5))
+            scores = np.add.reduceat(cells[steps], starts)
             base = batch.column(4).to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(base + np.array(scores, "float64"))], names=["_id", "_held", "_tokens", "_known", "_base", "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(base + scores)], names=["_id", "_held", "_tokens", "_known", "_base", "_score"])
 
     return run
 
@@ -537,14 +653,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = stage(train.mapInArrow(_counts, "_word binary, _n bigint").groupBy("_word").agg(F.sum("_n").alias("_n")), "brown-counts")
     ends = train.count()
     first = most_frequent(counts, HEAD)[:CLUSTERED]
-    ids = {w: i for i, (w, _) in enumerate(first)}
-    pairs = train.mapInArrow(_bigrams(ids), "_pair bigint, _n bigint").groupBy("_pair").agg(F.sum("_n").alias("_n"))
+    clustered = _word_array([w for w, _ in first])
+    pairs = train.mapInArrow(_bigrams(clustered), "_pair bigint, _n bigint").groupBy("_pair").agg(F.sum("_n").alias("_n"))
     pairs = stage(pairs.select(F.floor(F.col("_pair") / IDS).cast("int").alias("_a"), (F.col("_pair") % IDS).cast("int").alias("_b"), "_n"), "brown-pairs")
     classes = cluster(pairs)
 
     known = F.broadcast(spark.createDataFrame(list(enumerate(classes)), "_i int, _k int"))
     table = _class_table(pairs.join(known.toDF("_a", "_ca"), "_a").join(known.toDF("_b", "_cb"), "_b"))
-    moving = train.mapInArrow(_contexts(ids, classes), "_word binary, _pairs array<bigint>")
+    moving = train.mapInArrow(_contexts(clustered, classes), "_word binary, _pairs binary")
     moving = moving.repartition("_word").sortWithinPartitions("_word").mapInArrow(_assign(table), "_word binary, _n bigint, _c int")
     others = stage(moving, "brown-classes")
 
@@ -567,15 +683,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     head = [(w, n, classes[i]) for i, (w, n) in enumerate(first)] + spare
     group = np.array([*(c for _, _, c in head), OPEN], "uint8")
     unit = np.log10(np.array([*(n for _, n, _ in head), ends], "float64") + ADD)
-    shared = spark.sparkContext.broadcast(({w: i for i, (w, _, _) in enumerate(head)}, group, unit, int(ends > 0)))
+    shared = spark.sparkContext.broadcast((_word_array([w for w, _, _ in head]), group, unit, int(ends > 0)))
     texts = rows.withColumn("_at", F.monotonically_increasing_id())
     # The id and the split travel with the text's own row.
     kind = rows.schema["_id"].dataType.simpleString()
-    sums = "_seq binary, _tokens bigint, _known bigint, _base double"
-    coded = texts.select("_at", "_raw", "_id", "_held").mapInArrow(_coded(shared), f"_at bigint, _pos bigint, _word binary, {sums}, _id {kind}, _held boolean")
+    text = f"_text struct<_seq: binary, _tokens: bigint, _known: bigint, _base: double, _id: {kind}, _held: boolean>"
+    coded = texts.select("_at", "_raw", "_id", "_held").mapInArrow(_coded(shared), f"_at bigint, _pos bigint, _word binary, {text}")
     joined = coded.join(others, "_word", "left")
     by_word = F.element_at(F.array(*map(F.lit, unseen)), (last_two + 1).cast("int"))
-    joined = joined.select("_at", "_pos", F.coalesce("_c", by_word).alias("_c"), F.coalesce("_n", F.lit(0)).alias("_n"), "_seq", "_tokens", "_known", "_base", "_id", "_held")
+    joined = joined.select("_at", "_pos", F.coalesce("_c", by_word).alias("_c"), F.coalesce("_n", F.lit(0)).alias("_n"), "_text")
     joined = joined.repartition("_at").sortWithinPartitions("_at", "_pos").drop("_at")
     whole = stage(joined.mapInArrow(_complete, f"_id {kind}, _held boolean, _tokens bigint, _known bigint, _base double, _seq binary"), "brown-coded")
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfwise.llm import brown
@@ -149,3 +150,50 @@ def test_joined_words_score_like_held_ones(sentences, monkeypatch):
     monkeypatch.setattr(brown, "HEAD", brown.CLUSTERED + 204)
     got = scores(docs)
     assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-6) for i in want)
+
+
+BLANKS_AND_BYTES = [None, b"", b" ", b"a", b"\x00 b\xff\xfe A\x85B\xa0", b"  x  y ", b"\x1c a\x1db \x0b\x0cZ", bytes(range(256)), b"a a b a a", None, b"\xc3\x84 zz\nzz\t"]
+
+
+@pytest.mark.parametrize("stretch", [1 << 21, 40, 5])
+def test_pieces_are_the_words_of_texts(monkeypatch, stretch):
+    """Words found for many texts at once are those of each text on its own, wherever texts are cut; so are their endings."""
+    monkeypatch.setattr(brown, "STRETCH", stretch)
+    texts = pa.array([b"cut", *BLANKS_AND_BYTES], "binary").slice(1)
+    got, text = [], []
+    for words, sizes, ended in brown.pieces(texts):
+        found = words.view(pa.binary()).to_pylist()
+        assert list(brown.endings(words)) == [brown.ending(w) for w in found]
+        for i, size in enumerate(sizes):
+            text, found = text + found[:size], found[size:]
+            if ended or i < len(sizes) - 1:
+                got.append(text)
+                text = []
+    assert got == [(raw or b"").lower().split() for raw in BLANKS_AND_BYTES]
+
+
+@pytest.mark.parametrize(("stretch", "moving"), [(1 << 21, 600_000), (5, 3)])
+def test_contexts_count_every_pair(monkeypatch, stretch, moving):
+    """Pairs of words that are not clustered, compared with a plain count, also where a task gives sums between two words."""
+    monkeypatch.setattr(brown, "STRETCH", stretch)
+    monkeypatch.setattr(brown, "MOVING", moving)
+    classes = [i % brown.FIRST for i in range(brown.CLUSTERED)] + [brown.FIRST + i for i in range(brown.ENDINGS)] + [brown.END_CLASS]
+    known, want, got = [b"a", b"x"], Counter(), Counter()
+    for raw in BLANKS_AND_BYTES:
+        line = [None, *(raw or b"").lower().split(), None]
+        kinds = [brown.END_CLASS if w is None else classes[known.index(w)] if w in known else brown.FIRST + brown.ending(w) for w in line]
+        for i in range(len(line) - 1):
+            far = [w is not None and w not in known for w in line[i : i + 2]]
+            if all(far) and line[i] == line[i + 1]:
+                want[line[i], 2 * CLASSES] += 1
+                continue
+            if far[0]:
+                want[line[i], kinds[i + 1]] += 1
+            if far[1]:
+                want[line[i + 1], CLASSES + kinds[i]] += 1
+    batch = pa.RecordBatch.from_arrays([pa.array(BLANKS_AND_BYTES, "binary")], names=["_raw"])
+    for rows in brown._contexts(brown._word_array(known), classes)(iter([batch])):
+        for word, pairs in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            for pair in np.frombuffer(pairs, "int32").tolist():
+                got[word, pair % brown.PAIRS] += pair // brown.PAIRS
+    assert got == want
